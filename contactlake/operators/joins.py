@@ -1,0 +1,20 @@
+"""Join helpers: broadcast only behind a size check, with a shuffle join beyond it."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """Bounded check: reads at most ``max_rows + 1`` rows, never the whole side."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
+               max_rows: int = 100_000) -> DataFrame:
+    """Broadcast ``small`` only when it is proven to hold at most ``max_rows`` rows;
+    otherwise leave the choice to the planner (shuffle join, AQE re-plans at run time)."""
+    if has_at_most(small, max_rows):
+        return big.join(F.broadcast(small), on, how)
+    return big.join(small, on, how)
