@@ -296,8 +296,8 @@ def a24_daily_error_rate(invalid: DataFrame, contacts: DataFrame, as_of=None) ->
         .groupBy(F.to_date("processed_at").alias("date")).agg(n_rows().alias("invalid_count"))
     lower_day = F.to_date(days_before(as_of, 30))
     c = contacts.where(F.col("created_at") >= lower_day.cast("timestamp"))
-    if "created_date" in contacts.columns:
-        c = c.where(F.col("created_date") >= lower_day)
+    if "created_month" in contacts.columns:
+        c = c.where(F.col("created_month") >= F.trunc(lower_day, "month"))
     day = c.groupBy(F.to_date("created_at").alias("date")).agg(n_rows().alias("_day_contacts"))
     j = inv.join(day, "date", "left")
     rate = pct(F.col("invalid_count"),

@@ -2,7 +2,7 @@
 
 Each mart is a function of the core table (and the quarantine for M5) and an explicit
 clock ``as_of``; ``None`` means ``current_timestamp()``. Time windows filter
-``created_at`` and, when the table carries the ``created_date`` partition column, that
+``created_at`` and, when the table carries the ``created_month`` partition column, that
 column too, so a day-partitioned core is pruned at the scan."""
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ def since(df: DataFrame, as_of, days: int, col: str = "created_at") -> DataFrame
     """``col >= as_of - days``, plus a partition-column bound for pruning."""
     lower = days_before(as_of, days)
     out = df.where(F.col(col) >= lower)
-    if col == "created_at" and "created_date" in df.columns:
-        out = out.where(F.col("created_date") >= F.to_date(lower))
+    if col == "created_at" and "created_month" in df.columns:
+        out = out.where(F.col("created_month") >= F.trunc(F.to_date(lower), "month"))
     return out
 
 

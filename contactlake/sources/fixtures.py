@@ -166,13 +166,16 @@ def layers(spark: SparkSession, sf_dir: str) -> Layers:
 
 
 def materialized_layers(spark: SparkSession, sf_dir: str, out_dir: str) -> Layers:
-    """Write core (partitioned by day, clustered) and quarantine once, then read them
-    back: what a deployment does, marts then scan the written tables with pruning."""
+    """Write raw (partitioned by run), core (by day of creation, clustered) and the
+    quarantine once, then read them back: what a deployment does; reports then scan the
+    written tables with partition pruning and pushed filters."""
     from ..operators.core import with_layout
     lz = layers(spark, sf_dir)
-    with_layout(lz.core_contacts).write.mode("overwrite").partitionBy("created_date") \
+    lz.contacts_raw.write.mode("overwrite").partitionBy("run_id").parquet(f"{out_dir}/contacts_raw")
+    raw = spark.read.parquet(f"{out_dir}/contacts_raw")
+    with_layout(core_contacts(raw)).write.mode("overwrite").partitionBy("created_month") \
         .parquet(f"{out_dir}/core_contacts")
     lz.invalid_contacts.write.mode("overwrite").parquet(f"{out_dir}/invalid_contacts")
     core = spark.read.parquet(f"{out_dir}/core_contacts")
     inv = spark.read.parquet(f"{out_dir}/invalid_contacts")
-    return Layers(lz.contacts_raw, core, lz.api_contacts, inv)
+    return Layers(raw, core, lz.api_contacts, inv)

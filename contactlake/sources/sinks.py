@@ -145,7 +145,7 @@ def read_snapshot(spark: SparkSession, base: str) -> DataFrame | None:
     return None if path is None else spark.read.parquet(path)
 
 
-def publish_snapshot(df: DataFrame, base: str, partition_by: str | None = "created_date") -> str:
+def publish_snapshot(df: DataFrame, base: str, partition_by: str | None = "created_month") -> str:
     """Write a full new snapshot ``base/v=<n>`` and then move the small ``_CURRENT``
     pointer to it; the previous snapshot stays readable until it is superseded. A
     failed write leaves the pointer on the old snapshot."""
@@ -153,7 +153,7 @@ def publish_snapshot(df: DataFrame, base: str, partition_by: str | None = "creat
     cur = current_snapshot(base)
     n = 0 if cur is None else int(cur.rstrip("/").rsplit("v=", 1)[1]) + 1
     path = os.path.join(base, f"v={n}")
-    out = with_layout(df) if partition_by == "created_date" else df
+    out = with_layout(df) if partition_by == "created_month" else df
     w = out.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(partition_by)
