@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import API_PAGE_SCHEMA, API_SCHEMA, CSV_SCHEMA
+from ..schema import API_SCHEMA, CSV_SCHEMA
 from ..session import ensure_utc
 
 
@@ -16,28 +16,34 @@ def _with_seq(df: DataFrame) -> DataFrame:
               .withColumn("ingest_seq", F.monotonically_increasing_id()))
 
 
-def read_api_contacts(spark: SparkSession, path: str) -> DataFrame:
-    """Landed API pages ``{results:[contact], paging}``, or bare arrays / single
-    contact objects, into one record per contact with its original JSON text.
-
-    Files are read as text (one JSON document per file, split by Spark across files);
-    each record keeps ``raw_json`` so V3 can check JSON types exactly."""
-    ensure_utc(spark)
-    docs = spark.read.option("wholetext", "true").text(path) \
-        .select(F.col("value").alias("doc"), F.col("_metadata.file_path").alias("_file"))
+def api_records_from_docs(docs: DataFrame) -> DataFrame:
+    """JSON documents in column ``doc`` (an API page ``{results:[...], paging}``, a bare
+    array of contacts, or one contact object) → one row per contact record with its
+    original JSON text in ``raw_json`` (V3 checks JSON types on it)."""
     v = F.try_parse_json("doc")
     kind = F.schema_of_variant(v)
-    # page object → its results array; array → itself; single object → [object]
-    arr = F.when(kind.startswith("OBJECT") & F.try_variant_get(v, "$.results", "variant").isNotNull(),
+    results = F.try_variant_get(v, "$.results", "variant")
+    arr = F.when(kind.startswith("OBJECT") & results.isNotNull(),
                  F.try_variant_get(v, "$.results", "array<variant>")) \
         .when(kind.startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>")) \
         .otherwise(F.array(v))
-    recs = docs.select("_file", F.posexplode(arr).alias("_pos", "rec"))
+    keep = [c for c in docs.columns if c != "doc"]
+    recs = docs.select(*keep, F.posexplode(arr).alias("_pos", "rec"))
     text = F.to_json("rec")
-    parsed = F.from_json(text, API_SCHEMA)
-    out = recs.select("_file", "_pos", text.alias("raw_json"), parsed.alias("r")) \
-        .select("_file", "_pos", "raw_json", "r.id", "r.properties")
-    return out.withColumn("ingest_seq", F.monotonically_increasing_id())
+    return recs.select(*keep, "_pos", text.alias("raw_json"),
+                       F.from_json(text, API_SCHEMA).alias("r")) \
+        .select(*keep, "_pos", "raw_json", "r.id", "r.properties") \
+        .withColumn("ingest_seq", F.monotonically_increasing_id())
+
+
+def read_api_contacts(spark: SparkSession, path: str) -> DataFrame:
+    """Landed API page files (or arrays / single objects) → one record per contact.
+
+    Each file is one JSON document; Spark splits the work across files."""
+    ensure_utc(spark)
+    docs = spark.read.option("wholetext", "true").text(path) \
+        .select(F.col("value").alias("doc"), F.col("_metadata.file_path").alias("_file"))
+    return api_records_from_docs(docs)
 
 
 def read_csv_contacts(spark: SparkSession, path: str) -> DataFrame:
