@@ -168,3 +168,9 @@ def publish_snapshot(df: DataFrame, base: str, partition_by: str | None = "creat
 
 def quarantine_schema_ddl() -> str:
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in QUARANTINE_SCHEMA.fields)
+
+
+# ------------------------------------------------------------------ S17 ----------------
+def run_query(spark: SparkSession, sql: str, params: dict | None = None) -> DataFrame:
+    """SQL with named parameters (``:run_id``), bound by Spark, never formatted in."""
+    return spark.sql(sql, args=params or {})

@@ -65,3 +65,21 @@ def test_snapshot_pointer(spark, tmpdir_path):
     p1 = sinks.publish_snapshot(df, base)
     assert p0.endswith("v=0") and p1.endswith("v=1")
     assert sinks.read_snapshot(spark, base).count() == 1
+
+
+def test_views_tables_and_params(spark, tmpdir_path):
+    from contactlake.plans import marts
+    from contactlake.sources import fixtures
+    lz = fixtures.layers(spark, "/root/testdata/sf0.001")
+    done = marts.register_marts(lz.core_contacts, lz.invalid_contacts, fixtures.AS_OF)
+    assert len(done) == 6
+    got = sinks.run_query(spark, "SELECT value FROM vw_data_quality WHERE metric = :m",
+                          {"m": "Valid Records"}).first()["value"]
+    assert int(got) == lz.core_contacts.count()
+    path = os.path.join(tmpdir_path, "qt")
+    sinks.create_table_if_missing(spark, "quarantine_t", path, sinks.quarantine_schema_ddl(),
+                                  ["run_id"])
+    sinks.create_table_if_missing(spark, "quarantine_t", path, sinks.quarantine_schema_ddl(),
+                                  ["run_id"])
+    assert spark.table("quarantine_t").count() == 0
+    spark.sql("DROP TABLE quarantine_t")
