@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.core import dedupe_latest
-from ..operators.joins import join_small
 from ..session import ensure_utc
 from ..schema import CONTACT_COLUMNS
 
@@ -36,12 +35,13 @@ def contacts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
     customer = driver_table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment", "c_nationkey")
-    # nation is the 25-row TPC dimension: broadcast after a bounded size check
     nation = driver_table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("c_nationkey"), "n_name")
     # orders x customer is a big-to-big equi-join on custkey: shuffle join; AQE splits a
-    # customer that owns a skewed share of the orders.
-    j = join_small(orders.join(customer, "o_custkey"), nation, "c_nationkey", max_rows=10_000)
+    # customer that owns a skewed share of the orders. nation is broadcast by the planner
+    # only while its file statistics are under the broadcast threshold (a size check that
+    # needs no job); beyond it the planner keeps a shuffle join.
+    j = orders.join(customer, "o_custkey").join(nation, "c_nationkey")
     k = F.col("o_orderkey")
     cust = F.col("o_custkey").cast("string")
     status = F.when(k % 10 == 0, "NEW").when(k % 10 == 1, "OPEN") \
