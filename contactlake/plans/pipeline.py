@@ -83,30 +83,36 @@ def extract(spark: SparkSession, path: str, fmt: str, since=None) -> DataFrame:
 
 
 def merge_core(spark: SparkSession, wh: Warehouse, run_id: str, mode: str = "run",
-               now=None) -> int:
-    """Merge the run into core, publish the new snapshot, return the number of
-    affected keys (updates + inserts)."""
-    target = sinks.read_snapshot(spark, wh.core)
+               now=None, publish: str = "partitions") -> int:
+    """Merge the run into core and return the number of affected keys
+    (updates + inserts).
+
+    ``publish='partitions'`` rewrites only the months that change (large tables);
+    ``publish='snapshot'`` writes a full new snapshot and moves a pointer to it."""
+    target = sinks.read_core(spark, wh.core)
     if target is not None:
         target = target.drop("created_month")
     raw = spark.read.parquet(wh.raw)
     if mode == "run":
         source = raw.where(F.col("run_id") == run_id)
-        merged = merge_snapshot(target, source, mode="run", now=now)
     elif mode == "watermark":
         source = watermark_filter(stg_contacts(raw), target)
-        merged = merge_snapshot(target, source, mode="watermark")
     else:
         raise ValueError(f"unknown merge mode {mode!r}")
-    # the source is a filtered read of a written table: counting it twice is cheap
+    keep_ts = "run" if mode == "run" else "watermark"
+    # the source is a filtered read of a written table: counting it is cheap
     affected = source.select("contact_id").distinct().count()
-    sinks.publish_snapshot(merged, wh.core)
+    if publish == "snapshot":
+        sinks.publish_snapshot(merge_snapshot(target, source, mode=keep_ts, now=now), wh.core)
+    else:
+        rows = merge_snapshot(None, source, mode=keep_ts, now=now)     # dedupe + stamp
+        sinks.merge_partitions(spark, wh.core, rows, scratch_path(spark, "merge-staging"))
     return affected
 
 
 def process_validated(spark: SparkSession, annotated: DataFrame, wh: Warehouse, run_id: str,
                       mode: str = "run", now=None, archive_processed: bool = False,
-                      log=print) -> RunStats:
+                      log=print, publish: str = "partitions") -> RunStats:
     """Stages 3-7 on an already read batch."""
     stage_root = scratch_path(spark, "stages")
     annotated = sinks.save_stage(annotated, stage_root, "validated", run_id)
@@ -124,13 +130,13 @@ def process_validated(spark: SparkSession, annotated: DataFrame, wh: Warehouse,
     stats.quarantined = sinks.append_quarantine(invalid, wh.quarantine, run_id, now)
     if mode == "model":                              # C6: model path, fallback to merge
         try:
-            merge_core(spark, wh, run_id, "watermark", now)
+            merge_core(spark, wh, run_id, "watermark", now, publish)
             stats.core_merged, stats.model_run = -1, True
         except Exception as exc:  # noqa: BLE001
             log(f"model merge failed ({exc}); falling back to run merge")
-            stats.core_merged = merge_core(spark, wh, run_id, "run", now)
+            stats.core_merged = merge_core(spark, wh, run_id, "run", now, publish)
     else:
-        stats.core_merged = merge_core(spark, wh, run_id, mode, now)
+        stats.core_merged = merge_core(spark, wh, run_id, mode, now, publish)
     spark.createDataFrame([tuple(asdict(stats).values())], RUN_AUDIT_SCHEMA) \
         .write.mode("append").parquet(wh.audit)
     return stats
@@ -138,7 +144,8 @@ def process_validated(spark: SparkSession, annotated: DataFrame, wh: Warehouse,
 
 def run_batch(spark: SparkSession, source_path: str, fmt: str, warehouse_root: str,
               run_id: str | None = None, mode: str = "run", now=None, since=None,
-              literal: bool = False, archive_processed: bool = False, log=print) -> RunStats:
+              literal: bool = False, archive_processed: bool = False, log=print,
+              publish: str = "partitions") -> RunStats:
     """Full run over one landed batch (JSON pages or CSV)."""
     ensure_utc(spark)
     wh = Warehouse(warehouse_root)
@@ -148,7 +155,8 @@ def run_batch(spark: SparkSession, source_path: str, fmt: str, warehouse_root: s
     keep = [c for c in records.columns if not c.startswith("_")]
     sinks.write_batch(records.select(*keep), wh.batches, CONTAINER_RAW, run_id)
     annotated = validate(records, literal=literal)
-    return process_validated(spark, annotated, wh, run_id, mode, now, archive_processed, log)
+    return process_validated(spark, annotated, wh, run_id, mode, now, archive_processed, log,
+                             publish)
 
 
 def run_audit(spark: SparkSession, warehouse_root: str) -> DataFrame:

@@ -3,7 +3,7 @@
 ``spark.range(n)`` gives the record numbers; every field is picked from small literal
 arrays by ``xxhash64(record, field, seed)``, so the data is deterministic for a seed and
 generated in parallel. A share of records is made invalid in one of five ways, a share
-is copied (same content, another position) and records are numbered in a shuffled
+is copied (same content, another position; about ``dup_share`` of them) and records are numbered in a shuffled
 order. Names and companies come from a rule, not from a list."""
 
 from __future__ import annotations
@@ -45,7 +45,6 @@ def synthetic_contacts(spark: SparkSession, n: int = 1000, invalid_share: float
 
     base = spark.range(1, n + 1).withColumnRenamed("id", "n")
     n_invalid = int(n * invalid_share)
-    n_dup = int(n * dup_share)
     first = F.concat(F.lit("Name"), F.pmod(h("first"), F.lit(997)).cast("string"))
     last = F.concat(F.lit("Surname"), F.pmod(h("last"), F.lit(991)).cast("string"))
     company = F.concat(F.lit("Company"), F.pmod(h("company"), F.lit(40)).cast("string"))
@@ -70,8 +69,10 @@ def synthetic_contacts(spark: SparkSession, n: int = 1000, invalid_share: float
         _pick(SOURCES, h("source")).alias("hs_analytics_source"),
         (F.pmod(h("revenue"), F.lit(4_950_001)) + 50_000).cast("string").alias("annualrevenue"),
         _pick([str(x) for x in EMPLOYEE_COUNTS], h("employees")).alias("numberofemployees"))
-    # copies: the first n_dup records of a hashed order are repeated
-    dups = rows.orderBy(F.xxhash64(F.col("n"), F.lit("dup"), F.lit(seed))).limit(n_dup)
+    # copies: records whose hash falls in the lowest dup_share of the range are repeated
+    # (a distributed filter; about n * dup_share copies)
+    dup_pick = F.pmod(F.xxhash64(F.col("n"), F.lit("dup"), F.lit(seed)), F.lit(1_000_000))
+    dups = rows.where(dup_pick < F.lit(int(dup_share * 1_000_000)))
     allrows = rows.unionByName(dups)
     # ids in a shuffled (hashed) order: a distributed range sort, then per-partition
     # increasing ids; unique, not consecutive

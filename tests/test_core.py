@@ -71,3 +71,23 @@ def test_grouped_median_matches_brute_force_with_hot_group(spark):
     pos = (len(hot) - 1) * 0.9
     lo, frac = int(pos), pos - int(pos)
     assert abs(q["hot"] - (hot[lo] + (hot[lo + 1] - hot[lo]) * frac)) < 1e-9
+
+
+def test_merge_partitions_moves_contact_and_drops_empty_month(spark, tmpdir_path):
+    import os
+    from contactlake.sources import sinks
+    core = os.path.join(tmpdir_path, "core")
+    stage = os.path.join(tmpdir_path, "stage")
+    target = contacts(spark, [("1", D(2024, 1, 1), None, D(2024, 1, 1), 1),
+                              ("9", D(2024, 3, 1), None, D(2024, 1, 1), 2)])   # only row of March
+    sinks.merge_partitions(spark, core, target.select(*CONTACT_COLUMNS), stage)
+    source = contacts(spark, [("9", D(2024, 5, 9), None, D(2024, 6, 1), 3),
+                              ("4", D(2024, 1, 2), None, D(2024, 6, 1), 4)])
+    months = sinks.merge_partitions(spark, core, source.select(*CONTACT_COLUMNS), stage)
+    assert sorted(months) == [dt.date(2024, 1, 1), dt.date(2024, 3, 1), dt.date(2024, 5, 1)]
+    got = {r["contact_id"]: r["created_at"] for r in spark.read.parquet(core).collect()}
+    assert got == {"1": D(2024, 1, 1), "4": D(2024, 1, 2), "9": D(2024, 5, 9)}
+    assert not os.path.exists(os.path.join(core, "created_month=2024-03-01"))
+    sinks.merge_partitions(spark, core, source.select(*CONTACT_COLUMNS), stage)   # re-run
+    again = {r["contact_id"]: r["created_at"] for r in spark.read.parquet(core).collect()}
+    assert again == got

@@ -28,7 +28,7 @@ def test_mock_run_and_retry(spark, tmpdir_path):
     assert s2.raw_loaded == 2 and s2.quarantined == 1                  # retry replaces
     raw = spark.read.parquet(os.path.join(wh, "contacts_raw"))
     assert raw.count() == 2
-    core = sinks.read_snapshot(spark, os.path.join(wh, "core_contacts"))
+    core = sinks.read_core(spark, os.path.join(wh, "core_contacts"))
     assert core.count() == 2
     assert run_audit(spark, wh).count() == 2
     q = spark.read.parquet(os.path.join(wh, "contacts_quarantine"))
@@ -47,12 +47,12 @@ def test_csv_run_dedupes_and_watermark_mode(spark, tmpdir_path):
     wh = os.path.join(tmpdir_path, "wh")
     s = run_batch(spark, path, "csv", wh, run_id="run_1", now="2024-03-01 00:00:00")
     assert (s.total, s.valid, s.invalid, s.core_merged) == (3, 2, 1, 1)
-    core = sinks.read_snapshot(spark, os.path.join(wh, "core_contacts"))
+    core = sinks.read_core(spark, os.path.join(wh, "core_contacts"))
     assert [r["email"] for r in core.collect()] == ["a2@b.com"]        # last record wins
     s2 = run_batch(spark, path, "csv", wh, run_id="run_2", mode="model",
                    now="2024-03-02 00:00:00")
     assert s2.model_run and s2.core_merged == -1
-    core = sinks.read_snapshot(spark, os.path.join(wh, "core_contacts"))
+    core = sinks.read_core(spark, os.path.join(wh, "core_contacts"))
     assert core.count() == 1 and core.first()["lead_status"] == "UNASSIGNED"
 
 
@@ -64,14 +64,15 @@ def test_stream_available_now(spark, tmpdir_path):
     q = stream_contacts(spark, landing, wh, os.path.join(tmpdir_path, "ckpt"))
     q.awaitTermination(120)
     assert spark.read.parquet(os.path.join(wh, "contacts_raw")).count() == 2
-    assert sinks.read_snapshot(spark, os.path.join(wh, "core_contacts")).count() == 2
+    assert sinks.read_core(spark, os.path.join(wh, "core_contacts")).count() == 2
 
 
 def test_generator_shape(spark):
-    df = synthetic_contacts(spark, n=200, seed=42)
-    assert df.count() == 200 + 6
-    assert df.select("id").distinct().count() == 206
+    df = synthetic_contacts(spark, n=2000, seed=42)
+    total = df.count()
+    assert 2000 < total < 2000 + 2 * 60
+    assert df.select("id").distinct().count() == total
     from contactlake.operators.validate import validate
     ann = validate(df)
     bad = ann.where(F.col("error_type").isNotNull()).count()
-    assert 0 < bad <= 50 + 6
+    assert 0 < bad <= 500 + 120
