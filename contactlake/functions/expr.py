@@ -109,6 +109,20 @@ def json_value_flat(doc: ColumnOrName, name: str) -> Column:
     return F.when(~(v.startswith("{") | v.startswith("[")), v)
 
 
+def with_json_fields(df, doc: str, names: list[str], out: str = "_j"):
+    """Parse the JSON text ``doc`` ONCE per row into a struct of string members ``out``
+    (the optimizer keeps one parse even when several members are used)."""
+    schema = ", ".join(f"`{n}` string" for n in names)
+    return df.withColumn(out, F.from_json(F.col(doc), schema))
+
+
+def jfield(name: str, out: str = "_j") -> Column:
+    """Member of a ``with_json_fields`` struct with JSON_VALUE semantics: scalar text, NULL
+    for JSON null, objects and arrays."""
+    v = F.col(f"{out}.{name}")
+    return F.when(~(v.startswith("{") | v.startswith("[")), v)
+
+
 def error_label(error_type: ColumnOrName = "error_type", labels: dict | None = None) -> Column:
     """Map produced error types onto the labels the error reports count."""
     labels = ERROR_LABELS if labels is None else labels

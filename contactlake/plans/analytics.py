@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from ..constants import (FUNNEL_BUCKETS, FUNNEL_OTHER_BUCKET, LABEL_FORMAT, LABEL_MISSING,
                          LABEL_VALIDATION, NO_CAMPAIGN, UNKNOWN)
 from ..functions.expr import (conversion_rate, converted_count, days_before, error_label,
-                              is_converted, json_value_flat, month_start, parse_ts, pct,
-                              round_half_up, safe_div, sunday_week)
+                              is_converted, jfield, month_start, parse_ts, pct,
+                              round_half_up, sunday_week, with_json_fields)
 from ..operators.percentile import grouped_percentile_cont
 from .marts import (metric_rows, n_rows, industry_analytics, lead_analytics, period_metrics, record_counts,
                     sales_funnel, since)
@@ -223,10 +223,14 @@ def a18_quality_summary(contacts: DataFrame, invalid: DataFrame) -> DataFrame:
         ("Data Quality Score %", pct(t - i, t))])))
 
 
+def _parsed(invalid: DataFrame, *names: str) -> DataFrame:
+    return with_json_fields(invalid, "original_data", list(names))
+
+
 def a19_errors_by_type(invalid: DataFrame) -> DataFrame:
-    agg = invalid.groupBy("error_type").agg(
+    agg = _parsed(invalid, "contact_id").groupBy("error_type").agg(
         n_rows().alias("error_count"),
-        F.countDistinct(json_value_flat("original_data", "contact_id")).alias("affected_records"))
+        F.countDistinct(jfield("contact_id")).alias("affected_records"))
     total = F.sum("error_count").over(Window.partitionBy())
     return (agg.select("error_type", "error_count",
                        pct(F.col("error_count"), total).alias("percentage"),
@@ -235,10 +239,10 @@ def a19_errors_by_type(invalid: DataFrame) -> DataFrame:
 
 
 def a20_error_detail(invalid: DataFrame) -> DataFrame:
-    created = parse_ts(json_value_flat("original_data", "created_at"))
-    return (invalid.groupBy("error_type")
+    created = parse_ts(jfield("created_at"))
+    return (_parsed(invalid, "email", "created_at").groupBy("error_type")
             .agg(n_rows().alias("total_errors"),
-                 F.countDistinct(json_value_flat("original_data", "email")).alias("unique_emails_affected"),
+                 F.countDistinct(jfield("email")).alias("unique_emails_affected"),
                  F.min(created).alias("earliest_error"),
                  F.max(created).alias("latest_error"))
             .orderBy(F.col("total_errors").desc()))
@@ -261,9 +265,10 @@ def a22_repeat_offenders(invalid: DataFrame, k: int = 20) -> DataFrame:
 
     Distinct (group, type, message) triples are formed first (partial aggregation), so
     the sets built per group hold distinct values only."""
-    email = json_value_flat("original_data", "email").alias("email")
-    company = json_value_flat("original_data", "company_name").alias("company")
-    trip = invalid.groupBy(email, company, "error_type", "error_message").agg(n_rows().alias("_n"))
+    email = jfield("email").alias("email")
+    company = jfield("company_name").alias("company")
+    trip = _parsed(invalid, "email", "company_name") \
+        .groupBy(email, company, "error_type", "error_message").agg(n_rows().alias("_n"))
     return (trip.groupBy("email", "company")
             .agg(F.sum("_n").alias("error_count"),
                  F.array_join(F.sort_array(F.collect_set("error_type")), ", ").alias("error_types"),
@@ -275,10 +280,8 @@ def a22_repeat_offenders(invalid: DataFrame, k: int = 20) -> DataFrame:
 
 
 def a23_validation_by_field(invalid: DataFrame) -> DataFrame:
-    em = json_value_flat("original_data", "email")
-    co = json_value_flat("original_data", "company_name")
-    rv = json_value_flat("original_data", "annual_revenue")
-    one = invalid.agg(
+    em, co, rv = jfield("email"), jfield("company_name"), jfield("annual_revenue")
+    one = _parsed(invalid, "email", "company_name", "annual_revenue").agg(
         F.count_if(em.isNull() | (em == "")).alias("e"),
         F.count_if(co.isNull() | (co == "")).alias("c"),
         F.count_if(rv.try_cast("bigint").isNull() & rv.isNotNull()).alias("r"),
@@ -308,10 +311,10 @@ def a24_daily_error_rate(invalid: DataFrame, contacts: DataFrame, as_of=None) ->
 
 def a25_errors_by_source(invalid: DataFrame, labels: dict | None = None) -> DataFrame:
     lab = error_label("error_type", labels)
-    src = json_value_flat("original_data", "hs_analytics_source")
-    return (invalid.groupBy(src.alias("_src"))
+    src = jfield("hs_analytics_source")
+    return (_parsed(invalid, "hs_analytics_source", "email").groupBy(src.alias("_src"))
             .agg(n_rows().alias("invalid_count"),
-                 F.countDistinct(json_value_flat("original_data", "email")).alias("affected_emails"),
+                 F.countDistinct(jfield("email")).alias("affected_emails"),
                  F.count_if(lab == LABEL_VALIDATION).alias("validation"),
                  F.count_if(lab == LABEL_MISSING).alias("missing_field"),
                  F.count_if(lab == LABEL_FORMAT).alias("invalid_format"))

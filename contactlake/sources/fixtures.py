@@ -175,7 +175,11 @@ def materialized_layers(spark: SparkSession, sf_dir: str, out_dir: str) -> Layer
     raw = spark.read.parquet(f"{out_dir}/contacts_raw")
     with_layout(core_contacts(raw)).write.mode("overwrite").partitionBy("created_month") \
         .parquet(f"{out_dir}/core_contacts")
-    lz.invalid_contacts.write.mode("overwrite").parquet(f"{out_dir}/invalid_contacts")
+    # quarantine rows of many runs land in many files; spread them the same way so that
+    # report scans run in parallel rather than in one task per file
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lz.invalid_contacts.repartition(n, "id").write.mode("overwrite") \
+        .parquet(f"{out_dir}/invalid_contacts")
     core = spark.read.parquet(f"{out_dir}/core_contacts")
     inv = spark.read.parquet(f"{out_dir}/invalid_contacts")
     return Layers(raw, core, lz.api_contacts, inv)
