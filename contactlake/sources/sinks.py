@@ -132,25 +132,51 @@ def create_table_if_missing(spark: SparkSession, name: str, path: str, schema_dd
               f"LOCATION '{path}'")
 
 
-def current_snapshot(base: str) -> str | None:
-    ptr = os.path.join(base, "_CURRENT")
-    if not os.path.exists(ptr):
+def _fs_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _read_small_text(spark: SparkSession, path: str) -> str | None:
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
         return None
-    with open(ptr) as fh:
-        return json.load(fh)["path"]
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _write_small_text(spark: SparkSession, path: str, text: str) -> None:
+    """One small object written through the cluster file system (HDFS, object store):
+    it becomes visible whole when the stream is closed."""
+    fs, p = _fs_path(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def current_snapshot(spark: SparkSession, base: str) -> str | None:
+    text = _read_small_text(spark, os.path.join(base, "_CURRENT"))
+    return None if text is None else json.loads(text)["path"]
 
 
 def read_snapshot(spark: SparkSession, base: str) -> DataFrame | None:
-    path = current_snapshot(base)
+    path = current_snapshot(spark, base)
     return None if path is None else spark.read.parquet(path)
 
 
 def publish_snapshot(df: DataFrame, base: str, partition_by: str | None = "created_month") -> str:
-    """Write a full new snapshot ``base/v=<n>`` and then move the small ``_CURRENT``
-    pointer to it; the previous snapshot stays readable until it is superseded. A
-    failed write leaves the pointer on the old snapshot."""
+    """Write a full new snapshot ``base/v=<n>`` and then replace the small ``_CURRENT``
+    pointer; the previous snapshot stays readable. A failed write leaves the pointer on
+    the old snapshot. Pointer I/O goes through the Hadoop file system of the cluster."""
     from ..operators.core import with_layout
-    cur = current_snapshot(base)
+    spark = df.sparkSession
+    cur = current_snapshot(spark, base)
     n = 0 if cur is None else int(cur.rstrip("/").rsplit("v=", 1)[1]) + 1
     path = os.path.join(base, f"v={n}")
     out = with_layout(df) if partition_by == "created_month" else df
@@ -158,11 +184,7 @@ def publish_snapshot(df: DataFrame, base: str, partition_by: str | None = "creat
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)
-    os.makedirs(base, exist_ok=True)
-    tmp = os.path.join(base, "_CURRENT.tmp")
-    with open(tmp, "w") as fh:
-        json.dump({"path": path, "version": n}, fh)
-    os.replace(tmp, os.path.join(base, "_CURRENT"))
+    _write_small_text(spark, os.path.join(base, "_CURRENT"), json.dumps({"path": path, "version": n}))
     return path
 
 
