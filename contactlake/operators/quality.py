@@ -89,3 +89,14 @@ def source_freshness(raw: DataFrame, quarantine: DataFrame, as_of=None,
                            RAW_FRESHNESS_WARN_H, RAW_FRESHNESS_ERROR_H).unionByName(
         check_freshness(quarantine, "contacts_quarantine", quarantine_time, as_of,
                         QUARANTINE_FRESHNESS_WARN_H, None))
+
+
+def check_split(annotated: DataFrame) -> DataFrame:
+    """D6 over a validated batch: every record lands in exactly one side, so
+    valid + invalid = total (one scan, one row)."""
+    one = annotated.agg(F.count(F.lit(1)).alias("total"),
+                        F.count_if(F.col("error_type").isNull()).alias("valid"),
+                        F.count_if(F.col("error_type").isNotNull()).alias("invalid"))
+    ok = F.col("valid") + F.col("invalid") == F.col("total")
+    return one.select(F.lit("valid_plus_invalid_equals_total").alias("check"), "total", "valid",
+                      "invalid", F.when(ok, "pass").otherwise("fail").alias("status"))

@@ -11,12 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import ACCEPTED_INDUSTRY, ACCEPTED_LEAD_STATUS, CONTAINER_RAW
+from ..constants import ACCEPTED_INDUSTRY, ACCEPTED_LEAD_STATUS, CONTAINER_RAW, CSV_COLUMNS
 from ..functions.expr import int_text_ok, parse_int, parse_ts
 from ..operators import quality
 from ..operators.core import dedupe_latest, merge_snapshot, watermark_filter
 from ..operators.staging import stg_contacts
-from ..operators.validate import error_counts, validate_api
+from ..operators.validate import error_counts, run_stats, validate_api, validate_csv
+from ..sources.readers import api_records_from_docs
 from ..schema import CONTACT_COLUMNS, RELATIONAL_COLUMNS
 from ..sources import fixtures as fx
 from . import analytics as A
@@ -29,6 +30,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 TARGET_LAST_RUN = "run_1999"
 MERGE_RUN = "run_2001"
 LIST_PREFIX = "run_199"
+FIXTURE_RUN = "run_1"
+SINCE = "2001-01-01 00:00:00"
+S1_PROPERTIES = ["email", "company", "annualrevenue", "createdate", "numberofemployees",
+                 "hs_analytics_source"]
+CSV_PROJECTION = ["contact_id", "email", "first_name", "last_name", "company_name", "job_title",
+                  "annual_revenue", "created_at"]
 
 _CACHE: dict[tuple[int, str], fx.Layers] = {}
 
@@ -100,6 +107,79 @@ def _v12(spark, sf_dir):
     return error_counts(_api_annotated(spark, sf_dir))
 
 
+def _landing(spark, name: str) -> str:
+    """A fresh folder in the shared checkpoint folder for landed files of one call."""
+    import uuid
+
+    from ..session import scratch_path
+    return scratch_path(spark, "landing", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _v3(spark, sf_dir):
+    docs = fx.api_record_json(spark, sf_dir).select(F.col("rec").alias("doc"))
+    return validate_api(api_records_from_docs(docs)) \
+        .select("contact_id", "error_type", "error_message")
+
+
+def _v4(spark, sf_dir):
+    return validate_csv(fx.csv_rows(spark, sf_dir).drop("event_id")) \
+        .select("contact_id", "error_type", "error_message")
+
+
+def _v10(spark, sf_dir):
+    return _api_annotated(spark, sf_dir).where(F.col("error_type").isNull()).select(
+        "contact_id", "email", "company_name", "annual_revenue", "numberofemployees",
+        "created_at", "lead_status", "hs_analytics_source")
+
+
+def _v11(spark, sf_dir):
+    return validate_csv(fx.csv_rows(spark, sf_dir).drop("event_id")) \
+        .where(F.col("error_type").isNull()).select(*CSV_PROJECTION)
+
+
+def _v14(spark, sf_dir):
+    return run_stats(_api_annotated(spark, sf_dir), FIXTURE_RUN)
+
+
+def _d6(spark, sf_dir):
+    return quality.check_split(_api_annotated(spark, sf_dir))
+
+
+def _s1(spark, sf_dir):
+    from ..sources.readers import read_api_contacts
+    from ..sources.sinks import write_lines
+    path = write_lines(fx.api_pages(spark, sf_dir).select(F.col("doc").alias("line")),
+                       _landing(spark, "api"))
+    r = read_api_contacts(spark, path, lines=True)
+    return r.select(F.col("id").alias("contact_id"),
+                    *[F.col(f"properties.{c}").alias(c) for c in S1_PROPERTIES])
+
+
+def _s2(spark, sf_dir):
+    from ..sources.readers import read_csv_contacts
+    from ..sources.sinks import write_lines
+    path = write_lines(fx.csv_lines(spark, sf_dir), _landing(spark, "csv"),
+                       header=",".join(CSV_COLUMNS))
+    rows = read_csv_contacts(spark, path).withColumn("row_id", F.col("contact_id"))
+    return validate_csv(rows).select(
+        "row_id", F.coalesce("error_type", F.lit("valid")).alias("outcome"),
+        "email", "annual_revenue", "created_at")
+
+
+def _s4(spark, sf_dir):
+    from ..sources.readers import created_since
+    return created_since(_core(spark, sf_dir), SINCE).select("contact_id", "created_at")
+
+
+def _s11(spark, sf_dir):
+    from ..operators.validate import invalid_side
+    from ..sources.sinks import quarantine_rows
+    recs = fx.api_records(fx.api_contacts(spark, sf_dir))
+    bad = invalid_side(validate_api(recs, original_data=fx.fixture_original_data()))
+    return quarantine_rows(bad, FIXTURE_RUN, AS_OF).select(
+        "id", "error_type", "error_message", "run_id", "quarantined_at")
+
+
 def _d1(spark, sf_dir):
     return quality.check_not_null(_core(spark, sf_dir),
                                   ["contact_id", "email", "created_at", "processed_at", "run_id"])
@@ -182,8 +262,10 @@ def queries() -> dict[str, Query]:
         "a24": lambda s, d: A.a24_daily_error_rate(_inv(s, d), _core(s, d), AS_OF),
         "a25": lambda s, d: A.a25_errors_by_source(_inv(s, d)),
         "c1": _c1, "c2": _c2, "c3": _c3, "c4": _c4, "c5": _c5,
-        "v8": _v8, "v9": _v9, "v12": _v12,
-        "d1": _d1, "d2": _d2, "d3": _d3, "d4": _d4, "d5": _d5,
-        "s3": _s3, "s7": _s7, "s8": _s8, "s13": _s13,
+        "v3": _v3, "v4": _v4, "v8": _v8, "v9": _v9, "v10": _v10, "v11": _v11, "v12": _v12,
+        "v14": _v14,
+        "d1": _d1, "d2": _d2, "d3": _d3, "d4": _d4, "d5": _d5, "d6": _d6,
+        "s1": _s1, "s2": _s2, "s3": _s3, "s4": _s4, "s7": _s7, "s8": _s8, "s11": _s11,
+        "s13": _s13,
     }
     return q

@@ -7,7 +7,9 @@ of tie-breaks is explicit."""
 
 from __future__ import annotations
 
-from ..constants import ACCEPTED_INDUSTRY, ACCEPTED_LEAD_STATUS, EMAIL_PATTERN
+from ..constants import (ACCEPTED_INDUSTRY, ACCEPTED_LEAD_STATUS, API_PROPERTIES,
+                         EMAIL_PATTERN, MSG_API_MISSING_EMAIL, MSG_CSV_MISSING_EMAIL)
+from ..operators.validate import MSG_EMAIL, MSG_INT, MSG_SHAPE_API
 
 AS_OF = "TIMESTAMP '2001-08-01 00:00:00'"
 _EMAIL = EMAIL_PATTERN.replace("'", "''")
@@ -109,7 +111,8 @@ SELECT CAST(event_id AS STRING) AS id,
             WHEN 5 THEN '2024-01-15T10:30:00Z +0000' ELSE '2024-01-15T10:30:00Z' END AS createdate,
        'Company ' || CAST(user_id % 20 AS STRING) AS company,
        event_type AS hs_analytics_source,
-       ts - INTERVAL '8218' DAY AS processed_at
+       ts - INTERVAL '8218' DAY AS processed_at,
+       event_id, user_id, props
 FROM events),
 api_checked AS (
 SELECT *, CASE WHEN email IS NULL OR email = '' THEN 'MissingEmail'
@@ -129,6 +132,65 @@ FROM api_checked WHERE error_type IS NOT NULL)
 """
 
 
+def S(text: str) -> str:
+    """SQL string literal."""
+    return "'" + text.replace("'", "''") + "'"
+
+
+def JT(x: str) -> str:
+    """JSON string of a text expression, or null (fixture texts need no escaping)."""
+    return f"COALESCE('\"' || {x} || '\"', 'null')"
+
+
+_K = "json_extract_string(props, '$.k')"
+_FIRST = "'First' || CAST(user_id AS STRING)"
+# API records as JSON text with type faults, the same text the Spark fixture builds
+API_JSON = (
+    "api_json AS (\nSELECT event_id, '{\"id\":' || CASE WHEN event_id % 5 = 0 "
+    "THEN CAST(event_id AS STRING) ELSE '\"' || CAST(event_id AS STRING) || '\"' END"
+    " || CASE WHEN event_id % 5 = 2 THEN '' ELSE "
+    f"',\"properties\":{{\"email\":' || {JT('email')}"
+    f" || ',\"firstname\":' || {JT(_FIRST)}"
+    f" || ',\"company\":' || {JT('company')}"
+    f" || ',\"annualrevenue\":' || {JT('annualrevenue')}"
+    f" || ',\"createdate\":' || {JT('createdate')}"
+    f" || ',\"numberofemployees\":' || CASE WHEN event_id % 5 = 1 THEN COALESCE({_K}, 'null') "
+    f"ELSE {JT(_K)} END"
+    f" || ',\"hs_analytics_source\":' || {JT('hs_analytics_source')} || '}}' END || '}}' AS rec\n"
+    "FROM api_contacts)")
+
+
+def _prop(name: str) -> str:
+    return f"json_extract_string(rec, '$.properties.{name}')"
+
+
+def _shape_ok() -> str:
+    parts = ["json_type(rec, '$.id') = 'VARCHAR'",
+             "COALESCE(json_type(rec, '$.properties') = 'OBJECT', false)"]
+    parts += [f"COALESCE(json_type(rec, '$.properties.{p}') IN ('VARCHAR', 'NULL'), true)"
+              for p in API_PROPERTIES]
+    return " AND ".join(parts)
+
+
+CSV_ROWS = f"""
+csv_rows AS (
+SELECT event_id, id AS contact_id, COALESCE(email, '') AS email,
+       'First' || CAST(user_id AS STRING) AS first_name, 'Last' || CAST(user_id AS STRING) AS last_name,
+       company AS company_name, '' AS job_title, COALESCE(annualrevenue, '') AS annual_revenue,
+       COALESCE(createdate, '') AS created_at
+FROM api_contacts),
+csv_checked AS (
+SELECT *,
+       CASE WHEN email = '' OR NOT contains(email, '@') THEN 'MissingEmail'
+            WHEN NOT regexp_matches(email, '{_EMAIL}') THEN 'ValidationError'
+            WHEN NOT {int_ok_sql('annual_revenue')} THEN 'ValidationError' END AS error_type,
+       CASE WHEN email = '' OR NOT contains(email, '@') THEN {S(MSG_CSV_MISSING_EMAIL)}
+            WHEN NOT regexp_matches(email, '{_EMAIL}') THEN {S(MSG_EMAIL)}
+            WHEN NOT {int_ok_sql('annual_revenue')} THEN {S(MSG_INT)} END AS error_message
+FROM csv_rows)
+"""
+
+
 def with_fixtures(body: str) -> str:
     return f"WITH {FIXTURES.strip()}\n{body.strip()}"
 
@@ -369,6 +431,70 @@ UNION ALL SELECT {CONTACT_COLS} FROM s"""
                f"NULLIF({parse_int_sql('annualrevenue')}, 0) AS annual_revenue FROM api_contacts")
     q["v12"] = ("SELECT COALESCE(error_type, 'valid') AS outcome, COUNT(*) AS records "
                 "FROM api_checked GROUP BY 1")
+    q["v3"] = f"""
+, {API_JSON},
+t AS (SELECT json_extract_string(rec, '$.id') AS contact_id, {_shape_ok()} AS shape_ok,
+             {_prop('email')} AS email, {_prop('annualrevenue')} AS rev,
+             {_prop('numberofemployees')} AS emp FROM api_json)
+SELECT contact_id,
+       CASE WHEN NOT shape_ok THEN 'ValidationError'
+            WHEN email IS NULL OR email = '' THEN 'MissingEmail'
+            WHEN NOT regexp_matches(email, '{_EMAIL}') THEN 'ValidationError'
+            WHEN NOT ({int_ok_sql('rev')} AND {int_ok_sql('emp')}) THEN 'ValidationError' END AS error_type,
+       CASE WHEN NOT shape_ok THEN {S(MSG_SHAPE_API)}
+            WHEN email IS NULL OR email = '' THEN {S(MSG_API_MISSING_EMAIL)}
+            WHEN NOT regexp_matches(email, '{_EMAIL}') THEN {S(MSG_EMAIL)}
+            WHEN NOT ({int_ok_sql('rev')} AND {int_ok_sql('emp')}) THEN {S(MSG_INT)} END AS error_message
+FROM t"""
+    q["v4"] = f", {CSV_ROWS.strip()}\nSELECT contact_id, error_type, error_message FROM csv_checked"
+    q["v10"] = f"""
+SELECT id AS contact_id, lower(email) AS email, company AS company_name,
+       NULLIF({parse_int_sql('annualrevenue')}, 0) AS annual_revenue,
+       CAST(NULL AS BIGINT) AS numberofemployees, {parse_ts_sql('createdate')} AS created_at,
+       CAST(NULL AS VARCHAR) AS lead_status, hs_analytics_source
+FROM api_checked WHERE error_type IS NULL"""
+    q["v11"] = f"""
+, {CSV_ROWS.strip()}
+SELECT contact_id, lower(email) AS email, first_name, last_name, company_name, job_title,
+       NULLIF({parse_int_sql('annual_revenue')}, 0) AS annual_revenue,
+       {parse_ts_sql('created_at')} AS created_at
+FROM csv_checked WHERE error_type IS NULL"""
+    stats = ("SELECT 'run_1' AS run_id, COUNT(*) AS total, COUNT_IF(error_type IS NULL) AS valid, "
+             "COUNT_IF(error_type IS NOT NULL) AS invalid FROM api_checked")
+    q["v14"] = stats
+    q["d6"] = (f"SELECT 'valid_plus_invalid_equals_total' AS \"check\", total, valid, invalid, "
+               f"CASE WHEN valid + invalid = total THEN 'pass' ELSE 'fail' END AS status "
+               f"FROM ({stats}) x")
+    q["s1"] = f"""
+, {API_JSON}
+SELECT json_extract_string(rec, '$.id') AS contact_id, {_prop('email')} AS email,
+       {_prop('company')} AS company, {_prop('annualrevenue')} AS annualrevenue,
+       {_prop('createdate')} AS createdate, {_prop('numberofemployees')} AS numberofemployees,
+       {_prop('hs_analytics_source')} AS hs_analytics_source
+FROM api_json"""
+    short = "event_id % 11 = 10"
+    q["s2"] = f"""
+, {CSV_ROWS.strip()}
+SELECT contact_id AS row_id,
+       CASE WHEN {short} THEN 'ValidationError' ELSE COALESCE(error_type, 'valid') END AS outcome,
+       CASE WHEN NOT {short} THEN lower(email) END AS email,
+       CASE WHEN NOT {short} THEN NULLIF({parse_int_sql('annual_revenue')}, 0) END AS annual_revenue,
+       CASE WHEN NOT {short} THEN {parse_ts_sql('created_at')} END AS created_at
+FROM csv_checked"""
+    q["s4"] = ("SELECT contact_id, created_at FROM core_contacts "
+               "WHERE created_at >= TIMESTAMP '2001-01-01 00:00:00'")
+    src_json = ("'{\"contact_id\":\"' || id || '\",\"email\":' || COALESCE('\"' || email || '\"', 'null')"
+                " || ',\"company_name\":\"' || company || '\",\"annual_revenue\":'"
+                " || COALESCE('\"' || annualrevenue || '\"', 'null')"
+                " || ',\"created_at\":' || COALESCE('\"' || createdate || '\"', 'null')"
+                " || ',\"hs_analytics_source\":\"' || hs_analytics_source || '\"}'")
+    q["s11"] = f"""
+SELECT sha256('run_1||' || {src_json}) AS id, error_type,
+       CASE WHEN email IS NULL OR email = '' THEN {S(MSG_API_MISSING_EMAIL)}
+            WHEN NOT regexp_matches(email, '{_EMAIL}') THEN {S(MSG_EMAIL)}
+            ELSE {S(MSG_INT)} END AS error_message,
+       'run_1' AS run_id, {AS_OF} AS quarantined_at
+FROM api_checked WHERE error_type IS NOT NULL"""
     # ---- data tests
     nn = ["contact_id", "email", "created_at", "processed_at", "run_id"]
     q["d1"] = "\nUNION ALL\n".join(

@@ -82,8 +82,13 @@ def core_contacts(raw: DataFrame) -> DataFrame:
 
 def api_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat API-shaped records from the events table, covering validator branches."""
+    return _api_flat(spark, sf_dir)
+
+
+def _api_flat(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     ensure_utc(spark)
-    ev = driver_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    base = ["event_id", "ts", "user_id", "event_type", "value"]
+    ev = driver_table(spark, sf_dir, "events").select(*base, *[c for c in extra if c not in base])
     e = F.col("event_id")
     email = F.when(e % 8 == 0, F.lit(None).cast("string")).when(e % 8 == 1, "") \
         .when(e % 8 == 2, "invalidemail.com").when(e % 8 == 3, "user@") \
@@ -104,6 +109,7 @@ def api_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Company "), (F.col("user_id") % 20).cast("string")).alias("company"),
         F.col("event_type").alias("hs_analytics_source"),
         (_ts("ts") - F.make_dt_interval(F.lit(EVENT_SHIFT_DAYS))).alias("processed_at"),
+        *extra,
     )
 
 
@@ -144,6 +150,88 @@ def invalid_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ---- documents and files of the two batch formats --------------------------------------
+# fixed value: records per API page (the source's page size)
+API_PAGE_SIZE = 100
+
+
+def _json_text(x) -> F.Column:
+    """JSON string of a text column, or ``null``. Fixture texts hold no quote or
+    backslash, so nothing needs escaping."""
+    return F.coalesce(F.concat(F.lit('"'), x, F.lit('"')), F.lit("null"))
+
+
+def api_record_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One API contact per event as JSON text (``event_id``, ``rec``), with the JSON type
+    faults a typed read would hide: a numeric ``id`` (event_id % 5 = 0), a numeric
+    ``numberofemployees`` taken from the event's own JSON ``props`` (% 5 = 1), and no
+    ``properties`` object at all (% 5 = 2)."""
+    a = _api_flat(spark, sf_dir, "event_id", "user_id", "props")
+    e = F.col("event_id")
+    kind = e % 5
+    k = F.get_json_object("props", "$.k")
+    rid = F.when(kind == 0, e.cast("string")).otherwise(_json_text(e.cast("string")))
+    emp = F.when(kind == 1, F.coalesce(k, F.lit("null"))).otherwise(_json_text(k))
+    props = F.concat(
+        F.lit(',"properties":{"email":'), _json_text(F.col("email")),
+        F.lit(',"firstname":'), _json_text(F.concat(F.lit("First"), F.col("user_id").cast("string"))),
+        F.lit(',"company":'), _json_text(F.col("company")),
+        F.lit(',"annualrevenue":'), _json_text(F.col("annualrevenue")),
+        F.lit(',"createdate":'), _json_text(F.col("createdate")),
+        F.lit(',"numberofemployees":'), emp,
+        F.lit(',"hs_analytics_source":'), _json_text(F.col("hs_analytics_source")),
+        F.lit("}"))
+    rec = F.concat(F.lit('{"id":'), rid, F.when(kind == 2, F.lit("")).otherwise(props), F.lit("}"))
+    return a.select("event_id", rec.alias("rec"))
+
+
+def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """API pages ``{"results":[...],"paging":{"next":{"after":...}}}``, one text per page
+    (column ``doc``). A page is 100 consecutive records of one scan split (the position
+    id of the scan, deterministic on re-read), so no page ever exceeds 100 records,
+    whatever the key distribution."""
+    r = api_record_json(spark, sf_dir).withColumn(
+        "page", F.floor(F.monotonically_increasing_id() / API_PAGE_SIZE))
+    g = r.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("event_id", "rec"))).alias("recs"))
+    body = F.array_join(F.transform("recs", lambda x: x["rec"]), ",")
+    after = F.element_at("recs", -1)["event_id"].cast("string")
+    doc = F.concat(F.lit('{"results":['), body, F.lit('],"paging":{"next":{"after":'),
+                   _json_text(after), F.lit("}}}"))
+    return g.select(doc.alias("doc"))
+
+
+def csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV contact rows (8 string cells, '' for an empty cell) from the events table."""
+    from ..constants import CSV_COLUMNS
+    a = _api_flat(spark, sf_dir, "event_id", "user_id")
+    u = F.col("user_id").cast("string")
+    cells = {
+        "contact_id": F.col("id"),
+        "email": F.coalesce("email", F.lit("")),
+        "first_name": F.concat(F.lit("First"), u),
+        "last_name": F.concat(F.lit("Last"), u),
+        "company_name": F.col("company"),
+        "job_title": F.lit(""),
+        "annual_revenue": F.coalesce("annualrevenue", F.lit("")),
+        "created_at": F.coalesce("createdate", F.lit("")),
+    }
+    return a.select("event_id", *[cells[c].alias(c) for c in CSV_COLUMNS])
+
+
+def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text lines of a CSV batch (column ``line``, no header): the row of
+    event_id % 11 = 10 stops after 5 cells (a short row), the row of event_id % 13 = 12
+    carries a ninth cell (ignored by the reader's shape rule)."""
+    from ..constants import CSV_COLUMNS
+    r = csv_rows(spark, sf_dir)
+    e = F.col("event_id")
+    full = F.concat_ws(",", *[F.col(c) for c in CSV_COLUMNS])
+    short = F.concat_ws(",", *[F.col(c) for c in CSV_COLUMNS[:5]])
+    line = F.when(e % 11 == 10, short).when(e % 13 == 12, F.concat(full, F.lit(",extra"))) \
+        .otherwise(full)
+    return r.select(line.alias("line"))
+
+
 @dataclass
 class Layers:
     """The four contact tables of one scale, as lazy DataFrames."""

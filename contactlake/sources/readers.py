@@ -36,13 +36,18 @@ def api_records_from_docs(docs: DataFrame) -> DataFrame:
         .withColumn("ingest_seq", F.monotonically_increasing_id())
 
 
-def read_api_contacts(spark: SparkSession, path: str) -> DataFrame:
+def read_api_contacts(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Landed API page files (or arrays / single objects) → one record per contact.
 
-    Each file is one JSON document; Spark splits the work across files."""
+    By default each file is one JSON document, so Spark splits the work across files.
+    With ``lines=True`` every line is a document (JSON Lines, one page per line): such
+    files are split inside as well, so one large landed file is read by many tasks."""
     ensure_utc(spark)
-    docs = spark.read.option("wholetext", "true").text(path) \
+    reader = spark.read if lines else spark.read.option("wholetext", "true")
+    docs = reader.text(path) \
         .select(F.col("value").alias("doc"), F.col("_metadata.file_path").alias("_file"))
+    if lines:
+        docs = docs.where(F.trim("doc") != "")
     return api_records_from_docs(docs)
 
 

@@ -29,6 +29,22 @@ def write_batch(df: DataFrame, base: str, container: str, run_id: str,
     return path
 
 
+def write_lines(lines: DataFrame, path: str, header: str | None = None) -> str:
+    """Land text lines (column ``line``) as files under ``path``, replacing them. With a
+    ``header`` every written file starts with that line (the CSV writer puts the column
+    name first in each file; separator and quote are set to control characters that the
+    lines never hold, so a line is written as it is)."""
+    if header is None:
+        lines.select("line").write.mode("overwrite").text(path)
+    else:
+        (lines.select(F.col("line").alias(header)).write.mode("overwrite")
+         .option("header", "true").option("sep", "\u0001").option("quote", "\u0002")
+         .option("escapeQuotes", "false")
+         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+         .csv(path))
+    return path
+
+
 def save_stage(df: DataFrame, base: str, stage: str, run_id: str) -> DataFrame:
     """Hand a stage's output to the next stage as a written table (cuts lineage and
     survives executor loss), then read it back."""
