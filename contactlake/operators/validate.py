@@ -26,12 +26,16 @@ def _variant_type(v: Column, path: str) -> Column:
 
 
 def api_shape_ok(df: DataFrame) -> Column:
-    """V3. With the original JSON text (``raw_json``) the JSON types are checked through
-    VARIANT (a numeric id is BIGINT there, not STRING); otherwise the typed columns are
-    already strings and only presence is checked."""
+    """V3. With the original JSON (``raw`` VARIANT, or ``raw_json`` text) the JSON types
+    are checked (a numeric id is BIGINT there, not STRING; a typed read would hide it);
+    otherwise the typed columns are already strings and only presence is checked."""
     ok = F.col("id").isNotNull() & F.col("properties").isNotNull()
-    if "raw_json" in df.columns:
+    v = None
+    if "raw" in df.columns:
+        v = F.col("raw")
+    elif "raw_json" in df.columns:
         v = F.try_parse_json(F.col("raw_json"))
+    if v is not None:
         ok = ok & (_variant_type(v, "$.id") == "STRING") \
             & _variant_type(v, "$.properties").startswith("OBJECT")
         for p in API_PROPERTIES:
@@ -53,7 +57,9 @@ def validate_api(records: DataFrame, original_data: Column | None = None,
         return F.col(f"properties.{name}")
 
     email = p("email")
-    shape = api_shape_ok(records)
+    # the shape flag is computed once per record: both the type and the message use it
+    records = records.withColumn("_shape_ok", api_shape_ok(records))
+    shape = F.col("_shape_ok")
     rev_ok, emp_ok = int_text_ok(p("annualrevenue")), int_text_ok(p("numberofemployees"))
     err = (F.when(~shape, F.lit(ERR_VALIDATION))
            .when(email.isNull() | (email == ""), F.lit(ERR_MISSING_EMAIL))
@@ -66,8 +72,13 @@ def validate_api(records: DataFrame, original_data: Column | None = None,
         err = err.when(~(rev_ok & emp_ok), F.lit(ERR_VALIDATION))
         msg = msg.when(~(rev_ok & emp_ok), F.lit(MSG_INT))
     if original_data is None:
-        original_data = F.col("raw_json") if "raw_json" in records.columns else \
-            F.to_json(F.struct(F.col("id"), F.col("properties")), {"ignoreNullFields": "false"})
+        if "raw" in records.columns:
+            original_data = F.to_json(F.col("raw"))
+        elif "raw_json" in records.columns:
+            original_data = F.col("raw_json")
+        else:
+            original_data = F.to_json(F.struct(F.col("id"), F.col("properties")),
+                                      {"ignoreNullFields": "false"})
     revenue = parse_int(p("annualrevenue"))
     if literal:
         revenue = F.when(rev_ok, revenue).otherwise(
@@ -92,7 +103,7 @@ def validate_api(records: DataFrame, original_data: Column | None = None,
         for k in ("contact_id", "first_name", "last_name", "company_name", "job_title",
                   "industry", "hs_analytics_source", "hs_analytics_source_data_1"):
             contact[k] = F.lower(contact[k])
-    keep = [c for c in records.columns if c not in contact]
+    keep = [c for c in records.columns if c not in contact and c != "_shape_ok"]
     return records.select(*keep, err.alias("error_type"), msg.alias("error_message"),
                           original_data.alias("original_data"),
                           *[v.alias(k) for k, v in contact.items()])

@@ -34,6 +34,9 @@ FIXTURE_RUN = "run_1"
 SINCE = "2001-01-01 00:00:00"
 S1_PROPERTIES = ["email", "company", "annualrevenue", "createdate", "numberofemployees",
                  "hs_analytics_source"]
+READ_RUN = "run_1995"
+STREAM_BATCHES = 2     # micro-batches the landed files are read in
+W1_COLUMNS = ["contact_id", "email", "annual_revenue", "created_at", "hs_analytics_source"]
 CSV_PROJECTION = ["contact_id", "email", "first_name", "last_name", "company_name", "job_title",
                   "annual_revenue", "created_at"]
 
@@ -149,7 +152,7 @@ def _s1(spark, sf_dir):
     from ..sources.readers import read_api_contacts
     from ..sources.sinks import write_lines
     path = write_lines(fx.api_pages(spark, sf_dir).select(F.col("doc").alias("line")),
-                       _landing(spark, "api"))
+                       _landing(spark, "api"), files=fx.landing_files(spark))
     r = read_api_contacts(spark, path, lines=True)
     return r.select(F.col("id").alias("contact_id"),
                     *[F.col(f"properties.{c}").alias(c) for c in S1_PROPERTIES])
@@ -159,7 +162,7 @@ def _s2(spark, sf_dir):
     from ..sources.readers import read_csv_contacts
     from ..sources.sinks import write_lines
     path = write_lines(fx.csv_lines(spark, sf_dir), _landing(spark, "csv"),
-                       header=",".join(CSV_COLUMNS))
+                       header=",".join(CSV_COLUMNS), files=fx.landing_files(spark))
     rows = read_csv_contacts(spark, path).withColumn("row_id", F.col("contact_id"))
     return validate_csv(rows).select(
         "row_id", F.coalesce("error_type", F.lit("valid")).alias("outcome"),
@@ -180,6 +183,48 @@ def _s11(spark, sf_dir):
         "id", "error_type", "error_message", "run_id", "quarantined_at")
 
 
+def _w1(spark, sf_dir):
+    """API pages land as JSON Lines files; an availableNow file stream validates each
+    micro-batch, appends raw and quarantine and merges core; the result is the core."""
+    from ..sources.sinks import read_core, write_lines
+    from ..streaming.stream import stream_contacts
+    root = _landing(spark, "stream")
+    landing = write_lines(fx.api_pages(spark, sf_dir).select(F.col("doc").alias("line")),
+                          f"{root}/landing", files=fx.landing_files(spark))
+    q = stream_contacts(spark, landing, f"{root}/warehouse", f"{root}/checkpoint",
+                        fmt="json", lines=True,
+                        max_files_per_trigger=max(1, fx.landing_files(spark) // STREAM_BATCHES),
+                        now=AS_OF)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return read_core(spark, f"{root}/warehouse/core_contacts").select(*W1_COLUMNS)
+
+
+def _s9(spark, sf_dir):
+    """S5 + S9: the raw contacts written as a batch store (one batch per run), then one
+    named batch read back (a partition-pruned read)."""
+    from ..sources.readers import read_batch
+    from ..sources.sinks import write_batch
+    base = write_batch(_raw(spark, sf_dir), _landing(spark, "batches"), CONTAINER_RAW, None)
+    return read_batch(spark, base, READ_RUN).select(
+        "contact_id", "email", "created_at", "run_id", "ingest_seq")
+
+
+def _s17(spark, sf_dir):
+    from ..sources.sinks import run_query
+    get_layers(spark, sf_dir).register()
+    return run_query(spark, "SELECT contact_id, lead_status, annual_revenue FROM contacts "
+                            "WHERE run_id = :run_id AND lead_status = :status",
+                     {"run_id": READ_RUN, "status": "CLOSED"})
+
+
+def _c7(spark, sf_dir):
+    from ..operators.core import PARTITION_COLUMN, with_layout
+    return with_layout(_core(spark, sf_dir).drop(PARTITION_COLUMN)).select(
+        "contact_id", PARTITION_COLUMN)
+
+
 def _d1(spark, sf_dir):
     return quality.check_not_null(_core(spark, sf_dir),
                                   ["contact_id", "email", "created_at", "processed_at", "run_id"])
@@ -266,6 +311,6 @@ def queries() -> dict[str, Query]:
         "v14": _v14,
         "d1": _d1, "d2": _d2, "d3": _d3, "d4": _d4, "d5": _d5, "d6": _d6,
         "s1": _s1, "s2": _s2, "s3": _s3, "s4": _s4, "s7": _s7, "s8": _s8, "s11": _s11,
-        "s13": _s13,
+        "s9": _s9, "s13": _s13, "s17": _s17, "c7": _c7, "w1": _w1,
     }
     return q

@@ -481,6 +481,22 @@ SELECT contact_id AS row_id,
        CASE WHEN NOT {short} THEN NULLIF({parse_int_sql('annual_revenue')}, 0) END AS annual_revenue,
        CASE WHEN NOT {short} THEN {parse_ts_sql('created_at')} END AS created_at
 FROM csv_checked"""
+    q["w1"] = f"""
+, {API_JSON},
+t AS (SELECT json_extract_string(rec, '$.id') AS contact_id, {_shape_ok()} AS shape_ok,
+             {_prop('email')} AS email, {_prop('annualrevenue')} AS rev,
+             {_prop('numberofemployees')} AS emp, {_prop('createdate')} AS createdate,
+             {_prop('hs_analytics_source')} AS hs_analytics_source FROM api_json)
+SELECT contact_id, lower(email) AS email, NULLIF({parse_int_sql('rev')}, 0) AS annual_revenue,
+       {parse_ts_sql('createdate')} AS created_at, hs_analytics_source
+FROM t
+WHERE shape_ok AND email IS NOT NULL AND email <> '' AND regexp_matches(email, '{_EMAIL}')
+  AND {int_ok_sql('rev')} AND {int_ok_sql('emp')}"""
+    q["s9"] = ("SELECT contact_id, email, created_at, run_id, ingest_seq FROM contacts_raw "
+               "WHERE run_id = 'run_1995'")
+    q["s17"] = ("SELECT contact_id, lead_status, annual_revenue FROM core_contacts "
+                "WHERE run_id = 'run_1995' AND lead_status = 'CLOSED'")
+    q["c7"] = f"SELECT contact_id, {MONTH} AS created_month FROM core_contacts"
     q["s4"] = ("SELECT contact_id, created_at FROM core_contacts "
                "WHERE created_at >= TIMESTAMP '2001-01-01 00:00:00'")
     src_json = ("'{\"contact_id\":\"' || id || '\",\"email\":' || COALESCE('\"' || email || '\"', 'null')"

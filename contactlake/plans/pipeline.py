@@ -21,7 +21,7 @@ from ..constants import CONTAINER_INVALID, CONTAINER_PROCESSED, CONTAINER_RAW
 from ..operators.core import merge_snapshot, watermark_filter
 from ..operators.staging import stg_contacts
 from ..operators.validate import split, validate
-from ..schema import RUN_AUDIT_SCHEMA
+from ..schema import CONTACT_COLUMNS, RUN_AUDIT_SCHEMA
 from ..session import ensure_utc, scratch_path
 from ..sources import readers, sinks
 
@@ -115,7 +115,12 @@ def process_validated(spark: SparkSession, annotated: DataFrame, wh: Warehouse,
                       log=print, publish: str = "partitions") -> RunStats:
     """Stages 3-7 on an already read batch."""
     stage_root = scratch_path(spark, "stages")
-    annotated = sinks.save_stage(annotated, stage_root, "validated", run_id)
+    # hand over only what the later stages read (the contact columns, the outcome and the
+    # original text), not the parsed record a second and third time
+    handed = [c for c in CONTACT_COLUMNS if c not in ("processed_at", "run_id")] + \
+        ["error_type", "error_message", "original_data"] + \
+        [c for c in ("ingest_seq",) if c in annotated.columns]
+    annotated = sinks.save_stage(annotated.select(*handed), stage_root, "validated", run_id)
     counts = annotated.agg(F.count(F.lit(1)).alias("t"),
                            F.count_if(F.col("error_type").isNull()).alias("v")).first()
     stats = RunStats(run_id, total=counts["t"], valid=counts["v"], invalid=counts["t"] - counts["v"])

@@ -155,13 +155,30 @@ def invalid_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 API_PAGE_SIZE = 100
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread CPU-heavy per-record work (JSON parsing into VARIANT) over all cores when its
+    input comes in fewer splits than there are cores (a small driver table is one file,
+    so one task). A round-robin repartition is deterministic on retry (rows are sorted
+    before being dealt out). With many input splits, as at scale, this is a no-op: no
+    shuffle is added. Position ids must not be taken after it (row order after a shuffle
+    is not fixed)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def landing_files(spark: SparkSession) -> int:
+    """Files a fixture batch lands in: one per core, as a source writing pages in
+    parallel would; the readers then split the batch across tasks."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _json_text(x) -> F.Column:
     """JSON string of a text column, or ``null``. Fixture texts hold no quote or
     backslash, so nothing needs escaping."""
     return F.coalesce(F.concat(F.lit('"'), x, F.lit('"')), F.lit("null"))
 
 
-def api_record_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+def api_record_json(spark: SparkSession, sf_dir: str, spread_out: bool = True) -> DataFrame:
     """One API contact per event as JSON text (``event_id``, ``rec``), with the JSON type
     faults a typed read would hide: a numeric ``id`` (event_id % 5 = 0), a numeric
     ``numberofemployees`` taken from the event's own JSON ``props`` (% 5 = 1), and no
@@ -182,7 +199,8 @@ def api_record_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(',"hs_analytics_source":'), _json_text(F.col("hs_analytics_source")),
         F.lit("}"))
     rec = F.concat(F.lit('{"id":'), rid, F.when(kind == 2, F.lit("")).otherwise(props), F.lit("}"))
-    return a.select("event_id", rec.alias("rec"))
+    out = a.select("event_id", rec.alias("rec"))
+    return spread(out) if spread_out else out
 
 
 def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,7 +208,7 @@ def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     (column ``doc``). A page is 100 consecutive records of one scan split (the position
     id of the scan, deterministic on re-read), so no page ever exceeds 100 records,
     whatever the key distribution."""
-    r = api_record_json(spark, sf_dir).withColumn(
+    r = api_record_json(spark, sf_dir, spread_out=False).withColumn(
         "page", F.floor(F.monotonically_increasing_id() / API_PAGE_SIZE))
     g = r.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("event_id", "rec"))).alias("recs"))
     body = F.array_join(F.transform("recs", lambda x: x["rec"]), ",")

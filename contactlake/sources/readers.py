@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import API_SCHEMA, CSV_SCHEMA
+from ..schema import API_PROPERTIES_SCHEMA, CSV_SCHEMA
 from ..session import ensure_utc
 
 
@@ -18,8 +18,12 @@ def _with_seq(df: DataFrame) -> DataFrame:
 
 def api_records_from_docs(docs: DataFrame) -> DataFrame:
     """JSON documents in column ``doc`` (an API page ``{results:[...], paging}``, a bare
-    array of contacts, or one contact object) → one row per contact record with its
-    original JSON text in ``raw_json`` (V3 checks JSON types on it)."""
+    array of contacts, or one contact object) → one row per contact record.
+
+    Each document is parsed once into VARIANT. The record keeps that value in ``raw``
+    (V3 checks JSON types on it, the quarantine keeps its text); ``id`` and
+    ``properties`` are read from it with the typed API schema, which, like a JSON read,
+    turns a number into its text."""
     v = F.try_parse_json("doc")
     kind = F.schema_of_variant(v)
     results = F.try_variant_get(v, "$.results", "variant")
@@ -28,11 +32,11 @@ def api_records_from_docs(docs: DataFrame) -> DataFrame:
         .when(kind.startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>")) \
         .otherwise(F.array(v))
     keep = [c for c in docs.columns if c != "doc"]
-    recs = docs.select(*keep, F.posexplode(arr).alias("_pos", "rec"))
-    text = F.to_json("rec")
-    return recs.select(*keep, "_pos", text.alias("raw_json"),
-                       F.from_json(text, API_SCHEMA).alias("r")) \
-        .select(*keep, "_pos", "raw_json", "r.id", "r.properties") \
+    recs = docs.select(*keep, F.posexplode(arr).alias("_pos", "raw"))
+    return recs.select(*keep, "_pos", "raw",
+                       F.try_variant_get("raw", "$.id", "string").alias("id"),
+                       F.try_variant_get("raw", "$.properties",
+                                         API_PROPERTIES_SCHEMA.simpleString()).alias("properties")) \
         .withColumn("ingest_seq", F.monotonically_increasing_id())
 
 

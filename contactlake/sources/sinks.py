@@ -17,23 +17,30 @@ from ..schema import CONTACT_COLUMNS, QUARANTINE_SCHEMA, RELATIONAL_COLUMNS
 
 
 # ------------------------------------------------------------------ S5 / S6 / S14 ------
-def write_batch(df: DataFrame, base: str, container: str, run_id: str,
+def write_batch(df: DataFrame, base: str, container: str, run_id: str | None,
                 fmt: str = "parquet") -> str:
     """One batch per container and run at ``base/container/run_id=<id>``;
-    re-writing the same run replaces it (dynamic partition overwrite)."""
+    re-writing the same run replaces it (dynamic partition overwrite). With
+    ``run_id=None`` the rows carry their run in a ``run_id`` column (many batches in
+    one write)."""
     path = os.path.join(base, container)
-    (df.withColumn("run_id", F.lit(run_id))
+    out = df if run_id is None else df.withColumn("run_id", F.lit(run_id))
+    (out
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .option("compression", "zstd" if fmt == "parquet" else "none")
        .partitionBy("run_id").format(fmt).save(path))
     return path
 
 
-def write_lines(lines: DataFrame, path: str, header: str | None = None) -> str:
+def write_lines(lines: DataFrame, path: str, header: str | None = None,
+                files: int | None = None) -> str:
     """Land text lines (column ``line``) as files under ``path``, replacing them. With a
     ``header`` every written file starts with that line (the CSV writer puts the column
     name first in each file; separator and quote are set to control characters that the
-    lines never hold, so a line is written as it is)."""
+    lines never hold, so a line is written as it is). ``files`` deals the lines out
+    round-robin over that many files."""
+    if files:
+        lines = lines.repartition(files)
     if header is None:
         lines.select("line").write.mode("overwrite").text(path)
     else:

@@ -19,19 +19,30 @@ from ..sources.readers import api_records_from_docs
 from ..session import ensure_utc
 
 
-def stream_source(spark: SparkSession, landing: str, fmt: str) -> DataFrame:
+def stream_source(spark: SparkSession, landing: str, fmt: str, lines: bool = False,
+                  max_files_per_trigger: int | None = None) -> DataFrame:
+    """Landed batch files as a stream. JSON files are one document each, or with
+    ``lines=True`` one document per line (JSON Lines: large files split across tasks)."""
     if fmt == "csv":
-        return (spark.readStream.schema(CSV_SCHEMA).option("header", "true")
-                .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-                .option("multiLine", "true").option("escape", '"').csv(landing)
-                .withColumn("ingest_seq", F.monotonically_increasing_id()))
-    return spark.readStream.format("text").option("wholetext", "true").load(landing) \
-        .select(F.col("value").alias("doc"))
+        reader = (spark.readStream.schema(CSV_SCHEMA).option("header", "true")
+                  .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
+                  .option("multiLine", "true").option("escape", '"'))
+    else:
+        reader = spark.readStream.format("text")
+        if not lines:
+            reader = reader.option("wholetext", "true")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if fmt == "csv":
+        return reader.csv(landing).withColumn("ingest_seq", F.monotonically_increasing_id())
+    docs = reader.load(landing).select(F.col("value").alias("doc"))
+    return docs.where(F.trim("doc") != "") if lines else docs
 
 
 def stream_contacts(spark: SparkSession, landing: str, warehouse_root: str, checkpoint: str,
                     fmt: str = "json", mode: str = "run", available_now: bool = True,
-                    run_prefix: str = "stream"):
+                    run_prefix: str = "stream", lines: bool = False,
+                    max_files_per_trigger: int | None = None, now=None):
     """Start the stream; returns the StreamingQuery (``awaitTermination()`` to wait)."""
     ensure_utc(spark)
     wh = Warehouse(warehouse_root)
@@ -41,10 +52,10 @@ def stream_contacts(spark: SparkSession, landing: str, warehouse_root: str, chec
         if records.isEmpty():
             return
         process_validated(batch.sparkSession, validate(records), wh,
-                          f"{run_prefix}_{epoch_id:08d}", mode)
+                          f"{run_prefix}_{epoch_id:08d}", mode, now)
 
-    writer = stream_source(spark, landing, fmt).writeStream.foreachBatch(each_batch) \
-        .option("checkpointLocation", checkpoint)
+    source = stream_source(spark, landing, fmt, lines, max_files_per_trigger)
+    writer = source.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime="1 hour")
     return writer.start()
