@@ -6,6 +6,7 @@ work grows with them; none runs on made-up input. Reports use the fixed clock
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -225,6 +226,41 @@ def _c7(spark, sf_dir):
         "contact_id", PARTITION_COLUMN)
 
 
+def _m0(spark, sf_dir):
+    """M0 + S16: the six marts registered as views (a failing one would be skipped), then
+    read back by name from the registry: rows per view."""
+    from functools import reduce
+    lz = get_layers(spark, sf_dir)
+    names = M.register_marts(lz.core_contacts, lz.invalid_contacts, AS_OF, log=lambda m: None)
+    parts = [spark.table(n).agg(F.count(F.lit(1)).alias("row_count"))
+             .select(F.lit(n).alias("view_name"), "row_count") for n in names]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def _s10(spark, sf_dir):
+    """The valid API contacts stamped and written into a raw table (the run's
+    partition replaced, so a retry does not duplicate), then that run read back."""
+    from ..sources.sinks import append_raw
+    path = os.path.join(_landing(spark, "raw"), "contacts_raw")
+    valid = _api_annotated(spark, sf_dir).where(F.col("error_type").isNull())
+    append_raw(valid, path, FIXTURE_RUN, AS_OF)
+    return spark.read.parquet(path).where(F.col("run_id") == FIXTURE_RUN).select(
+        "contact_id", "email", "annual_revenue", "created_at", "processed_at", "run_id")
+
+
+def _v15(spark, sf_dir):
+    """V15 (+ the JSON copy of S6): the invalid side archived as a JSON batch, read back."""
+    from ..operators.validate import invalid_side
+    from ..schema import INVALID_ARCHIVE_SCHEMA
+    from ..sources.sinks import write_batch
+    from ..constants import CONTAINER_INVALID
+    recs = fx.api_records(fx.api_contacts(spark, sf_dir))
+    bad = invalid_side(validate_api(recs, original_data=fx.fixture_original_data()))
+    path = write_batch(bad, _landing(spark, "archive"), CONTAINER_INVALID, FIXTURE_RUN, fmt="json")
+    return spark.read.schema(INVALID_ARCHIVE_SCHEMA).json(path) \
+        .select("original_data", "error_message", "error_type", "run_id")
+
+
 def _d1(spark, sf_dir):
     return quality.check_not_null(_core(spark, sf_dir),
                                   ["contact_id", "email", "created_at", "processed_at", "run_id"])
@@ -281,6 +317,7 @@ def queries() -> dict[str, Query]:
         "m4": lambda s, d: M.conversion_metrics(_core(s, d), AS_OF),
         "m5": lambda s, d: M.data_quality(_core(s, d), _inv(s, d)),
         "m6": lambda s, d: M.daily_trends(_core(s, d), AS_OF),
+        "m0": _m0,
         "a1": lambda s, d: A.a1_leads_by_source(_core(s, d), AS_OF),
         "a2": lambda s, d: A.a2_source_campaign_week(_core(s, d)),
         "a3": lambda s, d: A.a3_top_sources(_core(s, d)),
@@ -308,9 +345,9 @@ def queries() -> dict[str, Query]:
         "a25": lambda s, d: A.a25_errors_by_source(_inv(s, d)),
         "c1": _c1, "c2": _c2, "c3": _c3, "c4": _c4, "c5": _c5,
         "v3": _v3, "v4": _v4, "v8": _v8, "v9": _v9, "v10": _v10, "v11": _v11, "v12": _v12,
-        "v14": _v14,
+        "v14": _v14, "v15": _v15,
         "d1": _d1, "d2": _d2, "d3": _d3, "d4": _d4, "d5": _d5, "d6": _d6,
         "s1": _s1, "s2": _s2, "s3": _s3, "s4": _s4, "s7": _s7, "s8": _s8, "s11": _s11,
-        "s9": _s9, "s13": _s13, "s17": _s17, "c7": _c7, "w1": _w1,
+        "s9": _s9, "s10": _s10, "s13": _s13, "s17": _s17, "c7": _c7, "w1": _w1,
     }
     return q

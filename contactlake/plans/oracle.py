@@ -191,6 +191,14 @@ FROM csv_rows)
 """
 
 
+# original record text of the quarantine fixture (as the Spark fixture writes it)
+FIXTURE_SRC_JSON = ("'{\"contact_id\":\"' || id || '\",\"email\":' || COALESCE('\"' || email || '\"', 'null')"
+            " || ',\"company_name\":\"' || company || '\",\"annual_revenue\":'"
+            " || COALESCE('\"' || annualrevenue || '\"', 'null')"
+            " || ',\"created_at\":' || COALESCE('\"' || createdate || '\"', 'null')"
+            " || ',\"hs_analytics_source\":\"' || hs_analytics_source || '\"}'")
+
+
 def with_fixtures(body: str) -> str:
     return f"WITH {FIXTURES.strip()}\n{body.strip()}"
 
@@ -492,6 +500,23 @@ SELECT contact_id, lower(email) AS email, NULLIF({parse_int_sql('rev')}, 0) AS a
 FROM t
 WHERE shape_ok AND email IS NOT NULL AND email <> '' AND regexp_matches(email, '{_EMAIL}')
   AND {int_ok_sql('rev')} AND {int_ok_sql('emp')}"""
+    views = ["vw_lead_analytics", "vw_sales_funnel", "vw_industry_analytics",
+             "vw_conversion_metrics", "vw_data_quality", "vw_daily_trends"]
+    bodies = [q[k].strip() for k in ("m1", "m2", "m3", "m4", "m5", "m6")]
+    bodies = [("WITH " + b[1:].strip()) if b.startswith(",") else b for b in bodies]
+    q["m0"] = "\nUNION ALL\n".join(
+        f"SELECT '{v}' AS view_name, COUNT(*) AS row_count FROM ({b}) x"
+        for v, b in zip(views, bodies))
+    api_msg = (f"CASE WHEN email IS NULL OR email = '' THEN {S(MSG_API_MISSING_EMAIL)} "
+               f"WHEN NOT regexp_matches(email, '{_EMAIL}') THEN {S(MSG_EMAIL)} "
+               f"ELSE {S(MSG_INT)} END")
+    q["v15"] = (f"SELECT {FIXTURE_SRC_JSON} AS original_data, {api_msg} AS error_message, error_type, "
+                f"'run_1' AS run_id FROM api_checked WHERE error_type IS NOT NULL")
+    q["s10"] = f"""
+SELECT id AS contact_id, lower(email) AS email,
+       NULLIF({parse_int_sql('annualrevenue')}, 0) AS annual_revenue,
+       {parse_ts_sql('createdate')} AS created_at, {AS_OF} AS processed_at, 'run_1' AS run_id
+FROM api_checked WHERE error_type IS NULL"""
     q["s9"] = ("SELECT contact_id, email, created_at, run_id, ingest_seq FROM contacts_raw "
                "WHERE run_id = 'run_1995'")
     q["s17"] = ("SELECT contact_id, lead_status, annual_revenue FROM core_contacts "
@@ -499,13 +524,8 @@ WHERE shape_ok AND email IS NOT NULL AND email <> '' AND regexp_matches(email, '
     q["c7"] = f"SELECT contact_id, {MONTH} AS created_month FROM core_contacts"
     q["s4"] = ("SELECT contact_id, created_at FROM core_contacts "
                "WHERE created_at >= TIMESTAMP '2001-01-01 00:00:00'")
-    src_json = ("'{\"contact_id\":\"' || id || '\",\"email\":' || COALESCE('\"' || email || '\"', 'null')"
-                " || ',\"company_name\":\"' || company || '\",\"annual_revenue\":'"
-                " || COALESCE('\"' || annualrevenue || '\"', 'null')"
-                " || ',\"created_at\":' || COALESCE('\"' || createdate || '\"', 'null')"
-                " || ',\"hs_analytics_source\":\"' || hs_analytics_source || '\"}'")
     q["s11"] = f"""
-SELECT sha256('run_1||' || {src_json}) AS id, error_type,
+SELECT sha256('run_1||' || {FIXTURE_SRC_JSON}) AS id, error_type,
        CASE WHEN email IS NULL OR email = '' THEN {S(MSG_API_MISSING_EMAIL)}
             WHEN NOT regexp_matches(email, '{_EMAIL}') THEN {S(MSG_EMAIL)}
             ELSE {S(MSG_INT)} END AS error_message,

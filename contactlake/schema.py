@@ -58,6 +58,15 @@ API_PAGE_SCHEMA = T.StructType([
 CSV_SCHEMA = T.StructType([T.StructField(c, S) for c in CSV_COLUMNS]
                           + [T.StructField("_corrupt_record", S)])
 
+# invalid batch archive (V15): one JSON object per record, partitioned by run
+INVALID_ARCHIVE_SCHEMA = T.StructType([
+    T.StructField("original_data", S),
+    T.StructField("error_message", S),
+    T.StructField("error_type", S),
+    T.StructField("ingest_seq", L),
+    T.StructField("run_id", S),
+])
+
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("blob_key", S, False),
     T.StructField("container", S, False),
