@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 import os
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schema import CONTACT_COLUMNS, QUARANTINE_SCHEMA, RELATIONAL_COLUMNS
@@ -52,10 +52,16 @@ def write_lines(lines: DataFrame, path: str, header: str | None = None,
     return path
 
 
-def save_stage(df: DataFrame, base: str, stage: str, run_id: str) -> DataFrame:
+def save_stage(df: DataFrame, base: str, stage: str, run_id: str,
+               observe: dict | None = None) -> DataFrame | tuple[DataFrame, dict]:
     """Hand a stage's output to the next stage as a written table (cuts lineage and
-    survives executor loss), then read it back."""
+    survives executor loss), then read it back. With ``observe`` (name → aggregate
+    Column) the aggregates are computed while writing and returned as well."""
     path = os.path.join(base, "stages", run_id, stage)
+    if observe:
+        obs = Observation()
+        df.observe(obs, *[c.alias(k) for k, c in observe.items()]).write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.parquet(path), obs.get
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -83,6 +89,17 @@ def list_batches(manifest: DataFrame, prefix: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ S10-S12 ------------
+def _write_run_counted(rows: DataFrame, table_path: str) -> int:
+    """Replace the run's partition of a table partitioned by ``run_id`` and return the
+    rows written. The count is observed while writing (no second scan of the output);
+    metrics of failed task attempts are not counted."""
+    obs = Observation()
+    rows.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(table_path)
+    return int(obs.get["n"])
+
+
+
 def append_raw(valid: DataFrame, table_path: str, run_id: str, processed_at=None) -> int:
     """Stamp and write the run's valid contacts into the raw table (partitioned by
     run). Idempotent per run: the run's partition is replaced, not appended to."""
@@ -90,9 +107,7 @@ def append_raw(valid: DataFrame, table_path: str, run_id: str, processed_at=None
     extra = [c for c in ("ingest_seq",) if c in valid.columns]
     out = valid.select(*[c for c in CONTACT_COLUMNS if c not in ("processed_at", "run_id")],
                        stamp.alias("processed_at"), F.lit(run_id).alias("run_id"), *extra)
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy("run_id").parquet(table_path)
-    return valid.sparkSession.read.parquet(table_path).where(F.col("run_id") == run_id).count()
+    return _write_run_counted(out, table_path)
 
 
 def quarantine_rows(invalid: DataFrame, run_id: str, quarantined_at=None) -> DataFrame:
@@ -108,10 +123,7 @@ def quarantine_rows(invalid: DataFrame, run_id: str, quarantined_at=None) -> Dat
 def append_quarantine(invalid: DataFrame, table_path: str, run_id: str,
                       quarantined_at=None) -> int:
     """Write the run's invalid records into the quarantine table."""
-    rows = quarantine_rows(invalid, run_id, quarantined_at)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy("run_id").parquet(table_path)
-    return invalid.sparkSession.read.parquet(table_path).where(F.col("run_id") == run_id).count()
+    return _write_run_counted(quarantine_rows(invalid, run_id, quarantined_at), table_path)
 
 
 def append_table(df: DataFrame, table_path: str, schema=None, partition_by=None) -> int:
