@@ -88,10 +88,15 @@ def read_latest_batch(spark: SparkSession, base: str, prefix: str = "",
 
 
 def created_since(df: DataFrame, since, col: str = "created_at") -> DataFrame:
-    """Optional created-after cut, pushed to the Parquet scan as a filter."""
+    """Optional created-after cut, pushed to the Parquet scan as a filter; on the core
+    table (partitioned by ``created_month``) a month bound prunes whole partitions too."""
     if since is None:
         return df
-    return df.where(F.col(col) >= F.lit(since).cast("timestamp"))
+    lower = F.lit(since).cast("timestamp")
+    out = df.where(F.col(col) >= lower)
+    if col == "created_at" and "created_month" in df.columns:
+        out = out.where(F.col("created_month") >= F.trunc(F.to_date(lower), "month"))
+    return out
 
 
 def read_batch(spark: SparkSession, base: str, name: str, run_col: str = "run_id",
