@@ -28,11 +28,15 @@ def _ts(col: str):
     return F.col(col).cast("timestamp")
 
 
-def contacts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw contact per order, keyed by the customer: ids repeat on purpose."""
+def contacts_raw(spark: SparkSession, sf_dir: str, spread_input: bool = False) -> DataFrame:
+    """One raw contact per order, keyed by the customer: ids repeat on purpose.
+    ``spread_input`` deals a single-split orders table over the cores before the join, so
+    the write that follows runs in parallel (see ``spread``)."""
     ensure_utc(spark)
     orders = driver_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    if spread_input:
+        orders = spread(orders)
     customer = driver_table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment", "c_nationkey")
     nation = driver_table(spark, sf_dir, "nation").select(
@@ -134,11 +138,12 @@ def fixture_original_data() -> F.Column:
     ), {"ignoreNullFields": "false"})
 
 
-def invalid_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def invalid_contacts(spark: SparkSession, sf_dir: str, spread_input: bool = False) -> DataFrame:
     """Rejected API fixture records, through the validator (V12), in the analytics
     shape (quarantine with ``quarantined_at AS processed_at``, T10)."""
     from ..operators.validate import validate_api
-    recs = api_records(api_contacts(spark, sf_dir))
+    flat = api_contacts(spark, sf_dir)
+    recs = api_records(spread(flat) if spread_input else flat)
     annotated = validate_api(recs, original_data=fixture_original_data())
     bad = annotated.where(F.col("error_type").isNotNull())
     return bad.select(
@@ -272,20 +277,19 @@ def layers(spark: SparkSession, sf_dir: str) -> Layers:
 
 
 def materialized_layers(spark: SparkSession, sf_dir: str, out_dir: str) -> Layers:
-    """Write raw (partitioned by run), core (by day of creation, clustered) and the
+    """Write raw (partitioned by run), core (by month of creation, clustered) and the
     quarantine once, then read them back: what a deployment does; reports then scan the
-    written tables with partition pruning and pushed filters."""
+    written tables with partition pruning and pushed filters. Single-split driver tables
+    are dealt over the cores first, so each write runs in parallel and the quarantine
+    lands in as many files (report scans then run in parallel too)."""
     from ..operators.core import with_layout
-    lz = layers(spark, sf_dir)
-    lz.contacts_raw.write.mode("overwrite").partitionBy("run_id").parquet(f"{out_dir}/contacts_raw")
+    raw_df = contacts_raw(spark, sf_dir, spread_input=True)
+    raw_df.write.mode("overwrite").partitionBy("run_id").parquet(f"{out_dir}/contacts_raw")
     raw = spark.read.parquet(f"{out_dir}/contacts_raw")
     with_layout(core_contacts(raw)).write.mode("overwrite").partitionBy("created_month") \
         .parquet(f"{out_dir}/core_contacts")
-    # quarantine rows of many runs land in many files; spread them the same way so that
-    # report scans run in parallel rather than in one task per file
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    lz.invalid_contacts.repartition(n, "id").write.mode("overwrite") \
+    invalid_contacts(spark, sf_dir, spread_input=True).write.mode("overwrite") \
         .parquet(f"{out_dir}/invalid_contacts")
     core = spark.read.parquet(f"{out_dir}/core_contacts")
     inv = spark.read.parquet(f"{out_dir}/invalid_contacts")
-    return Layers(raw, core, lz.api_contacts, inv)
+    return Layers(raw, core, api_contacts(spark, sf_dir), inv)
