@@ -85,8 +85,10 @@ def core_contacts(raw: DataFrame) -> DataFrame:
 
 
 def api_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat API-shaped records from the events table, covering validator branches."""
-    return _api_flat(spark, sf_dir)
+    """Flat API-shaped records from the events table, covering validator branches; dealt
+    over the cores when the table comes in fewer splits (``spread``), since every use
+    validates each record."""
+    return spread(_api_flat(spark, sf_dir))
 
 
 def _api_flat(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
@@ -138,12 +140,11 @@ def fixture_original_data() -> F.Column:
     ), {"ignoreNullFields": "false"})
 
 
-def invalid_contacts(spark: SparkSession, sf_dir: str, spread_input: bool = False) -> DataFrame:
+def invalid_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejected API fixture records, through the validator (V12), in the analytics
     shape (quarantine with ``quarantined_at AS processed_at``, T10)."""
     from ..operators.validate import validate_api
-    flat = api_contacts(spark, sf_dir)
-    recs = api_records(spread(flat) if spread_input else flat)
+    recs = api_records(api_contacts(spark, sf_dir))
     annotated = validate_api(recs, original_data=fixture_original_data())
     bad = annotated.where(F.col("error_type").isNotNull())
     return bad.select(
@@ -223,7 +224,7 @@ def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select(doc.alias("doc"))
 
 
-def csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def csv_rows(spark: SparkSession, sf_dir: str, spread_out: bool = True) -> DataFrame:
     """CSV contact rows (8 string cells, '' for an empty cell) from the events table."""
     from ..constants import CSV_COLUMNS
     a = _api_flat(spark, sf_dir, "event_id", "user_id")
@@ -238,7 +239,8 @@ def csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "annual_revenue": F.coalesce("annualrevenue", F.lit("")),
         "created_at": F.coalesce("createdate", F.lit("")),
     }
-    return a.select("event_id", *[cells[c].alias(c) for c in CSV_COLUMNS])
+    out = a.select("event_id", *[cells[c].alias(c) for c in CSV_COLUMNS])
+    return spread(out) if spread_out else out
 
 
 def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -246,7 +248,7 @@ def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     event_id % 11 = 10 stops after 5 cells (a short row), the row of event_id % 13 = 12
     carries a ninth cell (ignored by the reader's shape rule)."""
     from ..constants import CSV_COLUMNS
-    r = csv_rows(spark, sf_dir)
+    r = csv_rows(spark, sf_dir, spread_out=False)      # the landing write deals lines out
     e = F.col("event_id")
     full = F.concat_ws(",", *[F.col(c) for c in CSV_COLUMNS])
     short = F.concat_ws(",", *[F.col(c) for c in CSV_COLUMNS[:5]])
@@ -288,7 +290,7 @@ def materialized_layers(spark: SparkSession, sf_dir: str, out_dir: str) -> Layer
     raw = spark.read.parquet(f"{out_dir}/contacts_raw")
     with_layout(core_contacts(raw)).write.mode("overwrite").partitionBy("created_month") \
         .parquet(f"{out_dir}/core_contacts")
-    invalid_contacts(spark, sf_dir, spread_input=True).write.mode("overwrite") \
+    invalid_contacts(spark, sf_dir).write.mode("overwrite") \
         .parquet(f"{out_dir}/invalid_contacts")
     core = spark.read.parquet(f"{out_dir}/core_contacts")
     inv = spark.read.parquet(f"{out_dir}/invalid_contacts")
