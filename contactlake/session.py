@@ -41,6 +41,52 @@ def build_session(master: str | None = None, app: str = "contactlake",
     return spark
 
 
+MIB = 1 << 20
+
+
+def scale_conf(input_bytes: int) -> dict[str, str]:
+    """Shuffle and scan sizing for a job that reads ``input_bytes``.
+
+    * scan splits of 256 MiB (fewer, fuller tasks at 100 TB: ~400k splits);
+    * one shuffle partition per 128 MiB of input as AQE's starting point (at least 200,
+      at most 100,000), coalesced at run time towards 256 MiB, so a shuffle partition fits
+      an executor core's memory share and spills rarely;
+    * skew join splits a partition 5x the median and over 512 MiB (a hot key);
+    * broadcast joins only below an explicit 64 MiB bound measured by AQE at run time.
+    """
+    parts = max(200, min(100_000, -(-input_bytes // (128 * MIB))))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(256 * MIB),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * MIB),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * MIB),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * MIB),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * MIB),
+    }
+
+
+def input_size(spark: SparkSession, *paths: str) -> int:
+    """Bytes under the given paths, summed by the cluster file system (no data read)."""
+    jvm = spark.sparkContext._jvm
+    total = 0
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if fs.exists(p):
+            total += fs.getContentSummary(p).getLength()
+    return total
+
+
+def apply_scale_conf(spark: SparkSession, input_bytes: int) -> dict[str, str]:
+    """Set ``scale_conf`` on a running session (all are runtime SQL settings)."""
+    conf = scale_conf(input_bytes)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf
+
+
 def ensure_utc(spark: SparkSession) -> None:
     """Timestamps are UTC instants; runtime SQL conf, safe to set on any session."""
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
