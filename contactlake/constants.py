@@ -76,6 +76,17 @@ API_PROPERTIES = [
 # generator-only property names read as fall-backs (status) or ignored (stage)
 API_EXTRA_PROPERTIES = ["hs_lead_status", "lifecyclestage"]
 
+# ---- fixed values: Unicode White_Space code points (what trimming strips) ------------
+# The set Java's (?U)\s matches: TAB..CR, SPACE, NEL, NBSP, OGHAM SPACE MARK,
+# EN QUAD..HAIR SPACE, LINE / PARAGRAPH SEPARATOR, NARROW NBSP, MEDIUM MATH SPACE,
+# IDEOGRAPHIC SPACE.
+WHITE_SPACE_RANGES = [
+    (0x0009, 0x000D), (0x0020, 0x0020), (0x0085, 0x0085), (0x00A0, 0x00A0),
+    (0x1680, 0x1680), (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F),
+    (0x205F, 0x205F), (0x3000, 0x3000),
+]
+WHITE_SPACE = "".join(chr(c) for lo, hi in WHITE_SPACE_RANGES for c in range(lo, hi + 1))
+
 # ---- fixed values: freshness of the landing tables (hours) ---------------------------
 RAW_FRESHNESS_WARN_H = 6
 RAW_FRESHNESS_ERROR_H = 24

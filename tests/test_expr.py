@@ -71,3 +71,11 @@ def test_scale_conf_sizes_shuffle_by_input(spark):
     assert scale_conf(100 << 40)["spark.sql.shuffle.partitions"] == "100000"      # cap
     assert scale_conf(1)["spark.sql.autoBroadcastJoinThreshold"] == str(64 * MIB)
     assert input_size(spark, "/root/testdata/sf0.001/orders.parquet") > 0
+
+
+def test_unicode_trim(spark):
+    from contactlake.functions.expr import clean_text
+    rows = [("\u00a0 a b\u3000\t",), ("\u200ba",), ("  ",), (None,)]
+    got = [r[0] for r in spark.createDataFrame(rows, "s string")
+           .select(clean_text("s")).collect()]
+    assert got == ["a b", "\u200ba", None, None]      # zero width space is not white space
