@@ -177,11 +177,7 @@ def _s4(spark, sf_dir):
 
 
 def _s11(spark, sf_dir):
-    from ..operators.validate import invalid_side
-    from ..sources.sinks import quarantine_rows
-    recs = fx.api_records(fx.api_contacts(spark, sf_dir))
-    bad = invalid_side(validate_api(recs, original_data=fx.fixture_original_data()))
-    return quarantine_rows(bad, FIXTURE_RUN, AS_OF).select(
+    return _fixture_quarantine_rows(spark, sf_dir).select(
         "id", "error_type", "error_message", "run_id", "quarantined_at")
 
 
@@ -264,6 +260,49 @@ def _v15(spark, sf_dir):
         .select("original_data", "error_message", "error_type", "run_id")
 
 
+def _fixture_quarantine_rows(spark, sf_dir):
+    from ..operators.validate import invalid_side
+    from ..sources.sinks import quarantine_rows
+    recs = fx.api_records(fx.api_contacts(spark, sf_dir))
+    bad = invalid_side(validate_api(recs, original_data=fx.fixture_original_data()))
+    return quarantine_rows(bad, FIXTURE_RUN, AS_OF)
+
+
+def _s12(spark, sf_dir):
+    """Schema-checked appends; the same rows appended twice are there twice."""
+    from ..schema import QUARANTINE_SCHEMA
+    from ..sources.sinks import append_table
+    path = os.path.join(_landing(spark, "append"), "q")
+    rows = _fixture_quarantine_rows(spark, sf_dir)
+    append_table(rows, path, QUARANTINE_SCHEMA)
+    append_table(rows, path, QUARANTINE_SCHEMA)
+    return spark.read.parquet(path).select("id", "error_type", "run_id")
+
+
+def _s14(spark, sf_dir):
+    """The validated batch handed to the next stage as a written table, reloaded."""
+    from ..sources.sinks import load_stage, save_stage
+    base = _landing(spark, "stages")
+    save_stage(_api_annotated(spark, sf_dir).select("contact_id", "error_type"), base,
+               "validated", FIXTURE_RUN)
+    return load_stage(spark, base, "validated", FIXTURE_RUN)
+
+
+def _s15(spark, sf_dir):
+    """Create the quarantine table if missing (twice: the second is a no-op),
+    insert the run, read it back by table name."""
+    import uuid
+
+    from ..sources.sinks import create_table_if_missing, quarantine_schema_ddl
+    name = f"contacts_quarantine_{uuid.uuid4().hex[:10]}"
+    path = os.path.join(_landing(spark, "tables"), name)
+    for _ in range(2):
+        create_table_if_missing(spark, name, path, quarantine_schema_ddl(), ["run_id"])
+    cols = spark.table(name).columns                 # insertInto matches by position
+    _fixture_quarantine_rows(spark, sf_dir).select(*cols).write.insertInto(name)
+    return spark.table(name).select("id", "error_type", "run_id", "quarantined_at")
+
+
 def _d1(spark, sf_dir):
     return quality.check_not_null(_core(spark, sf_dir),
                                   ["contact_id", "email", "created_at", "processed_at", "run_id"])
@@ -351,6 +390,6 @@ def queries() -> dict[str, Query]:
         "v14": _v14, "v15": _v15,
         "d1": _d1, "d2": _d2, "d3": _d3, "d4": _d4, "d5": _d5, "d6": _d6,
         "s1": _s1, "s2": _s2, "s3": _s3, "s4": _s4, "s7": _s7, "s8": _s8, "s11": _s11,
-        "s9": _s9, "s10": _s10, "s13": _s13, "s17": _s17, "c7": _c7, "w1": _w1,
+        "s9": _s9, "s10": _s10, "s12": _s12, "s13": _s13, "s14": _s14, "s15": _s15, "s17": _s17, "c7": _c7, "w1": _w1,
     }
     return q

@@ -517,6 +517,12 @@ SELECT id AS contact_id, lower(email) AS email,
        NULLIF({parse_int_sql('annualrevenue')}, 0) AS annual_revenue,
        {parse_ts_sql('createdate')} AS created_at, {AS_OF} AS processed_at, 'run_1' AS run_id
 FROM api_checked WHERE error_type IS NULL"""
+    once = (f"SELECT sha256('run_1||' || {FIXTURE_SRC_JSON}) AS id, error_type, 'run_1' AS run_id "
+            f"FROM api_checked WHERE error_type IS NOT NULL")
+    q["s12"] = f"{once}\nUNION ALL\n{once}"
+    q["s14"] = "SELECT id AS contact_id, error_type FROM api_checked"
+    q["s15"] = (f"SELECT sha256('run_1||' || {FIXTURE_SRC_JSON}) AS id, error_type, 'run_1' AS run_id, "
+                f"{AS_OF} AS quarantined_at FROM api_checked WHERE error_type IS NOT NULL")
     q["s9"] = ("SELECT contact_id, email, created_at, run_id, ingest_seq FROM contacts_raw "
                "WHERE run_id = 'run_1995'")
     q["s17"] = ("SELECT contact_id, lead_status, annual_revenue FROM core_contacts "
