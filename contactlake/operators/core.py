@@ -49,13 +49,25 @@ def high_water_mark(target: DataFrame, column: str = "processed_at"):
 
 
 def watermark_filter(source: DataFrame, target: DataFrame | None,
-                     column: str = "processed_at") -> DataFrame:
-    """Keep source rows strictly newer than the target's high-water mark."""
+                     column: str = "processed_at", mark=None) -> DataFrame:
+    """Keep source rows strictly newer than the target's high-water mark. A ``mark``
+    recorded when the target was last written (text, UTC) spares the scan of the
+    target."""
+    if mark is not None:
+        return source.where(F.col(column) > F.to_timestamp(F.lit(mark)))
     if target is None:
         return source
     return source.where(F.col(column) > high_water_mark(target, column))
 
 
+TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"      # sortable UTC text of a high-water mark
+
+
+def high_water_text(target: DataFrame, column: str = "processed_at") -> str | None:
+    """``max(column)`` of the target as sortable UTC text (one-column scan)."""
+    return target.agg(F.date_format(F.max(column), TS_TEXT).alias("m")).first()["m"]
+
+
 def merge_snapshot(target: DataFrame | None, source: DataFrame, key: str = "contact_id",
                    mode: str = "run", now=None, dedupe: bool = True) -> DataFrame:
     """Upsert ``source`` into ``target`` and return the new full snapshot.

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import CONTAINER_INVALID, CONTAINER_PROCESSED, CONTAINER_RAW
-from ..operators.core import merge_snapshot, watermark_filter
+from ..operators.core import TS_TEXT, high_water_text, merge_snapshot, watermark_filter
 from ..operators.staging import stg_contacts
 from ..operators.validate import split, validate
 from ..schema import CONTACT_COLUMNS, RUN_AUDIT_SCHEMA
@@ -82,31 +82,59 @@ def extract(spark: SparkSession, path: str, fmt: str, since=None) -> DataFrame:
     return df
 
 
+def _clock_text(now) -> str:
+    """The run's clock as sortable UTC text, fixed once on the driver."""
+    if now is None:
+        t = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    elif isinstance(now, _dt.datetime):
+        t = now.astimezone(_dt.timezone.utc).replace(tzinfo=None) if now.tzinfo else now
+    else:
+        t = _dt.datetime.fromisoformat(str(now).replace("Z", "+00:00"))
+        t = t.astimezone(_dt.timezone.utc).replace(tzinfo=None) if t.tzinfo else t
+    return t.strftime("%Y-%m-%d %H:%M:%S.%f")
+
+
 def merge_core(spark: SparkSession, wh: Warehouse, run_id: str, mode: str = "run",
                now=None, publish: str = "partitions") -> int:
     """Merge the run into core and return the number of affected keys
     (updates + inserts).
 
     ``publish='partitions'`` rewrites only the months that change (large tables);
-    ``publish='snapshot'`` writes a full new snapshot and moves a pointer to it."""
+    ``publish='snapshot'`` writes a full new snapshot and moves a pointer to it.
+
+    The core's high-water mark is recorded beside it after each merge, so the next
+    watermark run reads one small object instead of scanning the core (the core is
+    scanned once when no mark exists yet). The run's clock is fixed once on the driver,
+    so every job of the merge stamps the same ``processed_at`` and the mark is exact."""
+    now = _clock_text(now)
     target = sinks.read_core(spark, wh.core)
     if target is not None:
         target = target.drop("created_month")
+    mark = None
+    if target is not None:
+        mark = sinks.read_watermark(spark, wh.core) or high_water_text(target)
     raw = spark.read.parquet(wh.raw)
     if mode == "run":
         source = raw.where(F.col("run_id") == run_id)
     elif mode == "watermark":
-        source = watermark_filter(stg_contacts(raw), target)
+        source = watermark_filter(stg_contacts(raw), None, mark=mark)
     else:
         raise ValueError(f"unknown merge mode {mode!r}")
     keep_ts = "run" if mode == "run" else "watermark"
-    # the source is a filtered read of a written table: counting it is cheap
-    affected = source.select("contact_id").distinct().count()
+    # one job over the source (a filtered read of a written table): affected keys (a NULL
+    # key counts once, as in a distinct) and its newest processed_at
+    one = source.agg(F.countDistinct("contact_id").alias("k"),
+                     F.max(F.col("contact_id").isNull().cast("int")).alias("null_key"),
+                     F.date_format(F.max("processed_at"), TS_TEXT).alias("m")).first()
+    affected = one["k"] + (one["null_key"] or 0)
     if publish == "snapshot":
         sinks.publish_snapshot(merge_snapshot(target, source, mode=keep_ts, now=now), wh.core)
     else:
         rows = merge_snapshot(None, source, mode=keep_ts, now=now)     # dedupe + stamp
         sinks.merge_partitions(spark, wh.core, rows, scratch_path(spark, "merge-staging"))
+    if affected:
+        written = now if mode == "run" else one["m"]
+        sinks.write_watermark(spark, wh.core, max(m for m in (mark, written) if m))
     return affected
 
 

@@ -223,6 +223,19 @@ def publish_snapshot(df: DataFrame, base: str, partition_by: str | None = "creat
     return path
 
 
+def read_watermark(spark: SparkSession, core_path: str) -> str | None:
+    """High-water mark (max ``processed_at``, UTC text) recorded by the last merge."""
+    text = _read_small_text(spark, os.path.join(core_path, "_WATERMARK"))
+    return None if text is None else json.loads(text)["processed_at"]
+
+
+def write_watermark(spark: SparkSession, core_path: str, mark: str) -> None:
+    """Record the core's high-water mark after a merge (a small object beside the data;
+    readers of the table skip ``_`` files)."""
+    _write_small_text(spark, os.path.join(core_path, "_WATERMARK"),
+                      json.dumps({"processed_at": mark}))
+
+
 def quarantine_schema_ddl() -> str:
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in QUARANTINE_SCHEMA.fields)
 

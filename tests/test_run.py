@@ -59,3 +59,24 @@ def test_jsonl_stream_in_micro_batches(spark, tmpdir_path):
     assert core.count() == 4 and core.select("contact_id").distinct().count() == 4
     # the last file's records won (unconditional update); no stale copy survives
     assert {r["d"] for r in core.selectExpr("day(created_at) AS d").collect()} == {12}
+
+
+def test_high_water_mark_recorded_after_merges(spark, tmpdir_path):
+    from pyspark.sql import functions as F
+
+    from contactlake.operators.core import TS_TEXT
+    page = mock.write_mock_page(os.path.join(tmpdir_path, "page.json"))
+    wh = os.path.join(tmpdir_path, "wh")
+    core_path = os.path.join(wh, "core_contacts")
+
+    def core_max():
+        core = sinks.read_core(spark, core_path)
+        return core.agg(F.date_format(F.max("processed_at"), TS_TEXT)).first()[0]
+
+    run_batch(spark, page, "json", wh, run_id="r1", now="2024-03-01 00:00:00", log=lambda m: None)
+    assert sinks.read_watermark(spark, core_path) == "2024-03-01 00:00:00.000000" == core_max()
+    # the model path merges by watermark: source rows newer than the recorded mark
+    s = run_batch(spark, page, "json", wh, run_id="r2", mode="model", now="2024-03-02 00:00:00",
+                  log=lambda m: None)
+    assert s.model_run
+    assert sinks.read_watermark(spark, core_path) == core_max() == "2024-03-02 00:00:00.000000"
