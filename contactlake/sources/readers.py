@@ -78,13 +78,29 @@ def latest_batch(df: DataFrame, run_col: str = "run_id") -> DataFrame:
     return df.where(F.col(run_col) == F.lit(top))
 
 
+def batch_names(spark: SparkSession, base: str, run_col: str = "run_id") -> list[str]:
+    """Batch names of a store laid out as ``base/<run_col>=<name>/``, from the directory
+    listing alone (one entry per batch; no data file is opened)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    head = f"{run_col}="
+    return [unescape(st.getPath().getName()[len(head):]) for st in fs.listStatus(path)
+            if st.isDirectory() and st.getPath().getName().startswith(head)]
+
+
 def read_latest_batch(spark: SparkSession, base: str, prefix: str = "",
                       run_col: str = "run_id", fmt: str = "parquet") -> DataFrame:
-    """S3 on a batch store laid out as ``base/run_id=<name>/``."""
+    """S3 on a batch store laid out as ``base/run_id=<name>/``: the greatest name is
+    taken from the directory listing, then only that partition is read."""
+    names = [n for n in batch_names(spark, base, run_col) if n.startswith(prefix)]
     df = spark.read.format(fmt).load(base)
-    if prefix:
-        df = df.where(F.col(run_col).startswith(prefix))
-    return latest_batch(df, run_col)
+    if not names:
+        return df.limit(0)
+    return df.where(F.col(run_col) == F.lit(max(names)))
 
 
 def created_since(df: DataFrame, since, col: str = "created_at") -> DataFrame:
