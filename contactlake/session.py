@@ -21,6 +21,8 @@ BASE_CONF = {
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # remove RDD checkpoint files (the median's lineage cut) once nothing references them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
