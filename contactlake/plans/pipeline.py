@@ -71,10 +71,11 @@ class Warehouse:
         return os.path.join(self.root, "batches")
 
 
-def extract(spark: SparkSession, path: str, fmt: str, since=None) -> DataFrame:
-    """Stage 1 (S1 / S2 / S4)."""
+def extract(spark: SparkSession, path: str, fmt: str, since=None,
+            lines: bool = False) -> DataFrame:
+    """Stage 1 (S1 / S2 / S4). ``lines``: JSON files hold one document per line."""
     df = readers.read_csv_contacts(spark, path) if fmt == "csv" else \
-        readers.read_api_contacts(spark, path)
+        readers.read_api_contacts(spark, path, lines=lines)
     if since is not None and fmt != "csv":
         created = F.col("properties.createdate")
         from ..functions.expr import parse_ts
@@ -179,12 +180,12 @@ def process_validated(spark: SparkSession, annotated: DataFrame, wh: Warehouse,
 def run_batch(spark: SparkSession, source_path: str, fmt: str, warehouse_root: str,
               run_id: str | None = None, mode: str = "run", now=None, since=None,
               literal: bool = False, archive_processed: bool = False, log=print,
-              publish: str = "partitions") -> RunStats:
-    """Full run over one landed batch (JSON pages or CSV)."""
+              publish: str = "partitions", lines: bool = False) -> RunStats:
+    """Full run over one landed batch (JSON pages, JSON Lines pages or CSV)."""
     ensure_utc(spark)
     wh = Warehouse(warehouse_root)
     run_id = run_id or new_run_id()
-    records = extract(spark, source_path, fmt, since)
+    records = extract(spark, source_path, fmt, since, lines)
     # Backup of the extracted batch (Parquet, ZSTD)
     keep = [c for c in records.columns if not c.startswith("_")]
     sinks.write_batch(records.select(*keep), wh.batches, CONTAINER_RAW, run_id)

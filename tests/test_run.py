@@ -80,3 +80,16 @@ def test_high_water_mark_recorded_after_merges(spark, tmpdir_path):
                   log=lambda m: None)
     assert s.model_run
     assert sinks.read_watermark(spark, core_path) == core_max() == "2024-03-02 00:00:00.000000"
+
+
+def test_batch_run_over_json_lines(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "pages.jsonl")
+    with open(path, "w") as fh:
+        for p in range(3):
+            fh.write('{"results":[' + ",".join(
+                '{"id":"c%d","properties":{"email":"u%d@x.com"}}' % (10 * p + i, i)
+                for i in range(5)) + ']}\n')
+        fh.write('{"results":[{"id":"bad","properties":{"email":"nope"}}]}\n')
+    s = run_batch(spark, path, "json", os.path.join(tmpdir_path, "wh"), run_id="r1",
+                  now="2024-03-01 00:00:00", lines=True, log=lambda m: None)
+    assert (s.total, s.valid, s.invalid, s.core_merged) == (16, 15, 1, 15)
