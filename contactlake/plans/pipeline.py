@@ -114,10 +114,15 @@ def merge_core(spark: SparkSession, wh: Warehouse, run_id: str, mode: str = "run
     mark = None
     if target is not None:
         mark = sinks.read_watermark(spark, wh.core) or high_water_text(target)
-    raw = spark.read.parquet(wh.raw)
     if mode == "run":
-        source = raw.where(F.col("run_id") == run_id)
+        if not sinks.run_exists(spark, wh.raw, run_id):
+            return 0                                   # the run loaded no valid contact
+        source = sinks.read_runs(spark, wh.raw, [run_id]).where(F.col("run_id") == run_id)
     elif mode == "watermark":
+        runs = sinks.raw_runs_after(spark, wh.raw, mark)
+        if runs == []:
+            return 0                                   # no run newer than the mark
+        raw = spark.read.parquet(wh.raw) if runs is None else sinks.read_runs(spark, wh.raw, runs)
         source = watermark_filter(stg_contacts(raw), None, mark=mark)
     else:
         raise ValueError(f"unknown merge mode {mode!r}")

@@ -89,14 +89,56 @@ def list_batches(manifest: DataFrame, prefix: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ S10-S12 ------------
-def _write_run_counted(rows: DataFrame, table_path: str) -> int:
+def _write_run_counted(rows: DataFrame, table_path: str, newest: str | None = None):
     """Replace the run's partition of a table partitioned by ``run_id`` and return the
-    rows written. The count is observed while writing (no second scan of the output);
-    metrics of failed task attempts are not counted."""
+    rows written (and, with ``newest``, that column's maximum as UTC text). Both are
+    observed while writing (no second scan of the output); metrics of failed task
+    attempts are not counted."""
     obs = Observation()
-    rows.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite") \
+    metrics = [F.count(F.lit(1)).alias("n")]
+    if newest:
+        metrics.append(F.date_format(F.max(newest), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("m"))
+    rows.observe(obs, *metrics).write.mode("overwrite") \
         .option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(table_path)
-    return int(obs.get["n"])
+    got = obs.get
+    return (int(got["n"]), got["m"]) if newest else int(got["n"])
+
+
+def run_path(table_path: str, run_id: str) -> str:
+    """Directory of one run's partition (the name escaped as Spark writes it)."""
+    from pyspark import SparkContext
+    jvm = SparkContext._active_spark_context._jvm
+    esc = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(run_id)
+    return os.path.join(table_path, f"run_id={esc}")
+
+
+def read_runs(spark: SparkSession, table_path: str, run_ids: list[str]) -> DataFrame:
+    """The given runs of a table partitioned by ``run_id``, opening only their
+    directories: reading the table root would list every file of every run first, and
+    raw grows by a run every hour."""
+    paths = [run_path(table_path, r) for r in run_ids]
+    return spark.read.option("basePath", table_path).parquet(*paths)
+
+
+def run_exists(spark: SparkSession, table_path: str, run_id: str) -> bool:
+    """A run that wrote no rows has no partition directory."""
+    return _path_exists(spark, run_path(table_path, run_id))
+
+
+def raw_runs_manifest(table_path: str) -> str:
+    return table_path.rstrip("/") + "_runs"
+
+
+def raw_runs_after(spark: SparkSession, table_path: str, mark: str | None) -> list[str] | None:
+    """Runs of the raw table holding rows with ``processed_at`` after ``mark``, from the
+    small run manifest written by every append; None when there is no manifest."""
+    path = raw_runs_manifest(table_path)
+    if not _path_exists(spark, path):
+        return None
+    m = spark.read.parquet(path).where(F.col("newest_processed_at").isNotNull())  # empty runs
+    if mark is not None:
+        m = m.where(F.col("newest_processed_at") > F.lit(mark))
+    return [r["run_id"] for r in m.select("run_id").collect()]
 
 
 
@@ -107,7 +149,14 @@ def append_raw(valid: DataFrame, table_path: str, run_id: str, processed_at=None
     extra = [c for c in ("ingest_seq",) if c in valid.columns]
     out = valid.select(*[c for c in CONTACT_COLUMNS if c not in ("processed_at", "run_id")],
                        stamp.alias("processed_at"), F.lit(run_id).alias("run_id"), *extra)
-    return _write_run_counted(out, table_path)
+    n, newest = _write_run_counted(out, table_path, newest="processed_at")
+    # one manifest row per run (replaced with the run): lets a watermark merge open only
+    # the runs newer than its mark
+    spark = valid.sparkSession
+    spark.createDataFrame([(newest, run_id)], "newest_processed_at string, run_id string") \
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("run_id").parquet(raw_runs_manifest(table_path))
+    return n
 
 
 def quarantine_rows(invalid: DataFrame, run_id: str, quarantined_at=None) -> DataFrame:

@@ -93,3 +93,25 @@ def test_batch_run_over_json_lines(spark, tmpdir_path):
     s = run_batch(spark, path, "json", os.path.join(tmpdir_path, "wh"), run_id="r1",
                   now="2024-03-01 00:00:00", lines=True, log=lambda m: None)
     assert (s.total, s.valid, s.invalid, s.core_merged) == (16, 15, 1, 15)
+
+
+def test_merge_reads_only_needed_runs_and_skips_empty_ones(spark, tmpdir_path):
+    wh = os.path.join(tmpdir_path, "wh")
+    page = mock.write_mock_page(os.path.join(tmpdir_path, "page.json"))
+    bad = os.path.join(tmpdir_path, "bad.json")
+    with open(bad, "w") as fh:
+        fh.write('[{"id":"x","properties":{"email":"nope"}}]')
+    s0 = run_batch(spark, bad, "json", wh, run_id="r0", now="2024-03-01 00:00:00",
+                   log=lambda m: None)
+    assert (s0.valid, s0.core_merged) == (0, 0)                 # empty run: nothing to merge
+    s1 = run_batch(spark, page, "json", wh, run_id="r1", now="2024-03-02 00:00:00",
+                   log=lambda m: None)
+    assert s1.core_merged == 2
+    raw = os.path.join(wh, "contacts_raw")
+    assert sinks.raw_runs_after(spark, raw, None) == ["r1"]
+    assert sinks.raw_runs_after(spark, raw, "2024-03-02 00:00:00.000000") == []
+    # a model (watermark) run after that finds its own run newer than the mark
+    s2 = run_batch(spark, page, "json", wh, run_id="r2", mode="model",
+                   now="2024-03-03 00:00:00", log=lambda m: None)
+    assert s2.model_run
+    assert sinks.read_core(spark, os.path.join(wh, "core_contacts")).count() == 2
