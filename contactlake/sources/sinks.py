@@ -212,6 +212,8 @@ def create_table_if_missing(spark: SparkSession, name: str, path: str, schema_dd
                             partitioned_by: list[str] | None = None) -> None:
     """``CREATE TABLE IF NOT EXISTS ... USING parquet PARTITIONED BY``."""
     part = f" PARTITIONED BY ({', '.join(partitioned_by)})" if partitioned_by else ""
+    fs, p = _fs_path(spark, path)
+    fs.mkdirs(p)                        # the location exists before the table points at it
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema_ddl}) USING parquet{part} "
               f"LOCATION '{path}'")
 
