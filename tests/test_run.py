@@ -115,3 +115,15 @@ def test_merge_reads_only_needed_runs_and_skips_empty_ones(spark, tmpdir_path):
                    now="2024-03-03 00:00:00", log=lambda m: None)
     assert s2.model_run
     assert sinks.read_core(spark, os.path.join(wh, "core_contacts")).count() == 2
+
+
+def test_stream_empty_file_is_a_zero_run(spark, tmpdir_path):
+    landing = os.path.join(tmpdir_path, "landing")
+    os.makedirs(landing)
+    open(os.path.join(landing, "empty.jsonl"), "w").close()
+    wh = os.path.join(tmpdir_path, "wh")
+    q = stream_contacts(spark, landing, wh, os.path.join(tmpdir_path, "ckpt"), lines=True,
+                        now="2024-03-01 00:00:00")
+    q.awaitTermination(300)
+    audit = spark.read.parquet(os.path.join(wh, "run_audit")).collect()
+    assert [(r["total"], r["core_merged"]) for r in audit] == [(0, 0)]
