@@ -355,8 +355,11 @@ def merge_partitions(spark: SparkSession, core_path: str, source_rows: DataFrame
     staged = spark.read.parquet(stage)
     staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy(PARTITION_COLUMN).parquet(core_path)
-    written = {r[0] for r in staged.select(PARTITION_COLUMN).distinct().collect()}
-    for m in set(months) - written:
+    # months written = the staged folder's partition directories (a listing, no job)
+    from .readers import batch_names
+    written = set(batch_names(spark, stage, PARTITION_COLUMN))
+    for m in months:
         name = "__HIVE_DEFAULT_PARTITION__" if m is None else str(m)
-        _delete_path(spark, os.path.join(core_path, f"{PARTITION_COLUMN}={name}"))
+        if name not in written:
+            _delete_path(spark, os.path.join(core_path, f"{PARTITION_COLUMN}={name}"))
     return months
