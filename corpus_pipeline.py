@@ -9,12 +9,13 @@ import pandas as pd
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from contactlake.llm import op2_winnow, op4_pieces, op6_quality, op8_simhash, op9_secrets
 from contactlake.llm.common import small_batches, staged, table
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _without_lines(text: pd.Series, removed: pd.Series) -> pd.Series:
     return pd.Series([None if t is None else op6_quality.without_lines(t, set(r))
                       for t, r in zip(text, removed)], dtype=object)
