@@ -16,6 +16,7 @@ from contactlake.session import scratch_path
 PIECE_BYTES = 2 << 20
 #: rows of one Arrow batch, so that a batch of long texts stays small
 BATCH_ROWS = 1000
+BATCH_BYTES = 16 << 20
 
 
 def col(name: str) -> Column:
@@ -28,8 +29,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the Arrow batches of the session (a runtime SQL setting)."""
+    """Bound the Arrow batches of the session (runtime SQL settings)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -197,3 +197,22 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                       n_hit(out).alias("n_hit"), F.size(out["items"]).cast("long").alias("n_items"),
                       hex_sha256(F.array_join(out["items"], ",")).alias("items_sha256"),
                       (F.size(out["spans"]) > 0).alias("contaminated"))
+
+
+ORACLE = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM benchmark),
+bw AS (SELECT DISTINCT item, k, array_to_string(w[i:i + k - 1], ' ') AS s
+  FROM (SELECT *, least({SPAN}, len(w)) AS k FROM b WHERE len(w) > 0), unnest(range(1, len(w) - k + 2)) t(i)),
+dw AS (SELECT r, i, k, array_to_string(w[i:i + k - 1], ' ') AS s
+  FROM d, (SELECT DISTINCT k FROM bw), unnest(range(1, len(w) - k + 2)) t(i)),
+hits AS (SELECT r, i, k, item FROM dw JOIN bw USING (k, s)),
+words AS (SELECT r, count(DISTINCT p) AS n_hit FROM hits, unnest(range(i, i + k)) t(p) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
+"""

@@ -136,3 +136,28 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       *[F.col(f"out.{n}").alias(n) for n in
                         ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
                       "base_failed", "kept", "removed_words")
+
+
+ORACLE = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, CASE WHEN source IS NULL THEN '' ELSE '=' || source END AS host,
+    coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
+win AS (SELECT r, i, array_to_string(w[i:i + 2], ' ') AS s FROM w, unnest(range(1, len(w) - 1)) t(i)),
+rep AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, i, count(*) OVER (PARTITION BY r, s) AS n FROM win) x,
+    unnest(range(i, i + 3)) t(p) WHERE n > 1 GROUP BY r),
+split AS (SELECT r, host, md5(t) AS text_key, unnest(string_split(t, chr(10))) AS l FROM d),
+lines AS (SELECT r, host, text_key, l, lw, lower(array_to_string(lw, ' ')) AS low
+  FROM (SELECT *, regexp_extract_all(l, '[^\x20\x09-\x0D]+') AS lw FROM split) WHERE len(lw) > 0),
+dup AS (SELECT r, count(*) - count(DISTINCT l) AS n FROM lines GROUP BY r),
+norm AS (SELECT r, host, text_key, len(lw) AS words, regexp_replace(low, '[0-9]+', '0', 'g') AS line FROM lines),
+freq AS (SELECT host, line, min(text_key) AS keeper FROM norm GROUP BY host, line
+  HAVING count(DISTINCT text_key) > {MOST_DOCUMENTS}),
+gone AS (SELECT r, sum(words) AS words FROM norm JOIN freq USING (host, line) WHERE text_key <> keeper GROUP BY r),
+facts AS (SELECT doc_id, len(w) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    coalesce(dup.n, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words,
+    CAST(coalesce(gone.words, 0) AS BIGINT) AS removed_words
+  FROM d JOIN w USING (r) LEFT JOIN dup USING (r) LEFT JOIN rep USING (r) LEFT JOIN gone USING (r)),
+base AS (SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words AS base_failed FROM facts)
+SELECT *, NOT base_failed AND 100 * (n_words - removed_words) >= {LEAST_LEFT} * n_words AS kept FROM base
+"""

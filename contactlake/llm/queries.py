@@ -1,12 +1,14 @@
 """Registered queries of the training-data operators, and their DuckDB SQL."""
 from __future__ import annotations
 
-from contactlake.llm import (op2_winnow, op4_pieces, op5_counts, op6_quality, op7_chat,
+from contactlake.llm import (op1_backoff, op2_winnow, op3_resample, op4_pieces, op5_counts, op6_quality, op7_chat,
                              op8_simhash, op9_secrets, op10_shards)
 
 QUERIES = {f.__name__: f for f in (
-    op2_winnow.op2_decontaminate, op4_pieces.op4_sentencepiece, op5_counts.op5_token_counts,
+    op1_backoff.op1_backoff_scores, op2_winnow.op2_decontaminate, op3_resample.op3_importance_resample,
+    op4_pieces.op4_sentencepiece, op5_counts.op5_token_counts,
     op6_quality.op6_quality_rules, op7_chat.op7_chat_format, op8_simhash.op8_near_duplicates,
     op9_secrets.op9_secret_scan, op10_shards.op10_ring_shards)}
 
-ORACLE_SQL = {"op7_chat_format": op7_chat.ORACLE}
+ORACLE_SQL = {"op1_backoff_scores": op1_backoff.ORACLE, "op2_decontaminate": op2_winnow.ORACLE,
+              "op6_quality_rules": op6_quality.ORACLE, "op7_chat_format": op7_chat.ORACLE}
