@@ -84,7 +84,7 @@ def slice_scores(words: Words, elsewhere: list[np.ndarray] | None, total: int, o
         full = np.full(n_words, -1, np.int64)
         full[at] = c
         seen.append(full)
-    corpus = np.maximum(total - (own_words if leave_out else 0), 1).astype(np.float64)[words.doc]
+    corpus = np.maximum(total - own_words * leave_out, 1).astype(np.float64)[words.doc]
     score = np.log(np.maximum(seen[0], alpha)) - np.log(corpus)
     for n in range(2, order + 1):  # from short to long: a longer n-gram that was seen decides
         last = np.arange(n_words)[n - 1:]

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contactlake.llm.common import PIECE_BYTES, col, hex_sha256, pieces, small_batches, table
+from contactlake.llm.common import PIECE_BYTES, col, hex_sha256, pieces, small_batches, staged, table
 from contactlake.llm.words import Words
 
 #: words of a k-gram; k-grams of a winnowing window; the shortest span that must be found
@@ -21,6 +21,8 @@ GRAM, WINDOW = 5, 6
 SPAN = GRAM + WINDOW - 1
 #: text bytes of the items that are sent to the tasks at once; more items take more passes
 BLOCK_BYTES = 4 << 20
+#: passes that follow each other in one job
+PASSES = 4
 
 
 def winnowed(words: Words, gram: int, window: int) -> np.ndarray:
@@ -160,6 +162,8 @@ def decontaminate(docs: DataFrame, bench: DataFrame, text: str = "text", keep=No
         send = docs.sparkSession.sparkContext.broadcast(
             ([r["item"] for r in rows], [r["text"] for r in rows]))
         at = at.mapInArrow(_pass(send, gram, window, last=k == len(parts) - 1), at.schema)
+        if k % PASSES == PASSES - 1 and k < len(parts) - 1:
+            at = staged(at, "passes")
     return at.select("row", "out")
 
 

@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contactlake.llm.common import col, map_text, pieces, small_batches, staged, table
-from contactlake.llm.words import Words
+from contactlake.llm.words import Words, byte_classes, mix
 
 #: hashed features; documented bound of the labelled rows that the target model is fitted on
-BUCKETS, TARGET_ROWS = 10_000, 20_000
+BUCKETS, TARGET_ROWS = 1 << 16, 20_000
 #: weight of the mean log ratio of a document's features against the noise
-SHARPNESS = 200.0
+SHARPNESS = 1000.0
 SEED = 17
 #: bins of one step of the search for the k-th largest key
 BINS = 1000
@@ -26,13 +26,19 @@ BINS = 1000
 WEIGHT = T.StructType([T.StructField("n_features", T.LongType()), T.StructField("log_ratio", T.DoubleType())])
 
 
-def features(words: Words, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all words and word pairs, and the text of each."""
+#: runs of ASCII punctuation, and a number that keeps their hashes from those of words
+PUNCTUATION = byte_classes(lambda b: 33 <= b < 48 or 58 <= b < 65 or 91 <= b < 97 or 123 <= b < 127, lower=False)
+_APART = np.uint64(99)
+
+
+def features(texts: list[str], buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all words, word pairs and runs of punctuation, and the text of each."""
+    words, signs = Words(texts), Words(texts, PUNCTUATION)
     one, _ = words.grams(1)
     two, whole = words.grams(2)
     at = np.flatnonzero(whole)
-    bucket = np.concatenate((one, two[at])) % np.uint64(buckets)
-    return bucket.astype(np.int64), np.concatenate((words.doc, words.doc[at]))
+    bucket = np.concatenate((one, two[at], mix(signs.hash + _APART))) % np.uint64(buckets)
+    return bucket.astype(np.int64), np.concatenate((words.doc, words.doc[at], signs.doc))
 
 
 def target_ids(labels: DataFrame, ident: str = "doc_id", rows: int = TARGET_ROWS) -> DataFrame:
@@ -56,7 +62,7 @@ def feature_counts(docs: DataFrame, targets: DataFrame, ident: str = "doc_id", t
         every, target = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
         for batch in batches:
             for part in pieces(batch, 0):
-                bucket, doc = features(Words([t or "" for t in part.column(0).to_pylist()]), buckets)
+                bucket, doc = features([t or "" for t in part.column(0).to_pylist()], buckets)
                 every += np.bincount(bucket, minlength=buckets)
                 mark = part.column(1).to_numpy(zero_copy_only=False).astype(bool)
                 target += np.bincount(bucket[mark[doc]], minlength=buckets)
@@ -81,7 +87,7 @@ def weights(docs: DataFrame, ratios: np.ndarray, text: str = "text", keep=None)
     """``(row, out)``: ``out.n_features`` and ``out.log_ratio``, the summed log ratio of the
     text's features (the log importance weight). Null and empty texts have none."""
     def fn(texts: list[str]) -> pa.Array:
-        bucket, doc = features(Words(texts), len(ratios))
+        bucket, doc = features(texts, len(ratios))
         return pa.StructArray.from_arrays(
             [pa.array(np.bincount(doc, minlength=len(texts)).astype(np.int64)),
              pa.array(np.bincount(doc, weights=ratios[bucket], minlength=len(texts)).astype(np.float64))],
@@ -124,7 +130,7 @@ def resample(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: st
     the log weight plus Gumbel noise drawn from a hash of id and seed. With ``sharpness``
     the log weight is that many times the mean log ratio per feature, so that long and short
     texts compete alike; with None it is the plain sum. Documents of equal key at the border
-    are all selected; a text without words has no key and is not. Without labels nothing is
+    are all selected; a text without features has no key and is not. Without labels nothing is
     on target and all ratios follow the smoothing. A null id gets the noise of its seed.
     """
     good = F.coalesce((F.col("quality") == 1) & (F.col("toxic") == 0), F.lit(False))

@@ -109,26 +109,28 @@ def links(prints: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Data
     bucket that leaves ``radius`` or fewer bits free is all within the radius: a star. So
     no pair is lost and no bucket is gathered beyond the bound.
     """
+    spark = prints.sparkSession
+    every = (1 << 64) - 1
     found = []
-    todo = [(list(range(64)), prints.select("fp"))]  # bits left free, and rows equal in the others
-    while todo:
-        free, rows = todo.pop()
-        fixed = ~sum(1 << b for b in free) & ((1 << 64) - 1)
-        if len(free) <= radius:
-            key = F.col("fp").bitwiseAND(F.lit(signed(fixed))).alias("key")
-            star = rows.groupBy(key).agg(F.min("fp").alias("a"))
-            found.append(rows.select("fp", key).join(star, "key").filter("fp <> a").select("a", F.col("fp").alias("b")))
-            continue
-        tables = masks(free, radius)
-        keyed = rows.select("fp", F.posexplode(F.array(*[F.lit(signed(m | fixed)) for m in tables])).alias("t", "mask")) \
-            .select("fp", "t", F.col("fp").bitwiseAND(F.col("mask")).alias("key"))
-        sizes = keyed.groupBy("t", "key").agg(F.count("*").alias("n")).filter("n > 1")
-        shared = staged(keyed.join(sizes, ["t", "key"]), "buckets")
-        small = shared.filter(F.col("n") <= bucket).groupBy("t", "key").agg(F.collect_list("fp").alias("fps"))
+    frees, rows = [every], prints.select("fp", F.lit(signed(every)).alias("free"))
+    while frees:
+        tables = [(signed(f), signed(f & ~m)) for f in frees for m in masks([b for b in range(64) if f >> b & 1], radius)]
+        # at most 15 rows for each of the masks in reach, which do not depend on the data
+        tables = F.broadcast(spark.createDataFrame(tables, "free long, left long"))
+        keyed = rows.join(tables, "free").select(
+            "fp", "left", F.col("fp").bitwiseAND(F.bitwise_not("left")).alias("key"))
+        if len(frees) > 1:
+            keyed = keyed.distinct()  # two ways to one bucket
+        sizes = keyed.groupBy("left", "key").agg(F.count("*").alias("n"), F.min("fp").alias("a")).filter("n > 1")
+        shared = staged(keyed.join(sizes, ["left", "key"]), "buckets")
+        small = shared.filter(F.col("n") <= bucket).groupBy("left", "key").agg(F.collect_list("fp").alias("fps"))
         found.append(_bucket_links(small, radius))
         large = shared.filter(F.col("n") > bucket)
-        for t in sorted(r["t"] for r in large.select("t").distinct().collect()):  # 15 tables at most
-            todo.append(([b for b in free if not tables[t] >> b & 1], large.filter(F.col("t") == t)))
+        found.append(large.filter((F.bit_count("left") <= radius) & (F.col("fp") != F.col("a")))
+                     .select("a", F.col("fp").alias("b")))
+        large = large.filter(F.bit_count("left") > radius)
+        frees = [r["left"] & every for r in large.select("left").distinct().collect()]
+        rows = large.select("fp", F.col("left").alias("free")).distinct()
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
