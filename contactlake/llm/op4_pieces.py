@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contactlake.llm.common import hex_sha256, map_column, map_text, table
-from contactlake.llm.piece_model import Encoder, loaded
+from contactlake.llm.piece_batch import Encoder, loaded
 
 MODEL = "piece_bpe_32k.model"
 
@@ -44,14 +44,10 @@ def encode(docs: DataFrame, model: str, text: str = "text", keep=None,
     def fn(texts: list[str]) -> pa.Array:
         coder = loaded(Encoder, send.value)
         ids, begin, end, n = coder.encode(texts)
-        stops = np.cumsum(n)
-        offsets = pa.array(np.concatenate(([0], stops)).astype(np.int32))
+        offsets = pa.array(np.concatenate(([0], np.cumsum(n))).astype(np.int32))
         cols = [pa.ListArray.from_arrays(offsets, pa.array(x, pa.int32())) for x in (ids, begin, end)]
-        flat = ids.tolist() if decoded else []
-        back = [coder.model.decode(flat[b - k:b]) if decoded else None
-                for b, k in zip(stops.tolist(), n.tolist())]
-        return pa.StructArray.from_arrays([*cols, pa.array(back, pa.string())],
-                                          ["ids", "begins", "ends", "decoded"])
+        back = coder.decode(ids, n) if decoded else pa.nulls(len(n), pa.string())
+        return pa.StructArray.from_arrays([*cols, back], ["ids", "begins", "ends", "decoded"])
 
     return map_text(docs, fn, ENCODED, text, keep, rows=2500, most=8 << 20)
 

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from contactlake.llm.common import map_text, table
 from contactlake.llm.op4_pieces import MODEL, model_bytes
-from contactlake.llm.piece_model import PrefixCounter, loaded
+from contactlake.llm.piece_batch import Prefixes, loaded
 
 LIMIT = 4096
 
@@ -32,7 +32,7 @@ def prefix_counts(docs: DataFrame, model: str, text: str = "text", keep=None) ->
     send = docs.sparkSession.sparkContext.broadcast(model_bytes(model))
 
     def fn(texts: list[str]) -> pa.Array:
-        values, n = loaded(PrefixCounter, send.value).counts(texts)
+        values, n = loaded(Prefixes, send.value).counts(texts)
         offsets = pa.array(np.concatenate(([0], np.cumsum(n))).astype(np.int32))
         return pa.StructArray.from_arrays(
             [pa.ListArray.from_arrays(offsets, pa.array(values, pa.int32()))], ["counts"])

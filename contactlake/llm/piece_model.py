@@ -1,7 +1,7 @@
 """A SentencePiece BPE model in plain Python: normaliser, segmentation, decoder.
 
-The model file is parsed once; nothing of the sentencepiece encoder is called. Chunks are
-segmented once for each slice of texts.
+The model file is parsed once; nothing of the sentencepiece encoder is called. This module
+works on one text at a time and defines the results; ``piece_batch`` does whole slices.
 """
 from __future__ import annotations
 
@@ -9,11 +9,8 @@ import heapq
 import re
 import struct
 
-import numpy as np
 from sentencepiece import sentencepiece_model_pb2 as proto
 
-from contactlake.llm.words import run_hashes
-
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BPE = 2
@@ -192,6 +189,23 @@ class PieceModel:
             return [i]
         return [self.byte_id[b] for b in piece.encode()] if self.fallback else [self.unknown]
 
+    def encode(self, text: str) -> list[tuple[int, int, int]]:
+        """Id, first byte and end byte in ``text`` of each token, through the alignment that
+        the normaliser records."""
+        norm, source = self.normalise(text)
+        rows: list[tuple[int, int, int]] = []
+        at = 0
+        for chunk in self.chunk.findall(norm):
+            for p in self.segment(chunk):
+                begin, end = source[at], source[at + len(p)]
+                at += len(p)
+                got = self.tokens(p)
+                if got == [self.unknown] and rows and rows[-1][0] == self.unknown:
+                    rows[-1] = (self.unknown, rows[-1][1], end)  # a run of unknowns is one token
+                    continue
+                rows += [(i, begin, begin) for i in got[:-1]] + [(got[-1], begin, end)]
+        return rows
+
     def decode(self, ids) -> str:
         """The text of ``ids``: bytes are joined, invalid ones become U+FFFD, and the white
         space of the dummy prefix goes."""
@@ -358,172 +372,3 @@ class Chunks:
                 count.append(count[j - n] + cost)
             before = chunk
             yield last, count
-
-    def distinct(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Sorted distinct chunks of the normalised texts (identity normaliser, spaces left
-        plain), the index of every chunk in them, and the number of chunks of each text.
-        White-space signs in the texts count as white space."""
-        raw = [(" " + t.replace(SPACE, " ")).encode() if t else b"" for t in texts]
-        joined = b"".join(raw)
-        stops = np.cumsum([len(r) for r in raw])
-        data = np.frombuffer(joined, np.uint8)
-        space = data == 32
-        opens = space.copy()
-        opens[1:] &= ~space[:-1]
-        opens[(stops - [len(r) for r in raw])[[bool(r) for r in raw]]] = True
-        start = np.flatnonzero(opens)
-        end = np.append(start[1:], len(data))
-        per_text = np.diff(np.searchsorted(start, stops), prepend=0)
-        if not self.model.apart:  # pieces that hold white space inside: a text is one chunk
-            start, end, per_text = stops - [len(r) for r in raw], stops, np.array([bool(r) for r in raw], int)
-            start, end = start[per_text > 0], end[per_text > 0]
-        if not len(start):
-            return [], np.zeros(0, np.int64), per_text
-        _, first, index = np.unique(run_hashes(data, start, end), return_index=True, return_inverse=True)
-        size = end - start
-        same = first[index]
-        offset = np.arange(len(data)) - np.repeat(start, size)  # chunks cover the data
-        if not (size[same] == size).all() or not (data == data[np.repeat(start[same], size) + offset]).all():
-            return self._distinct_exact(joined, start, end, per_text)  # two chunks of one hash
-        chunks = [joined[a:b].decode() for a, b in zip(start[first].tolist(), end[first].tolist())]
-        order = sorted(range(len(chunks)), key=chunks.__getitem__)
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        return [chunks[i] for i in order], place[index], per_text
-
-    @staticmethod
-    def _distinct_exact(joined, start, end, per_text):
-        every = [joined[a:b].decode() for a, b in zip(start, end)]
-        chunks = sorted(set(every))
-        at = {c: i for i, c in enumerate(chunks)}
-        return chunks, np.array([at[c] for c in every], np.int64), per_text
-
-
-def gathered(flat: np.ndarray, sizes: np.ndarray, index: np.ndarray) -> np.ndarray:
-    """The runs of ``flat`` (of the given sizes) in the order of ``index``."""
-    first = np.cumsum(sizes) - sizes
-    took = sizes[index]
-    shift = first[index] - (np.cumsum(took) - took)
-    return flat[np.arange(int(took.sum())) + np.repeat(shift, took)]
-
-
-class Encoder:
-    """Ids and source spans of texts."""
-
-    def __init__(self, blob: bytes):
-        self.model = PieceModel(blob)
-        self.chunks = Chunks(self.model)
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of all texts one after another: ids, first byte and end byte of each token in its
-        text; and the number of tokens of each text."""
-        m = self.model
-        if m.simple:
-            plain = [t if SPACE not in t else "" for t in texts]
-            ids, end, n = self._encode_plain(plain)
-            first = np.cumsum(n) - n
-            begin = np.concatenate(([0], end[:-1])).astype(np.int32)
-            begin[first[n > 0]] = 0
-            if plain == texts:
-                return ids, begin, end, n
-            done = {i: (ids[a:a + k], begin[a:a + k], end[a:a + k])
-                    for i, (a, k) in enumerate(zip(first, n)) if k}
-        else:
-            done = {}
-        parts = [done.get(i) or self.encode_mapped(t) for i, t in enumerate(texts)]
-        n = np.array([len(p[0]) for p in parts], np.int64)
-        return (*(np.concatenate([p[k] for p in parts] or [np.zeros(0, np.int32)]) for k in range(3)), n)
-
-    def _encode_plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Identity normaliser: a byte of the text is a byte of its tokens, but for the
-        white space of the dummy prefix, which stands for none."""
-        chunks, index, per_text = self.chunks.distinct(texts)
-        ids: list[int] = []
-        spans: list[int] = []
-        sizes: list[int] = []
-        known, fall = self.chunks.id, self.model.byte_id
-        for chunk, (last, count) in zip(chunks, self.chunks.solve(chunks)):
-            j, got, under = len(chunk), [], []
-            while j:
-                piece = last[j]
-                j -= len(piece)
-                if (i := known.get(piece)) is not None:
-                    got.append(i)
-                    under.append(len(piece) if piece.isascii() else len(piece.encode()))
-                else:  # the last byte token of a character carries its span
-                    raw = piece.encode()
-                    got += [fall[b] for b in reversed(raw)]
-                    under += [len(raw)] + [0] * (len(raw) - 1)
-            ids += reversed(got)
-            spans += reversed(under)
-            sizes.append(len(got))
-        sizes = np.array(sizes, np.int64)
-        flat = gathered(np.array(ids, np.int32), sizes, index)
-        ends = np.cumsum(gathered(np.array(spans, np.int64), sizes, index))
-        tokens = np.concatenate(([0], np.cumsum(sizes[index])))
-        cut = np.cumsum(per_text)
-        n = tokens[cut] - tokens[cut - per_text]
-        done = np.concatenate(([0], ends))[np.cumsum(n) - n]
-        return flat, (ends - np.repeat(done + 1, n)).astype(np.int32), n
-
-    def encode_mapped(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """One text, through the alignment that the normaliser records."""
-        m = self.model
-        norm, source = m.normalise(text)
-        rows: list[tuple[int, int, int]] = []
-        at = 0
-        for chunk in m.chunk.findall(norm):
-            for p in m.segment(chunk):
-                begin, end = source[at], source[at + len(p)]
-                at += len(p)
-                got = m.tokens(p)
-                if got == [m.unknown] and rows and rows[-1][0] == m.unknown:
-                    rows[-1] = (m.unknown, rows[-1][1], end)  # a run of unknowns is one token
-                    continue
-                rows += [(i, begin, begin) for i in got[:-1]] + [(got[-1], begin, end)]
-        cols = np.array(rows, np.int32).reshape(-1, 3)
-        return cols[:, 0], cols[:, 1], cols[:, 2]
-
-
-class PrefixCounter:
-    """Token counts of every prefix of texts."""
-
-    def __init__(self, blob: bytes):
-        self.model = m = PieceModel(blob)
-        if not (m.identity and m.dummy and SPACE in m.id):
-            raise ValueError("prefix counts need an identity normaliser with a dummy prefix")
-        self.chunks = Chunks(m)
-
-    def counts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Of all texts one after another: entry k of a text counts the tokens of its first
-        k + 1 characters; and the number of characters of each text."""
-        chunks, index, per_text = self.chunks.distinct(texts)
-        flat: list[int] = []
-        for _, count in self.chunks.solve(chunks):
-            flat += count[1:]
-        flat = np.array(flat, np.int32)
-        sizes = np.array([len(c) for c in chunks], np.int64)
-        total = flat[np.cumsum(sizes) - 1] if len(flat) else flat
-        values = gathered(flat, sizes, index).astype(np.int64)
-        before = np.concatenate(([0], np.cumsum(total[index], dtype=np.int64)))
-        chars = sizes[index]
-        cut = np.cumsum(per_text)
-        text_base = np.repeat(before[cut - per_text], per_text)
-        values += np.repeat(before[:-1] - text_base, chars)
-        ends = np.concatenate(([0], np.cumsum(chars)))
-        n = ends[cut] - ends[cut - per_text]
-        keep = np.ones(len(values), bool)
-        keep[(np.cumsum(n) - n)[n > 0]] = False  # the dummy prefix
-        return values[keep].astype(np.int32), np.maximum(n - 1, 0)
-
-
-_loaded: dict[tuple[type, int], object] = {}
-
-
-def loaded(kind: type, blob: bytes):
-    """One ``Encoder`` or ``PrefixCounter`` per worker process and model."""
-    key = (kind, hash(blob))
-    if key not in _loaded:
-        _loaded.clear()
-        _loaded[key] = kind(blob)
-    return _loaded[key]
