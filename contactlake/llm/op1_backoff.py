@@ -24,7 +24,7 @@ from contactlake.llm.words import ALNUM, Words
 #: longest n-gram, and the factor of each step back to a shorter one
 ORDER, ALPHA = 3, 0.4
 #: text bytes of a slice (or one text)
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 9 << 20
 
 SCORE = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("log_score", T.DoubleType())])
 
@@ -170,7 +170,8 @@ def _requests(slices: DataFrame, order: int, parts: int) -> DataFrame:
                             [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
                             _REQUEST.names)
 
-    return slices.select("slice", "sizes", "texts").mapInArrow(run, _REQUEST)
+    # all columns are taken, so that this and the join read one and the same exchange
+    return slices.mapInArrow(run, _REQUEST)
 
 
 def _answer(request: pa.Table) -> pa.Table:
