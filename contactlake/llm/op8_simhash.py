@@ -112,15 +112,15 @@ def links(prints: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Data
     spark = prints.sparkSession
     every = (1 << 64) - 1
     found = []
-    frees, rows = [every], prints.select("fp", F.lit(signed(every)).alias("free"))
+    frees, rows = [every], prints.select("fp")
     while frees:
         tables = [(signed(f), signed(f & ~m)) for f in frees for m in masks([b for b in range(64) if f >> b & 1], radius)]
-        # at most 15 rows for each of the masks in reach, which do not depend on the data
-        tables = F.broadcast(spark.createDataFrame(tables, "free long, left long"))
-        keyed = rows.join(tables, "free").select(
-            "fp", "left", F.col("fp").bitwiseAND(F.bitwise_not("left")).alias("key"))
-        if len(frees) > 1:
-            keyed = keyed.distinct()  # two ways to one bucket
+        if len(frees) == 1:
+            each = rows.select("fp", F.explode(F.array(*[F.lit(left) for _, left in tables])).alias("left"))
+        else:  # at most 15 rows for each of the masks in reach, which do not depend on the data
+            small = F.broadcast(spark.createDataFrame(tables, "free long, left long"))
+            each = rows.join(small, "free").select("fp", "left").distinct()  # two ways to one bucket
+        keyed = each.select("fp", "left", F.col("fp").bitwiseAND(F.bitwise_not("left")).alias("key"))
         sizes = keyed.groupBy("left", "key").agg(F.count("*").alias("n"), F.min("fp").alias("a")).filter("n > 1")
         shared = staged(keyed.join(sizes, ["left", "key"]), "buckets")
         small = shared.filter(F.col("n") <= bucket).groupBy("left", "key").agg(F.collect_list("fp").alias("fps"))
