@@ -55,6 +55,9 @@ MSG_API_MISSING_EMAIL = "Field 'properties.email' is required and cannot be empt
 LABEL_VALIDATION = "validation_error"
 LABEL_MISSING = "missing_field"
 LABEL_FORMAT = "invalid_format"
+MSG_INT = "value is not a valid integer"
+# the API property that holds a contact column of another name
+API_NAMES = {"company_name": "company", "annual_revenue": "annualrevenue", "created_at": "createdate"}
 ERROR_LABELS = {ERR_VALIDATION: LABEL_VALIDATION, ERR_MISSING_EMAIL: LABEL_MISSING}
 
 # ---- fixed values: e-mail syntax (dot-atom local part, dotted domain) ----------------

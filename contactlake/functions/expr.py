@@ -8,7 +8,7 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..constants import (CONVERTED_STATUS, EMAIL_PATTERN, ERROR_LABELS, STATUS_ORDER,
+from ..constants import (API_NAMES, CONVERTED_STATUS, EMAIL_PATTERN, ERROR_LABELS, STATUS_ORDER,
                          STATUS_OTHER_RANK, WHITE_SPACE)
 
 ColumnOrName = Column | str
@@ -110,23 +110,23 @@ def json_value(doc: ColumnOrName, name: str) -> Column:
     return out
 
 
-def json_value_flat(doc: ColumnOrName, name: str) -> Column:
-    v = F.get_json_object(_c(doc), f"$.{name}")
-    return F.when(~(v.startswith("{") | v.startswith("[")), v)
-
-
 def with_json_fields(df, doc: str, names: list[str], out: str = "_j"):
     """Parse the JSON text ``doc`` ONCE per row into a struct of string members ``out``
-    (the optimizer keeps one parse even when several members are used)."""
-    schema = ", ".join(f"`{n}` string" for n in names)
-    return df.withColumn(out, F.from_json(F.col(doc), schema))
+    (the optimizer keeps one parse even when several members are used). A record is flat
+    (a CSV row) or an API contact, whose members stand under ``properties``: both are
+    parsed."""
+    flat = ", ".join(f"`{n}` string" for n in dict.fromkeys([*names, "id"]))
+    nested = ", ".join(f"`{API_NAMES.get(n, n)}`: string" for n in names)
+    return df.withColumn(out, F.from_json(F.col(doc), f"{flat}, properties struct<{nested}>"))
 
 
 def jfield(name: str, out: str = "_j") -> Column:
     """Member of a ``with_json_fields`` struct with JSON_VALUE semantics: scalar text, NULL
-    for JSON null, objects and arrays."""
-    v = F.col(f"{out}.{name}")
-    return F.when(~(v.startswith("{") | v.startswith("[")), v)
+    for JSON null, objects and arrays. The flat member counts first, then that of the API
+    record."""
+    api = "id" if name == "contact_id" else f"properties.{API_NAMES.get(name, name)}"
+    both = [F.col(f"{out}.{p}") for p in (name, api)]
+    return F.coalesce(*[F.when(~(v.startswith("{") | v.startswith("[")), v) for v in both])
 
 
 def error_label(error_type: ColumnOrName = "error_type", labels: dict | None = None) -> Column:
@@ -171,9 +171,11 @@ INT_PATTERN = r"^[+-]?[0-9]+(_[0-9]+)*$"
 
 def int_text_ok(x: ColumnOrName) -> Column:
     """Integer text in the sense of Python ``int()``: sign, digits, single
-    underscores between digits, surrounding white space; '' counts as absent."""
+    underscores between digits, surrounding white space; '' counts as absent. A number
+    beyond BIGINT is no integer here: it would be lost as NULL."""
     t = unicode_trim(x)
-    return _c(x).isNull() | (_c(x) == "") | F.coalesce(t.rlike(INT_PATTERN), F.lit(False))
+    fits = F.regexp_replace(t, "_", "").try_cast("bigint").isNotNull()
+    return _c(x).isNull() | (_c(x) == "") | F.coalesce(t.rlike(INT_PATTERN) & fits, F.lit(False))
 
 
 def parse_int(x: ColumnOrName) -> Column:

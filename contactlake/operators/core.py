@@ -91,11 +91,6 @@ def merge_snapshot(target: DataFrame | None, source: DataFrame, key: str = "cont
     return kept.unionByName(src)
 
 
-def affected_rows(source: DataFrame, key: str = "contact_id") -> int:
-    """Updates + inserts of a merge = distinct source keys."""
-    return source.select(key).distinct().count()
-
-
 PARTITION_COLUMN = "created_month"
 
 

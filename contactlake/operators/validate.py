@@ -11,14 +11,13 @@ from pyspark.sql import functions as F
 
 from ..constants import (API_EXTRA_PROPERTIES, API_PROPERTIES, CSV_COLUMNS,
                          ERR_MISSING_EMAIL, ERR_VALIDATION, MSG_API_MISSING_EMAIL,
-                         MSG_CSV_MISSING_EMAIL)
+                         MSG_CSV_MISSING_EMAIL, MSG_INT)
 from ..functions.expr import email_ok, int_text_ok, parse_int, parse_ts
 from ..schema import CONTACT_COLUMNS
 
 MSG_SHAPE_API = "record does not match the API contact shape (id string, properties object of strings)"
 MSG_SHAPE_CSV = "record does not match the CSV contact shape (8 string cells)"
 MSG_EMAIL = "value is not a valid email address"
-MSG_INT = "value is not a valid integer"
 
 
 def _variant_type(v: Column, path: str) -> Column:
@@ -110,8 +109,10 @@ def validate_api(records: DataFrame, original_data: Column | None = None,
 
 
 def csv_cell_count(line: Column) -> Column:
-    """Number of cells of a CSV line, counting only commas outside double quotes."""
-    return F.size(F.split(line, ',(?=(?:[^"]*"[^"]*")*[^"]*$)'))
+    """Number of cells of a CSV line, counting only commas outside double quotes (quoted
+    runs are dropped first: one pass, whatever the number of cells)."""
+    bare = F.regexp_replace(line, '"[^"]*"', "")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
 
 
 def validate_csv(rows: DataFrame, literal: bool = False) -> DataFrame:
@@ -137,7 +138,9 @@ def validate_csv(rows: DataFrame, literal: bool = False) -> DataFrame:
     if literal:
         revenue = F.when(int_text_ok(rev), revenue).otherwise(
             F.raise_error(F.lit("invalid literal for int() in annual_revenue")))
-    original = F.to_json(F.struct(*[F.col(c) for c in CSV_COLUMNS]), {"ignoreNullFields": "false"})
+    parsed, keep_null = [F.col(c) for c in CSV_COLUMNS], {"ignoreNullFields": "false"}
+    original = F.when(corrupt.isNull(), F.to_json(F.struct(*parsed), keep_null)) \
+        .otherwise(F.to_json(F.struct(*parsed, corrupt.cast("string").alias("_corrupt_record")), keep_null))
     none = F.lit(None).cast("string")
     contact = {
         "contact_id": cells["contact_id"],

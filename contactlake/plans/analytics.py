@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import (FUNNEL_BUCKETS, FUNNEL_OTHER_BUCKET, LABEL_FORMAT, LABEL_MISSING,
-                         LABEL_VALIDATION, NO_CAMPAIGN, UNKNOWN)
+                         LABEL_VALIDATION, MSG_INT, NO_CAMPAIGN, UNKNOWN)
 from ..functions.expr import (conversion_rate, converted_count, days_before, error_label,
                               is_converted, jfield, month_start, parse_ts, pct,
                               round_half_up, sunday_week, with_json_fields)
@@ -149,7 +149,7 @@ def a13_current_vs_previous(contacts: DataFrame, as_of=None) -> DataFrame:
     cur = F.col("created_at") >= days_before(as_of, 30)
     prev = F.col("created_at").between(days_before(as_of, 60), days_before(as_of, 30))
     closed = is_converted()
-    one = contacts.where(F.col("created_at") >= days_before(as_of, 60)).agg(
+    one = since(contacts, as_of, 60).agg(
         F.count_if(cur).alias("n0"), F.count_if(cur & closed).alias("c0"),
         F.count_if(prev).alias("n1"), F.count_if(prev & closed).alias("c1"))
     rows = [F.struct(F.lit(label).alias("period"), F.col(f"n{i}").alias("leads"),
@@ -223,6 +223,17 @@ def a18_quality_summary(contacts: DataFrame, invalid: DataFrame) -> DataFrame:
         ("Data Quality Score %", pct(t - i, t))])))
 
 
+def invalid_contacts(quarantine: DataFrame) -> DataFrame:
+    """The written quarantine as the reports read it, API and CSV records alike."""
+    return quarantine.withColumnRenamed("quarantined_at", "processed_at")
+
+
+def _label(labels: dict | None) -> Column:
+    """The counted label of an error; values that are no integers are format errors."""
+    return F.when(F.col("error_message") == MSG_INT, F.lit(LABEL_FORMAT)) \
+        .otherwise(error_label("error_type", labels))
+
+
 def _parsed(invalid: DataFrame, *names: str) -> DataFrame:
     return with_json_fields(invalid, "original_data", list(names))
 
@@ -249,7 +260,7 @@ def a20_error_detail(invalid: DataFrame) -> DataFrame:
 
 
 def a21_errors_per_day(invalid: DataFrame, as_of=None, labels: dict | None = None) -> DataFrame:
-    lab = error_label("error_type", labels)
+    lab = _label(labels)
     return (since(invalid, as_of, 30, col="processed_at")
             .groupBy(F.to_date("processed_at").alias("error_date"))
             .agg(n_rows().alias("daily_errors"),
@@ -313,7 +324,7 @@ def a24_daily_error_rate(invalid: DataFrame, contacts: DataFrame, as_of=None) ->
 
 
 def a25_errors_by_source(invalid: DataFrame, labels: dict | None = None) -> DataFrame:
-    lab = error_label("error_type", labels)
+    lab = _label(labels)
     src = jfield("hs_analytics_source")
     return (_parsed(invalid, "hs_analytics_source", "email").groupBy(src.alias("_src"))
             .agg(n_rows().alias("invalid_count"),

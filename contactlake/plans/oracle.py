@@ -15,6 +15,10 @@ AS_OF = "TIMESTAMP '2001-08-01 00:00:00'"
 _EMAIL = EMAIL_PATTERN.replace("'", "''")
 
 
+def _text(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
 def R(x: str, d: int = 2) -> str:
     return f"CAST(ROUND(CAST(({x}) AS DECIMAL(38,10)), {d}) AS DOUBLE)"
 
@@ -34,7 +38,11 @@ def since(days: int, col: str = "created_at") -> str:
 
 
 def jv(name: str) -> str:
-    return f"json_extract_string(original_data, '$.{name}')"
+    """A member of a flat record, or of an API contact (nested, some under other names)."""
+    api = {"contact_id": "id", "company_name": "properties.company", "annual_revenue": "properties.annualrevenue",
+           "created_at": "properties.createdate"}.get(name, f"properties.{name}")
+    return (f"COALESCE(json_extract_string(original_data, '$.{name}'), "
+            f"json_extract_string(original_data, '$.{api}'))")
 
 
 def parse_ts_sql(x: str) -> str:
@@ -51,7 +59,8 @@ def parse_ts_sql(x: str) -> str:
 
 def int_ok_sql(x: str) -> str:
     return (f"({x} IS NULL OR {x} = '' OR "
-            f"COALESCE(regexp_matches(trim({x}), '^[+-]?[0-9]+(_[0-9]+)*$'), false))")
+            f"COALESCE(regexp_matches(trim({x}), '^[+-]?[0-9]+(_[0-9]+)*$') "
+            f"AND TRY_CAST(replace(trim({x}), '_', '') AS BIGINT) IS NOT NULL, false))")
 
 
 def parse_int_sql(x: str) -> str:
@@ -121,12 +130,22 @@ SELECT *, CASE WHEN email IS NULL OR email = '' THEN 'MissingEmail'
 FROM api_contacts),
 invalid_contacts AS (
 SELECT id,
-       '{{"contact_id":"' || id || '","email":' || COALESCE('"' || email || '"', 'null')
+       CASE WHEN event_id % 2 = 1 THEN
+         '{{"id":"' || id || '","properties":{{"email":' || COALESCE('"' || email || '"', 'null')
+         || ',"company":"' || company || '","annualrevenue":'
+         || COALESCE('"' || annualrevenue || '"', 'null')
+         || ',"createdate":' || COALESCE('"' || createdate || '"', 'null')
+         || ',"hs_analytics_source":"' || hs_analytics_source || '"}}}}'
+       ELSE
+         '{{"contact_id":"' || id || '","email":' || COALESCE('"' || email || '"', 'null')
          || ',"company_name":"' || company || '","annual_revenue":'
          || COALESCE('"' || annualrevenue || '"', 'null')
          || ',"created_at":' || COALESCE('"' || createdate || '"', 'null')
-         || ',"hs_analytics_source":"' || hs_analytics_source || '"}}' AS original_data,
-       error_type, error_type || ' in ' || hs_analytics_source AS error_message,
+         || ',"hs_analytics_source":"' || hs_analytics_source || '"}}' END AS original_data,
+       error_type,
+       CASE WHEN email IS NULL OR email = '' THEN {_text(MSG_API_MISSING_EMAIL)}
+            WHEN NOT regexp_matches(email, '{_EMAIL}') THEN {_text(MSG_EMAIL)}
+            ELSE {_text(MSG_INT)} END AS error_message,
        processed_at, 'run_1' AS run_id
 FROM api_checked WHERE error_type IS NOT NULL)
 """
@@ -207,8 +226,9 @@ def with_more(extra_ctes: str, body: str) -> str:
     return f"WITH {FIXTURES.strip()},\n{extra_ctes.strip()}\n{body.strip()}"
 
 
-LABEL = ("CASE error_type WHEN 'ValidationError' THEN 'validation_error' "
-         "WHEN 'MissingEmail' THEN 'missing_field' ELSE error_type END")
+LABEL = ("CASE WHEN error_message = 'value is not a valid integer' THEN 'invalid_format' ELSE "
+         "CASE error_type WHEN 'ValidationError' THEN 'validation_error' "
+         "WHEN 'MissingEmail' THEN 'missing_field' ELSE error_type END END")
 
 STG = f"""
 stg AS (

@@ -72,9 +72,10 @@ class Warehouse:
 
 
 def extract(spark: SparkSession, path: str, fmt: str, since=None,
-            lines: bool = False) -> DataFrame:
-    """Stage 1 (S1 / S2 / S4). ``lines``: JSON files hold one document per line."""
-    df = readers.read_csv_contacts(spark, path) if fmt == "csv" else \
+            lines: bool = True, multi_line: bool = False) -> DataFrame:
+    """Stage 1 (S1 / S2 / S4). ``lines``: JSON files hold one document per line, else one
+    document each. ``multi_line``: CSV cells may hold line breaks (one task per file)."""
+    df = readers.read_csv_contacts(spark, path, multi_line) if fmt == "csv" else \
         readers.read_api_contacts(spark, path, lines=lines)
     if since is not None and fmt != "csv":
         created = F.col("properties.createdate")
@@ -177,22 +178,25 @@ def process_validated(spark: SparkSession, annotated: DataFrame, wh: Warehouse,
             stats.core_merged = merge_core(spark, wh, run_id, "run", now, publish)
     else:
         stats.core_merged = merge_core(spark, wh, run_id, mode, now, publish)
+    # a replayed run replaces its audit row
     spark.createDataFrame([tuple(asdict(stats).values())], RUN_AUDIT_SCHEMA) \
-        .write.mode("append").parquet(wh.audit)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("run_id").parquet(wh.audit)
     return stats
 
 
 def run_batch(spark: SparkSession, source_path: str, fmt: str, warehouse_root: str,
               run_id: str | None = None, mode: str = "run", now=None, since=None,
               literal: bool = False, archive_processed: bool = False, log=print,
-              publish: str = "partitions", lines: bool = False) -> RunStats:
+              publish: str = "partitions", lines: bool = True, multi_line: bool = False) -> RunStats:
     """Full run over one landed batch (JSON pages, JSON Lines pages or CSV)."""
     ensure_utc(spark)
     wh = Warehouse(warehouse_root)
     run_id = run_id or new_run_id()
-    records = extract(spark, source_path, fmt, since, lines)
-    # Backup of the extracted batch (Parquet, ZSTD)
-    keep = [c for c in records.columns if not c.startswith("_")]
+    records = extract(spark, source_path, fmt, since, lines, multi_line)
+    # Backup of the extracted batch (Parquet, ZSTD); the text of a malformed CSV row
+    # is kept, so every landed byte is found again
+    keep = [c for c in records.columns if not c.startswith("_") or c == "_corrupt_record"]
     sinks.write_batch(records.select(*keep), wh.batches, CONTAINER_RAW, run_id)
     annotated = validate(records, literal=literal)
     return process_validated(spark, annotated, wh, run_id, mode, now, archive_processed, log,
@@ -200,4 +204,5 @@ def run_batch(spark: SparkSession, source_path: str, fmt: str, warehouse_root: s
 
 
 def run_audit(spark: SparkSession, warehouse_root: str) -> DataFrame:
-    return spark.read.parquet(Warehouse(warehouse_root).audit)
+    return spark.read.schema(RUN_AUDIT_SCHEMA).parquet(Warehouse(warehouse_root).audit) \
+        .select(*RUN_AUDIT_SCHEMA.names)

@@ -34,6 +34,10 @@ CONTACT_SCHEMA = T.StructType([
     T.StructField("run_id", S, False),
 ])
 
+# the core table as written: partitioned by month, with every undated contact in one
+# partition; read with this schema, since a folder of undated contacts alone has no type
+CORE_LAYOUT_SCHEMA = T.StructType([*CONTACT_SCHEMA.fields, T.StructField("created_month", T.DateType())])
+
 QUARANTINE_SCHEMA = T.StructType([
     T.StructField("id", S, False),
     T.StructField("original_data", S, False),

@@ -50,13 +50,13 @@ def scale_conf(input_bytes: int) -> dict[str, str]:
     """Shuffle and scan sizing for a job that reads ``input_bytes``.
 
     * scan splits of 256 MiB (fewer, fuller tasks at 100 TB: ~400k splits);
-    * one shuffle partition per 128 MiB of input as AQE's starting point (at least 200,
-      at most 100,000), coalesced at run time towards 256 MiB, so a shuffle partition fits
+    * one shuffle partition per 128 MiB of input as AQE's starting point (at least 200),
+      coalesced at run time towards 256 MiB, so a shuffle partition fits
       an executor core's memory share and spills rarely;
     * skew join splits a partition 5x the median and over 512 MiB (a hot key);
     * broadcast joins only below an explicit 64 MiB bound measured by AQE at run time.
     """
-    parts = max(200, min(100_000, -(-input_bytes // (128 * MIB))))
+    parts = max(200, -(-input_bytes // (128 * MIB)))
     return {
         "spark.sql.files.maxPartitionBytes": str(256 * MIB),
         "spark.sql.shuffle.partitions": str(parts),
@@ -105,6 +105,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="contactlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -28,15 +28,11 @@ def _ts(col: str):
     return F.col(col).cast("timestamp")
 
 
-def contacts_raw(spark: SparkSession, sf_dir: str, spread_input: bool = False) -> DataFrame:
-    """One raw contact per order, keyed by the customer: ids repeat on purpose.
-    ``spread_input`` deals a single-split orders table over the cores before the join, so
-    the write that follows runs in parallel (see ``spread``)."""
+def contacts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One raw contact per order, keyed by the customer: ids repeat on purpose."""
     ensure_utc(spark)
     orders = driver_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
-    if spread_input:
-        orders = spread(orders)
     customer = driver_table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment", "c_nationkey")
     nation = driver_table(spark, sf_dir, "nation").select(
@@ -85,10 +81,8 @@ def core_contacts(raw: DataFrame) -> DataFrame:
 
 
 def api_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat API-shaped records from the events table, covering validator branches; dealt
-    over the cores when the table comes in fewer splits (``spread``), since every use
-    validates each record."""
-    return spread(_api_flat(spark, sf_dir))
+    """Flat API-shaped records from the events table, covering validator branches."""
+    return _api_flat(spark, sf_dir)
 
 
 def _api_flat(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
@@ -141,19 +135,21 @@ def fixture_original_data() -> F.Column:
 
 
 def invalid_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rejected API fixture records, through the validator (V12), in the analytics
-    shape (quarantine with ``quarantined_at AS processed_at``, T10)."""
+    """Rejected fixture records, through the validator (V12), as the quarantine holds them
+    (T10): records of odd events keep the text of an API contact, the others that of a
+    flat row."""
     from ..operators.validate import validate_api
+    from ..plans.analytics import invalid_contacts as as_reported
     recs = api_records(api_contacts(spark, sf_dir))
-    annotated = validate_api(recs, original_data=fixture_original_data())
+    nested = F.to_json(F.struct(F.col("id"), F.struct(
+        "properties.email", "properties.company", "properties.annualrevenue", "properties.createdate",
+        "properties.hs_analytics_source").alias("properties")), {"ignoreNullFields": "false"})
+    text = F.when(F.col("id").cast("bigint") % 2 == 1, nested).otherwise(fixture_original_data())
+    annotated = validate_api(recs, original_data=text)
     bad = annotated.where(F.col("error_type").isNotNull())
-    return bad.select(
-        "id", "original_data", "error_type",
-        F.concat(F.col("error_type"), F.lit(" in "),
-                 F.col("properties.hs_analytics_source")).alias("error_message"),
-        "processed_at",
-        F.lit("run_1").alias("run_id"),
-    )
+    return as_reported(bad.select(
+        "id", "original_data", "error_type", "error_message",
+        F.col("processed_at").alias("quarantined_at"), F.lit("run_1").alias("run_id")))
 
 
 # ---- documents and files of the two batch formats --------------------------------------
@@ -161,17 +157,6 @@ def invalid_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 API_PAGE_SIZE = 100
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread CPU-heavy per-record work (JSON parsing into VARIANT) over all cores when its
-    input comes in fewer splits than there are cores (a small driver table is one file,
-    so one task). A round-robin repartition is deterministic on retry (rows are sorted
-    before being dealt out). With many input splits, as at scale, this is a no-op: no
-    shuffle is added. Position ids must not be taken after it (row order after a shuffle
-    is not fixed)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def landing_files(spark: SparkSession) -> int:
     """Files a fixture batch lands in: one per core, as a source writing pages in
     parallel would; the readers then split the batch across tasks."""
@@ -184,7 +169,7 @@ def _json_text(x) -> F.Column:
     return F.coalesce(F.concat(F.lit('"'), x, F.lit('"')), F.lit("null"))
 
 
-def api_record_json(spark: SparkSession, sf_dir: str, spread_out: bool = True) -> DataFrame:
+def api_record_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One API contact per event as JSON text (``event_id``, ``rec``), with the JSON type
     faults a typed read would hide: a numeric ``id`` (event_id % 5 = 0), a numeric
     ``numberofemployees`` taken from the event's own JSON ``props`` (% 5 = 1), and no
@@ -205,8 +190,7 @@ def api_record_json(spark: SparkSession, sf_dir: str, spread_out: bool = True) -
         F.lit(',"hs_analytics_source":'), _json_text(F.col("hs_analytics_source")),
         F.lit("}"))
     rec = F.concat(F.lit('{"id":'), rid, F.when(kind == 2, F.lit("")).otherwise(props), F.lit("}"))
-    out = a.select("event_id", rec.alias("rec"))
-    return spread(out) if spread_out else out
+    return a.select("event_id", rec.alias("rec"))
 
 
 def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,7 +198,7 @@ def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     (column ``doc``). A page is 100 consecutive records of one scan split (the position
     id of the scan, deterministic on re-read), so no page ever exceeds 100 records,
     whatever the key distribution."""
-    r = api_record_json(spark, sf_dir, spread_out=False).withColumn(
+    r = api_record_json(spark, sf_dir).withColumn(
         "page", F.floor(F.monotonically_increasing_id() / API_PAGE_SIZE))
     g = r.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("event_id", "rec"))).alias("recs"))
     body = F.array_join(F.transform("recs", lambda x: x["rec"]), ",")
@@ -224,7 +208,7 @@ def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select(doc.alias("doc"))
 
 
-def csv_rows(spark: SparkSession, sf_dir: str, spread_out: bool = True) -> DataFrame:
+def csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV contact rows (8 string cells, '' for an empty cell) from the events table."""
     from ..constants import CSV_COLUMNS
     a = _api_flat(spark, sf_dir, "event_id", "user_id")
@@ -239,8 +223,7 @@ def csv_rows(spark: SparkSession, sf_dir: str, spread_out: bool = True) -> DataF
         "annual_revenue": F.coalesce("annualrevenue", F.lit("")),
         "created_at": F.coalesce("createdate", F.lit("")),
     }
-    out = a.select("event_id", *[cells[c].alias(c) for c in CSV_COLUMNS])
-    return spread(out) if spread_out else out
+    return a.select("event_id", *[cells[c].alias(c) for c in CSV_COLUMNS])
 
 
 def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,7 +231,7 @@ def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     event_id % 11 = 10 stops after 5 cells (a short row), the row of event_id % 13 = 12
     carries a ninth cell (ignored by the reader's shape rule)."""
     from ..constants import CSV_COLUMNS
-    r = csv_rows(spark, sf_dir, spread_out=False)      # the landing write deals lines out
+    r = csv_rows(spark, sf_dir)      # the landing write deals lines out
     e = F.col("event_id")
     full = F.concat_ws(",", *[F.col(c) for c in CSV_COLUMNS])
     short = F.concat_ws(",", *[F.col(c) for c in CSV_COLUMNS[:5]])
@@ -281,11 +264,9 @@ def layers(spark: SparkSession, sf_dir: str) -> Layers:
 def materialized_layers(spark: SparkSession, sf_dir: str, out_dir: str) -> Layers:
     """Write raw (partitioned by run), core (by month of creation, clustered) and the
     quarantine once, then read them back: what a deployment does; reports then scan the
-    written tables with partition pruning and pushed filters. Single-split driver tables
-    are dealt over the cores first, so each write runs in parallel and the quarantine
-    lands in as many files (report scans then run in parallel too)."""
+    written tables with partition pruning and pushed filters."""
     from ..operators.core import with_layout
-    raw_df = contacts_raw(spark, sf_dir, spread_input=True)
+    raw_df = contacts_raw(spark, sf_dir)
     raw_df.write.mode("overwrite").partitionBy("run_id").parquet(f"{out_dir}/contacts_raw")
     raw = spark.read.parquet(f"{out_dir}/contacts_raw")
     with_layout(core_contacts(raw)).write.mode("overwrite").partitionBy("created_month") \

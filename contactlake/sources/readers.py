@@ -40,12 +40,12 @@ def api_records_from_docs(docs: DataFrame) -> DataFrame:
         .withColumn("ingest_seq", F.monotonically_increasing_id())
 
 
-def read_api_contacts(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+def read_api_contacts(spark: SparkSession, path: str, lines: bool = True) -> DataFrame:
     """Landed API page files (or arrays / single objects) → one record per contact.
 
-    By default each file is one JSON document, so Spark splits the work across files.
-    With ``lines=True`` every line is a document (JSON Lines, one page per line): such
-    files are split inside as well, so one large landed file is read by many tasks."""
+    Every line is a document (JSON Lines, one page per line), so a large landed file is
+    split inside and read by many tasks. With ``lines=False`` each file is one document:
+    one string in one task, for files of bounded size."""
     ensure_utc(spark)
     reader = spark.read if lines else spark.read.option("wholetext", "true")
     docs = reader.text(path) \
@@ -55,14 +55,17 @@ def read_api_contacts(spark: SparkSession, path: str, lines: bool = False) -> Da
     return api_records_from_docs(docs)
 
 
-def read_csv_contacts(spark: SparkSession, path: str) -> DataFrame:
+def read_csv_contacts(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Header CSV, UTF-8, every cell a string; malformed rows are kept with their
-    text in ``_corrupt_record`` (the validator tells short rows from long ones)."""
+    text in ``_corrupt_record`` (the validator tells short rows from long ones). Files are
+    split inside; ``multi_line`` reads cells with line breaks, one task per file."""
     ensure_utc(spark)
     df = (spark.read.schema(CSV_SCHEMA)
           .option("header", "true").option("encoding", "UTF-8")
           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-          .option("multiLine", "true").option("escape", '"')
+          # every cell is parsed, whatever columns a query takes: else a short row passes
+          .option("multiLine", str(multi_line).lower()).option("columnPruning", "false")
+          .option("escape", '"')
           .csv(path))
     return _with_seq(df)
 

@@ -13,7 +13,8 @@ import os
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..schema import CONTACT_COLUMNS, QUARANTINE_SCHEMA, RELATIONAL_COLUMNS
+from ..schema import (CONTACT_COLUMNS, CORE_LAYOUT_SCHEMA, QUARANTINE_SCHEMA,
+                      RELATIONAL_COLUMNS)
 
 
 # ------------------------------------------------------------------ S5 / S6 / S14 ------
@@ -176,17 +177,19 @@ def append_quarantine(invalid: DataFrame, table_path: str, run_id: str,
 
 
 def append_table(df: DataFrame, table_path: str, schema=None, partition_by=None) -> int:
-    """Generic append, optionally checked against an explicit schema."""
+    """Generic append, optionally checked against an explicit schema; the rows
+    written, observed while writing."""
     if schema is not None:
         missing = [f.name for f in schema.fields if f.name not in df.columns]
         if missing:
             raise ValueError(f"columns missing for append: {missing}")
         df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    w = df.write.mode("append")
+    obs = Observation()
+    w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(table_path)
-    return -1
+    return int(obs.get["n"])
 
 
 # ------------------------------------------------------------------ S13 ----------------
@@ -194,7 +197,9 @@ def relational_upsert_rows(target: DataFrame | None, batch: DataFrame,
                            key: str = "contact_id") -> DataFrame:
     """The 5-column relational target after a batch upsert: per key the batch's
     last record (later duplicate wins), on conflict its 4 columns replace the row."""
-    order = F.col("ingest_seq").desc() if "ingest_seq" in batch.columns else F.lit(1)
+    # without a position the winner is the row of greatest hash, the same in every run
+    order = F.col("ingest_seq").desc() if "ingest_seq" in batch.columns else \
+        F.xxhash64(*RELATIONAL_COLUMNS).desc()
     w = Window.partitionBy(key).orderBy(order)
     last = batch.withColumn("_r", F.row_number().over(w)).where("_r = 1").select(*RELATIONAL_COLUMNS)
     if target is None:
@@ -316,7 +321,7 @@ def read_core(spark: SparkSession, base: str) -> DataFrame | None:
     if snap is not None:
         return snap
     if _path_exists(spark, base):
-        return spark.read.parquet(base)
+        return spark.read.schema(CORE_LAYOUT_SCHEMA).parquet(base)
     return None
 
 
@@ -339,7 +344,7 @@ def merge_partitions(spark: SparkSession, core_path: str, source_rows: DataFrame
     if not _path_exists(spark, core_path):
         with_layout(src).write.mode("overwrite").partitionBy(PARTITION_COLUMN).parquet(core_path)
         return [r[0] for r in src.select(month).distinct().collect()]
-    target = spark.read.parquet(core_path)
+    target = spark.read.schema(CORE_LAYOUT_SCHEMA).parquet(core_path)
     keys = src.select(key)
     touched = target.join(keys, key, "left_semi").select(PARTITION_COLUMN) \
         .unionByName(src.select(month.alias(PARTITION_COLUMN))).distinct()
@@ -352,7 +357,7 @@ def merge_partitions(spark: SparkSession, core_path: str, source_rows: DataFrame
     stage = os.path.join(staging_root, f"merge-{uuid.uuid4().hex[:12]}")
     with_layout(kept.unionByName(src)).write.mode("overwrite") \
         .partitionBy(PARTITION_COLUMN).parquet(stage)
-    staged = spark.read.parquet(stage)
+    staged = spark.read.schema(CORE_LAYOUT_SCHEMA).parquet(stage)
     staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy(PARTITION_COLUMN).parquet(core_path)
     # months written = the staged folder's partition directories (a listing, no job)

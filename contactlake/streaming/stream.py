@@ -19,14 +19,14 @@ from ..sources.readers import api_records_from_docs
 from ..session import ensure_utc
 
 
-def stream_source(spark: SparkSession, landing: str, fmt: str, lines: bool = False,
+def stream_source(spark: SparkSession, landing: str, fmt: str, lines: bool = True,
                   max_files_per_trigger: int | None = None) -> DataFrame:
-    """Landed batch files as a stream. JSON files are one document each, or with
-    ``lines=True`` one document per line (JSON Lines: large files split across tasks)."""
+    """Landed batch files as a stream. JSON files hold one document per line (JSON Lines:
+    large files are split across tasks), or with ``lines=False`` one document each."""
     if fmt == "csv":
         reader = (spark.readStream.schema(CSV_SCHEMA).option("header", "true")
                   .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-                  .option("multiLine", "true").option("escape", '"'))
+                  .option("columnPruning", "false").option("escape", '"'))
     else:
         reader = spark.readStream.format("text")
         if not lines:
@@ -41,7 +41,7 @@ def stream_source(spark: SparkSession, landing: str, fmt: str, lines: bool = Fal
 
 def stream_contacts(spark: SparkSession, landing: str, warehouse_root: str, checkpoint: str,
                     fmt: str = "json", mode: str = "run", available_now: bool = True,
-                    run_prefix: str = "stream", lines: bool = False,
+                    run_prefix: str = "stream", lines: bool = True,
                     max_files_per_trigger: int | None = None, now=None):
     """Start the stream; returns the StreamingQuery (``awaitTermination()`` to wait)."""
     ensure_utc(spark)

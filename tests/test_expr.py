@@ -68,7 +68,7 @@ def test_scale_conf_sizes_shuffle_by_input(spark):
     from contactlake.session import MIB, input_size, scale_conf
     assert scale_conf(10 * MIB)["spark.sql.shuffle.partitions"] == "200"          # floor
     assert scale_conf(100 << 30)["spark.sql.shuffle.partitions"] == "800"         # 128 MiB each
-    assert scale_conf(100 << 40)["spark.sql.shuffle.partitions"] == "100000"      # cap
+    assert scale_conf(100 << 40)["spark.sql.shuffle.partitions"] == "819200"      # 128 MiB each
     assert scale_conf(1)["spark.sql.autoBroadcastJoinThreshold"] == str(64 * MIB)
     assert input_size(spark, "/root/testdata/sf0.001/orders.parquet") > 0
 
