@@ -2,7 +2,9 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from contactlake.plans.catalog import queries
+from contactlake.plans.oracle import oracle_sql
 from tools.compare import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
