@@ -1,6 +1,7 @@
 import random
 import re
 
+import duckdb
 import numpy as np
 
 from contactlake.llm import op2_winnow as op
@@ -66,6 +67,17 @@ def test_empty_tables(spark, make_docs):
     assert rows[0].out.n_words == 3 and rows[0].out.spans == []
 
 
+def test_query_agrees_with_sql(spark):
+    sf = "/root/testdata/sf0.001"
+    got = op.op2_decontaminate(spark, sf)
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"create view {t} as select * from read_parquet('{sf}/{t}.parquet')")
+    want = con.execute(op.ORACLE)
+    names = [d[0] for d in want.description]
+    assert sorted(tuple(r[n] for n in names) for r in got.collect()) == sorted(want.fetchall())
+
+
 def test_every_shared_span_shares_a_fingerprint():
     rnd = random.Random(5)
     for _ in range(50):
