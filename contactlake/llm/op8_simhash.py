@@ -176,30 +176,39 @@ def near_duplicates(docs: DataFrame, ident: str = "doc_id", text: str = "text",
     their group but never its least id, unless the group has no other. Repeated rows share a
     fingerprint. All later steps work on distinct fingerprints.
     """
+    read = _read(docs, ident, text, keep, shingle)
+    return read.join(_groups(read, radius, bucket), "fingerprint").select("row", "fingerprint", "root", "component_id")
+
+
+def _read(docs: DataFrame, ident: str, text: str, keep, shingle: int) -> DataFrame:
+    """``(row, ident, fingerprint)``, written once."""
     named = docs.select(F.struct(*[col(c) for c in (docs.columns if keep is None else keep)]).alias("row"),
                         col(ident).alias("ident"), col(text).alias("text"))
-    read = staged(fingerprints(named, "text", ["row", "ident"], shingle)
+    return staged(fingerprints(named, "text", ["row", "ident"], shingle)
                   .select("row.row", "row.ident", "out.fingerprint"), "fingerprints")
+
+
+def _groups(read: DataFrame, radius: int, bucket: int) -> DataFrame:
+    """``(fingerprint, root, component_id)`` of the distinct fingerprints."""
     once = staged(read.groupBy("fingerprint").agg(F.min("ident").alias("least")), "prints")
-    groups = connected(links(once.select(F.col("fingerprint").alias("fp")), radius, bucket))
-    rooted = once.join(groups.withColumnRenamed("node", "fingerprint"), "fingerprint", "left") \
+    joined = connected(links(once.select(F.col("fingerprint").alias("fp")), radius, bucket))
+    rooted = once.join(joined.withColumnRenamed("node", "fingerprint"), "fingerprint", "left") \
         .select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = staged(rooted.join(least, "root").select("fingerprint", "root", "component_id"), "components")
-    return read.join(known, "fingerprint").select("row", "fingerprint", "root", "component_id")
+    return staged(rooted.join(least, "root").select("fingerprint", "root", "component_id"), "components")
 
 
-def one_of_each(docs: DataFrame, ident: str = "doc_id", text: str = "text",
-                shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+def one_of_each(docs: DataFrame, ident: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+                radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
     """The rows of ``docs``, one of each group: that of the least id (nulls last), the least
-    text hash among equal ids. Only one row of each group per task is shuffled."""
-    got = near_duplicates(docs.withColumns({_ROW: F.monotonically_increasing_id()}), ident, text,
-                          shingle=shingle, radius=radius)
-    first = got.groupBy("root").agg(F.min(F.struct(
-        col(f"row").getField(ident).isNull().alias("late"), F.col("row").getField(ident).alias("id"),
-        F.xxhash64(F.col("row").getField(text)).alias("hash"), F.col("row").getField(_ROW).alias("at"))).alias("first"))
-    keep = first.select(F.col("first.at").alias("at"))
-    return got.join(keep, F.col("row").getField(_ROW) == F.col("at"), "left_semi") \
+    text hash among equal ids. Rows are chosen by their numbers in a written table, so whole
+    rows are shuffled once, when the chosen ones are taken."""
+    read = _read(docs.withColumns({_ROW: F.monotonically_increasing_id()}), ident, text, None, shingle)
+    narrow = read.select("fingerprint", F.struct(
+        F.col("ident").isNull().alias("late"), F.col("ident").alias("id"),
+        F.xxhash64(F.col("row").getField(text)).alias("hash"), F.col("row").getField(_ROW).alias("at")).alias("rank"))
+    chosen = narrow.join(_groups(read, radius, bucket), "fingerprint").groupBy("root").agg(F.min("rank").alias("rank"))
+    return read.join(chosen.select("rank.at"), F.col("row").getField(_ROW) == F.col("at"), "left_semi") \
         .select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
