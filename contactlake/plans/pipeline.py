@@ -182,6 +182,7 @@ def process_validated(spark: SparkSession, annotated: DataFrame, wh: Warehouse,
     spark.createDataFrame([tuple(asdict(stats).values())], RUN_AUDIT_SCHEMA) \
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy("run_id").parquet(wh.audit)
+    sinks.drop_stages(spark, stage_root, run_id)     # audited: nothing reads them again
     return stats
 
 

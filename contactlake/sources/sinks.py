@@ -71,6 +71,11 @@ def load_stage(spark: SparkSession, base: str, stage: str, run_id: str) -> DataF
     return spark.read.parquet(os.path.join(base, "stages", run_id, stage))
 
 
+def drop_stages(spark: SparkSession, base: str, run_id: str) -> None:
+    """Remove the hand-over tables of a finished run."""
+    _delete_path(spark, os.path.join(base, "stages", run_id))
+
+
 # ------------------------------------------------------------------ S7 / S8 ------------
 def manifest_rows(df: DataFrame, container: str, run_col: str = "run_id",
                   base: str | None = None) -> DataFrame:
@@ -367,4 +372,5 @@ def merge_partitions(spark: SparkSession, core_path: str, source_rows: DataFrame
         name = "__HIVE_DEFAULT_PARTITION__" if m is None else str(m)
         if name not in written:
             _delete_path(spark, os.path.join(core_path, f"{PARTITION_COLUMN}={name}"))
+    _delete_path(spark, stage)
     return months

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from contactlake.operators.quality import check_partition, core_suite
 from contactlake.plans import marts
 from contactlake.plans.pipeline import run_audit, run_batch
+from contactlake.session import scratch_path
 from contactlake.sources import mock, sinks
 from contactlake.sources.generator import synthetic_contacts
 from contactlake.streaming.stream import stream_contacts
@@ -21,6 +22,8 @@ c2,,A,B,Co,CEO,100,2024-01-15T10:30:00Z
 def test_mock_run_and_retry(spark, tmpdir_path):
     page = mock.write_mock_page(os.path.join(tmpdir_path, "page.json"))
     wh = os.path.join(tmpdir_path, "wh")
+    staging = scratch_path(spark, "merge-staging")
+    before = set(os.listdir(staging)) if os.path.exists(staging) else set()
     s1 = run_batch(spark, page, "json", wh, run_id="run_a", now="2024-03-01 00:00:00")
     assert (s1.total, s1.valid, s1.invalid) == (3, 2, 1)
     assert check_partition(s1.total, s1.valid, s1.invalid)            # D6
@@ -32,6 +35,8 @@ def test_mock_run_and_retry(spark, tmpdir_path):
     core = sinks.read_core(spark, os.path.join(wh, "core_contacts"))
     assert core.count() == 2
     assert run_audit(spark, wh).count() == 1                           # replaced, too
+    assert not os.path.exists(scratch_path(spark, "stages", "stages", "run_a"))   # cleaned up
+    assert set(os.listdir(staging)) <= before
     q = spark.read.parquet(os.path.join(wh, "contacts_quarantine"))
     assert q.select("id").distinct().count() == 1                      # deterministic id
     m = marts.lead_analytics(core, "2024-03-01 00:00:00").collect()
