@@ -28,6 +28,9 @@ LEAST_WORDS, MOST_REPEATED = 50, 50
 #: a line in more distinct documents of its host than this is removed; a document is
 #: depleted if fewer words than this share in a hundred remain
 MOST_DOCUMENTS, LEAST_LEFT = 100, 50
+#: the limit as a share (in a hundred) of the host's distinct documents, for lines of some
+#: words in some documents at least; the registered query and its SQL keep MOST_DOCUMENTS
+MOST_SHARE, LEAST_DOCUMENTS, LEAST_LINE = 10, 5, 2
 
 _LINE = T.StructType([T.StructField("hash", T.LongType()), T.StructField("words", T.IntegerType())])
 FACTS = T.StructType(
@@ -63,7 +66,8 @@ def repeated_words(words: list[str]) -> int:
     return inside
 
 
-def facts(text: str) -> dict:
+def facts(text: str, least_line: int = 1) -> dict:
+    """Base facts, and the distinct lines of ``least_line`` words or more."""
     words = WORD.findall(text)
     seen: set[str] = set()
     lines: dict[int, int] = {}
@@ -74,7 +78,9 @@ def facts(text: str) -> dict:
             continue
         dup += line in seen
         seen.add(line)
-        lines[h] = lines.get(h, 0) + len(WORD.findall(line))
+        n = len(WORD.findall(line))
+        if n >= least_line:
+            lines[h] = lines.get(h, 0) + n
     return {"n_words": len(words), "word_chars": sum(map(len, words)),
             "n_symbols": sum(map(text.count, SYMBOLS)), "n_dup_lines": dup,
             "n_repeat_words": repeated_words(words),
@@ -88,7 +94,9 @@ def base_failed():
 
 
 def quality_rules(docs: DataFrame, host: str = "source", text: str = "text", keep=None,
-                  most_documents: int = MOST_DOCUMENTS, least_left: int = LEAST_LEFT) -> DataFrame:
+                  most_documents: int = MOST_DOCUMENTS, least_left: int = LEAST_LEFT, *,
+                  share: int | None = None, least_documents: int = LEAST_DOCUMENTS,
+                  least_line: int = LEAST_LINE) -> DataFrame:
     """``(row, out, removed_words, removed, base_failed, kept)``: ``out`` has the base facts,
     ``removed`` the hashes of the document's lines that are to go, ``kept`` the verdict.
 
@@ -97,12 +105,17 @@ def quality_rules(docs: DataFrame, host: str = "source", text: str = "text", kee
     the one of least text key keeps it. A null host is a host of its own; a null text counts
     as empty (and fails). Lines without a word are never removed. Texts are read once: what
     is shuffled are line hashes, and a frequent line is counted per task first.
+
+    With ``share`` the limit follows the host in place of ``most_documents``: a line of
+    ``least_line`` words or more is removed if more than ``share`` in a hundred of the host's
+    distinct documents, and more than ``least_documents`` of them, hold it.
     """
+    shortest = 1 if share is None else least_line
     columns = docs.columns if keep is None else list(keep)
     named = docs.select(F.struct(*[col(c) for c in columns]).alias("row"),
                         F.coalesce(F.concat(F.lit("="), col(host).cast("string")), F.lit("")).alias("host"),
                         col(text).cast("string").alias("text"))
-    read = map_text(named, lambda texts: pa.array([facts(t) for t in texts], _ARROW), FACTS,
+    read = map_text(named, lambda texts: pa.array([facts(t, shortest) for t in texts], _ARROW), FACTS,
                     "text", ["row", "host"])
     read = staged(read.select("row.row", "row.host", "out"), "quality")
 
@@ -110,8 +123,14 @@ def quality_rules(docs: DataFrame, host: str = "source", text: str = "text", kee
     once = once.select("host", "text_key", F.col("line.hash").alias("hash"), F.col("line.words").alias("words")) \
         .groupBy("host", "hash", "text_key").agg(F.first("words").alias("words"))
     frequent = once.groupBy("host", "hash") \
-        .agg(F.count("*").alias("documents"), F.min("text_key").alias("keeper")) \
-        .filter(F.col("documents") > most_documents).select("host", "hash", "keeper")
+        .agg(F.count("*").alias("documents"), F.min("text_key").alias("keeper"))
+    if share is None:
+        frequent = frequent.filter(F.col("documents") > most_documents)
+    else:
+        hosts = read.select("host", "out.text_key").distinct().groupBy("host").agg(F.count("*").alias("all"))
+        frequent = frequent.filter(F.col("documents") > least_documents).join(hosts, "host") \
+            .filter(100 * F.col("documents") > share * F.col("all"))
+    frequent = frequent.select("host", "hash", "keeper")
     gone = once.join(frequent, ["host", "hash"]).filter(F.col("text_key") != F.col("keeper")) \
         .groupBy("host", "text_key").agg(F.sum("words").alias("removed_words"), F.collect_list("hash").alias("removed"))
     judged = read.withColumn("text_key", F.col("out.text_key")).join(gone, ["host", "text_key"], "left")

@@ -34,9 +34,9 @@ def _with_text(rows: DataFrame, columns: list[str], new: Column) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules, without the lines above the limit."""
+    """Documents that pass the quality rules, without the lines above the host's limit."""
     small_batches(spark)
-    judged = op6_quality.quality_rules(docs).filter("kept")
+    judged = op6_quality.quality_rules(docs, share=op6_quality.MOST_SHARE).filter("kept")
     hit = F.size("removed") > 0
     text = F.when(hit, F.col("row.text"))  # only these texts are sent to Python
     return _with_text(judged, docs.columns, F.when(hit, _without_lines(text, F.col("removed"))))

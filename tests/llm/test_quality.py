@@ -65,6 +65,30 @@ def test_depleted_documents_are_rejected(make_docs):
     assert sum(r.kept for r in got) == 1
 
 
+def test_limit_as_a_share_of_the_host(make_docs):
+    own = lambda i: " ".join(f"w{'abcdefghij'[i % 10] * (i // 10 + 1)}{'xyz'[k % 3]}{'q' * k}" for k in range(55))
+    small = [(i, own(i) + "\nall rights reserved\nles." * (i < 10), "small") for i in range(40)]  # 25 % of the host
+    small += [(900 + i, small[0][1], "small") for i in range(30)]  # exact copies count once
+    large = [(1000 + i, own(i) + "\nsee also page 7" * (i < 12), "large") for i in range(150)]  # 8 %: ordinary
+    few = [(2000 + i, own(i) + "\nof five only", "few") for i in range(5)]  # under the floor
+    got = op.quality_rules(make_docs(small + large + few), share=op.MOST_SHARE).collect()
+    gone = {}
+    for r in got:
+        if r.removed:
+            gone.setdefault(r.row.source, set()).add((r.row.text, r.removed_words))
+        assert r.kept
+    assert set(gone) == {"small"} and len(gone["small"]) == 9 and {n for _, n in gone["small"]} == {3}
+    assert not any(r.removed for r in op.quality_rules(make_docs(small)).collect())  # the absolute count
+
+
+def test_pipeline_takes_the_share(spark, make_docs):
+    import corpus_pipeline
+    own = lambda i: " ".join("abcdefghij"[i] * (k + 1) for k in range(60))
+    docs = make_docs([(i, own(i) + "\nsame boilerplate", "h") for i in range(8)])
+    texts = [r.text for r in corpus_pipeline.quality(spark, docs, "").collect()]
+    assert sum("boilerplate" in t for t in texts) == 1 and len(texts) == 8
+
+
 def test_empty_table(make_docs):
     assert op.quality_rules(make_docs([])).count() == 0
 
