@@ -134,11 +134,6 @@ def _turn(low: str, k: int) -> bool:
     return step(low[k - 2], low[k - 1]) != step(low[k - 1], low[k])
 
 
-def _classes(value: str) -> int:
-    return (any(c.islower() for c in value) + any(c.isupper() for c in value)
-            + any(c.isdigit() for c in value))
-
-
 def scan(text: str, threshold: float = THRESHOLD, today: int | None = None) -> list[tuple[str, int, int]]:
     """``(kind, start, end)`` in code points, end exclusive, by start, then kind."""
     found = [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
@@ -151,8 +146,7 @@ def scan(text: str, threshold: float = THRESHOLD, today: int | None = None) -> l
                   if len(m[1]) >= ASSIGN_VALUE]
         values = {m.span(1) for c in CONTEXTS for m in c.finditer(text)}
         found += [("guess", a, b) for a, b in values
-                  if b - a >= SHORTEST and _classes(text[a:b]) > 1
-                  and guesses(text[a:b], today) >= threshold]
+                  if b - a >= SHORTEST and guesses(text[a:b], today) >= threshold]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
