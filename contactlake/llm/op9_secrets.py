@@ -2,12 +2,16 @@
 
 Fixed patterns find the base spans; values in a credential context are scored by the
 number of guesses that the cheapest segmentation into words, dates, repeats, keyboard walks
-and brute-force spans needs, and costly values become ``guess`` spans.
+and brute-force spans needs, and costly values become ``guess`` spans. Words are ranked by
+the documents of the corpus that hold them outside of credential values.
 """
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
+from collections import Counter
+from collections.abc import Iterator
 from datetime import date
 
 import pyarrow as pa
@@ -15,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contactlake.llm.common import hex_sha256, map_text, table
+from contactlake.llm.common import col, hex_sha256, map_text, pieces, small_batches, staged, table
+from contactlake.llm.op3_resample import kth_largest
 
 # The base patterns, each with the shortest match that counts
 ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -25,9 +30,10 @@ ASSIGN_VALUE, ACCESS_CHARS = 6, 20
 KINDS = ("assign", "access", "hex", "guess")
 
 # The credential contexts whose value (group 1) is scored
+BEARER = re.compile(r"(?ai:\bbearer)[\x20\t]+([A-Za-z0-9+/_.=~-]+)")
 CONTEXTS = (
     re.compile(r"""(?ai:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|auth[_-]?key|access[_-]?key|private[_-]?key|credentials?)["']?[\x20\t]*(?::=|=>|[:=])[\x20\t]*["']?([^\s"'`<>,;]+)"""),
-    re.compile(r"(?ai:\bbearer)[\x20\t]+([A-Za-z0-9+/_.=~-]+)"),
+    BEARER,
     re.compile(r"[A-Za-z][A-Za-z0-9+.-]*://[^\s:/@]+:([^\s/@]+)@"),
 )
 #: a text without any of these (lower case) has no context and no assignment
@@ -50,8 +56,20 @@ DATE = re.compile(r"(?:\d{4}([-/._]?)\d{1,2}\1\d{1,2}|\d{1,2}([-/._]?)\d{1,2}\2(
 
 #: log10 of the guesses from which a value is a secret, and its shortest length
 THRESHOLD, SHORTEST = 8.0, 6
-#: characters of one date, and of the unit of a repeat
-DATE_CHARS, UNIT = 10, 8
+#: characters of one date, and of a unit of a repeat that is looked for at every place;
+#: longer units are looked for where their last TAIL characters stood before
+DATE_CHARS, UNIT, TAIL = 10, 8, 9
+#: a word of the corpus: 3 to 40 letters, in at least two documents; the most frequent are
+#: kept, fewer than WORDS (at most 40 letters each, so about 30 MB in a Python worker)
+LETTERS = re.compile(r"[^\W\d_]{3,}")
+WORD_CHARS, WORD_DOCUMENTS, WORDS = 40, 2, 100_000
+#: words that one task counts before it hands them on
+COUNTED = 200_000
+#: what may just be the next word of a sentence after "bearer", and log10 of the guesses that
+#: such a value needs beyond the threshold where no header stands before it
+NEXT_WORD = re.compile(r"[^\W\d_]?[a-z]+(?:-[^\W\d_]?[a-z]+)*[.-]*")
+HEADER = re.compile(r"""(?ai:authorization)["']?[\x20\t]*[:=][\x20\t]*["']?$""")
+NEXT_WORD_GUESSES, HEADER_CHARS = 6.0, 40
 
 
 def _neighbours() -> dict[str, frozenset[str]]:
@@ -64,16 +82,16 @@ def _neighbours() -> dict[str, frozenset[str]]:
 NEAR = _neighbours()
 
 
-def _word(s: str) -> float | None:
+def _word(s: str, ranks: dict[str, int] = RANK) -> float | None:
     """log10 guesses of a dictionary word in any case and with look-alike signs."""
     low = s.lower()
     plain = low.translate(LEET)
-    rank = RANK.get(low) or RANK.get(plain)
+    rank = ranks.get(low) or ranks.get(plain)
     if rank is None:
         return None
     upper = sum(c.isupper() for c in s)
     case = 1 if not upper else 2 if upper == len(s) or s[0].isupper() and upper == 1 else 2 ** min(upper, len(s) - upper + 1)
-    return math.log10(rank * case * (1 if low in RANK else 2))
+    return math.log10(rank * case * (1 if low in ranks else 2))
 
 
 def _date(s: str, today: int) -> float | None:
@@ -85,14 +103,18 @@ def _date(s: str, today: int) -> float | None:
     return math.log10(days * span * (4 if not s.isdigit() else 1))
 
 
-def guesses(value: str, today: int | None = None) -> float:
+def guesses(value: str, today: int | None = None, ranks: dict[str, int] = RANK, longest: int = LONGEST) -> float:
     """log10 of the guesses for ``value``: the cheapest segmentation, where each segment
     multiplies its guesses and a new segment costs a factor of two (the order of kinds).
 
-    Linear in the length: words, dates and repeat units have bounded lengths; repeats and
-    keyboard walks are extended from the segment that ends just before."""
+    Words (at most ``longest`` characters) and dates have bounded lengths; repeats and
+    keyboard walks are extended from the segment that ends just before. Units of a repeat
+    have any length; one over ``UNIT`` is found by its last characters."""
     today = today or date.today().year
     n, low = len(value), value.lower().translate(SHIFTED)
+    lower = "".join(x if len(x := c.lower()) == 1 else c for c in value)
+    plain = lower.translate(LEET)
+    ends: dict[str, list[int]] = {}
     step = math.log10(2)
     best = [0.0] + [math.inf] * n
     brute = math.inf  # cheapest way that ends in a brute-force span
@@ -101,8 +123,10 @@ def guesses(value: str, today: int | None = None) -> float:
         new = math.log10(10) if value[j - 1].isdigit() else math.log10(26 if value[j - 1].isalpha() else 33)
         brute = min(brute, best[j - 1] + step) + min(new, 1.0)
         cost = brute
-        for i in range(max(0, j - LONGEST), j - 2):
-            got = _word(value[i:j])
+        for i in range(max(0, j - longest), j - 2):
+            if lower[i:j] not in ranks and plain[i:j] not in ranks:
+                continue
+            got = _word(value[i:j], ranks)
             if got is not None:
                 cost = min(cost, best[i] + step + got)
         for i in range(max(0, j - DATE_CHARS), j - 3):
@@ -113,6 +137,14 @@ def guesses(value: str, today: int | None = None) -> float:
         for unit in range(1, min(UNIT, j // 2) + 1):  # one more copy of a unit: its count grows
             if value[j - unit:j] == value[j - 2 * unit:j - unit] and (unit > 1 or j > 2):
                 cost = min(cost, best[j - unit] + step)
+        tail = value[max(0, j - TAIL):j]
+        if len(tail) == TAIL and all(tail[p:] != tail[:-p] for p in range(1, 5)):
+            before = ends.setdefault(tail, [])
+            for k in before[bisect_left(before, (j + 1) // 2):]:
+                unit = j - k
+                if unit > UNIT and best[k] + step < cost and value[k:j] == value[k - unit:k]:
+                    cost = best[k] + step
+            before.append(j)
         if j > 1 and low[j - 1] in NEAR.get(low[j - 2], ()):
             if walk is None:
                 walk, walk_from = best[j - 2], j - 2
@@ -134,22 +166,87 @@ def _turn(low: str, k: int) -> bool:
     return step(low[k - 2], low[k - 1]) != step(low[k - 1], low[k])
 
 
-def scan(text: str, threshold: float = THRESHOLD, today: int | None = None) -> list[tuple[str, int, int]]:
-    """``(kind, start, end)`` in code points, end exclusive, by start, then kind."""
+def base_spans(text: str) -> list[tuple[str, int, int]]:
+    """The spans of the base patterns."""
     found = [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
     if "AKIA" in text:
         found += [("access", m.start(), m.end()) for m in ACCESS.finditer(text)
                   if m.end() - m.start() >= ACCESS_CHARS]
-    low = text.lower()
-    if any(t in low for t in TRIGGERS):
+    if _may_hold(text):
         found += [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text)
                   if len(m[1]) >= ASSIGN_VALUE]
-        values = {m.span(1) for c in CONTEXTS for m in c.finditer(text)}
-        found += [("guess", a, b) for a, b in values
-                  if b - a >= SHORTEST and guesses(text[a:b], today) >= threshold]
+    return found
+
+
+def _may_hold(text: str) -> bool:
+    low = text.lower()
+    return any(t in low for t in TRIGGERS)
+
+
+def values(text: str) -> dict[tuple[int, int], float]:
+    """The spans of the values in a credential context, and the log10 guesses that each
+    needs beyond the threshold: none, but after a bare "bearer" a value that looks like the
+    next word of a sentence needs ``NEXT_WORD_GUESSES``."""
+    found: dict[tuple[int, int], float] = {}
+    if not _may_hold(text):
+        return found
+    for c in CONTEXTS:
+        for m in c.finditer(text):
+            bare = c is BEARER and NEXT_WORD.fullmatch(m[1]) \
+                and not HEADER.search(text[max(0, m.start() - HEADER_CHARS):m.start()])
+            more = NEXT_WORD_GUESSES if bare else 0.0
+            found[m.span(1)] = min(more, found.get(m.span(1), more))
+    return found
+
+
+def scan(text: str, threshold: float = THRESHOLD, today: int | None = None,
+         ranks: dict[str, int] = RANK, longest: int = LONGEST) -> list[tuple[str, int, int]]:
+    """``(kind, start, end)`` in code points, end exclusive, by start, then kind."""
+    found = base_spans(text)
+    found += [("guess", a, b) for (a, b), more in values(text).items()
+              if b - a >= SHORTEST and guesses(text[a:b], today, ranks, longest) >= threshold + more]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
+def prose_words(text: str) -> set[str]:
+    """The distinct words of a text in lower case, without those of base spans and of values
+    in a credential context: a secret does not make itself a word."""
+    out = [" "]
+    at = 0
+    for a, b in sorted([*values(text), *((a, b) for _, a, b in base_spans(text))]):
+        out += [text[at:a], " "]
+        at = max(at, b)
+    return {w for w in LETTERS.findall("".join([*out, text[at:]]).lower()) if len(w) <= WORD_CHARS}
+
+
+def word_ranks(docs: DataFrame, text: str = "text", most: int = WORDS) -> dict[str, int]:
+    """Fewer than ``most`` words with their ranks by the documents of ``docs`` that hold them
+    (ties by the word), and the password words, which keep their own rank if it is less.
+
+    Counted per task first, then by word, into a table of the checkpoint folder. Words as
+    frequent as the ``most``-th are left out together, so the driver's share is bounded."""
+    small_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count: Counter[str] = Counter()
+        for batch in batches:
+            for part in pieces(batch, 0):
+                for t in part.column(0).to_pylist():
+                    count.update(prose_words(t or ""))
+                    if len(count) >= COUNTED:
+                        yield pa.RecordBatch.from_arrays([pa.array(count.keys(), pa.string()), pa.array(count.values(), pa.int64())], ["word", "n"])
+                        count = Counter()
+        yield pa.RecordBatch.from_arrays([pa.array(count.keys(), pa.string()), pa.array(count.values(), pa.int64())], ["word", "n"])
+
+    counts = docs.select(col(text).cast("string").alias("text")).mapInArrow(run, "word string, n long") \
+        .groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= WORD_DOCUMENTS)
+    counts = staged(counts, "words")
+    cut = kth_largest(counts, "n", most)
+    kept = counts if cut is None else counts.filter(F.col("n") > cut)
+    ranks = {r["word"]: i + 1 for i, r in enumerate(sorted(kept.collect(), key=lambda r: (-r["n"], r["word"])))}
+    return ranks | {w: min(k, ranks.get(w, k)) for w, k in RANK.items()}
+
+
 _SPAN = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()),
                       T.StructField("end", T.IntegerType())])
 FOUND = T.StructType([T.StructField("spans", T.ArrayType(_SPAN)), T.StructField("masked", T.StringType())])
@@ -167,18 +264,22 @@ def mask(text: str, spans: list[tuple[str, int, int]]) -> str:
 
 
 def find_secrets(docs: DataFrame, text: str = "text", keep=None, masked: bool = False,
-                 threshold: float = THRESHOLD, today: int | None = None) -> DataFrame:
+                 threshold: float = THRESHOLD, today: int | None = None,
+                 ranks: dict[str, int] | None = None) -> DataFrame:
     """``(row, out)`` with ``out.spans`` (kind, start, end in code points) by start, then
     kind, and with ``masked`` the text in which they are replaced (null if there are none).
 
     An ``assign`` span is its whole match, a ``guess`` span the scored value. A null text
     counts as empty. Whole texts are scanned; repeated rows each; ``today`` is the year from
-    which years in dates are counted (default: the current one).
+    which years in dates are counted (default: the current one). ``ranks`` are the ranks
+    of words (default: ``word_ranks`` of all ``docs``, which are read once more for that).
     """
     today = today or date.today().year
+    ranks = word_ranks(docs, text) if ranks is None else ranks
+    longest = max(map(len, ranks), default=0)
 
     def fn(texts: list[str]) -> pa.Array:
-        found = [scan(t, threshold, today) for t in texts]
+        found = [scan(t, threshold, today, ranks, longest) for t in texts]
         spans = pa.array([[dict(zip(("kind", "start", "end"), s)) for s in f] for f in found], _ARROW)
         clean = [mask(t, f) if masked and f else None for t, f in zip(texts, found)]
         return pa.StructArray.from_arrays([spans, pa.array(clean, pa.string())], ["spans", "masked"])
