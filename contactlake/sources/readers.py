@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,10 @@ from ..schema import API_PROPERTIES_SCHEMA, CSV_SCHEMA
 from ..session import ensure_utc
 
 
+#: a file that is read as one document in one task, at most
+WHOLE_BYTES = 512 << 20
+
+
 def _with_seq(df: DataFrame) -> DataFrame:
     """Position of a record in its batch: file name + a per-file increasing id read at
     scan time. Used only as the last tie-breaker of "latest" (the last record wins)."""
@@ -23,14 +29,16 @@ def api_records_from_docs(docs: DataFrame) -> DataFrame:
     Each document is parsed once into VARIANT. The record keeps that value in ``raw``
     (V3 checks JSON types on it, the quarantine keeps its text); ``id`` and
     ``properties`` are read from it with the typed API schema, which, like a JSON read,
-    turns a number into its text."""
+    turns a number into its text. A document that is not JSON, or neither object nor
+    array, is one record whose ``raw`` is its text as a string."""
     v = F.try_parse_json("doc")
     kind = F.schema_of_variant(v)
     results = F.try_variant_get(v, "$.results", "variant")
     arr = F.when(kind.startswith("OBJECT") & results.isNotNull(),
                  F.try_variant_get(v, "$.results", "array<variant>")) \
         .when(kind.startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>")) \
-        .otherwise(F.array(v))
+        .when(kind.startswith("OBJECT"), F.array(v)) \
+        .otherwise(F.array(F.col("doc").cast("variant")))
     keep = [c for c in docs.columns if c != "doc"]
     recs = docs.select(*keep, F.posexplode(arr).alias("_pos", "raw"))
     return recs.select(*keep, "_pos", "raw",
@@ -40,19 +48,55 @@ def api_records_from_docs(docs: DataFrame) -> DataFrame:
         .withColumn("ingest_seq", F.monotonically_increasing_id())
 
 
+def line_columns() -> list:
+    """The columns ``whole_documents`` needs of a text read by lines."""
+    return [F.col("value").alias("doc"), F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_start"), F.col("_metadata.file_size").alias("_size")]
+
+
+def whole_documents(docs: DataFrame, whole: Callable[[], DataFrame]) -> DataFrame:
+    """``(doc, _file)`` of files read by lines, where an indented file is one document.
+
+    A file whose first line with text is not JSON is read again by ``whole`` (a text read of
+    whole files). If it then is JSON, it is one document, else each of its lines is one, as
+    in any other file. Such a file over ``WHOLE_BYTES`` is an error. The driver holds the
+    names of these files only."""
+    lines = docs.where(F.trim("doc") != "")
+    first = lines.withColumn("_at", F.monotonically_increasing_id()) \
+        .groupBy("_file").agg(F.min_by("doc", F.struct("_start", "_at")).alias("doc"), F.max("_size").alias("_size"))
+    torn = first.where(F.try_parse_json("doc").isNull()).select("_file", "_size").collect()
+    lines = lines.select("doc", "_file")
+    if not torn:
+        return lines
+    large = sorted(r["_file"] for r in torn if r["_size"] > WHOLE_BYTES)
+    if large:
+        raise ValueError(f"neither JSON Lines nor small enough to be one document: {large[:5]}")
+    names = [r["_file"] for r in torn]
+    again = whole().select(F.col("value").alias("doc"), F.col("_metadata.file_path").alias("_file")) \
+        .where(F.col("_file").isin(names))
+    # the parser stops after one value: within brackets of either kind nothing may follow it
+    one = F.try_parse_json(F.concat(F.lit("["), "doc", F.lit("]"))).isNotNull() \
+        & F.try_parse_json(F.concat(F.lit('{"d":'), "doc", F.lit("}"))).isNotNull()
+    parts = F.when(one, F.array("doc")).otherwise(F.split("doc", "\r\n|\r|\n"))
+    again = again.select(F.explode(parts).alias("doc"), "_file").where(F.trim("doc") != "")
+    return lines.where(~F.col("_file").isin(names)).unionByName(again)
+
+
 def read_api_contacts(spark: SparkSession, path: str, lines: bool = True) -> DataFrame:
     """Landed API page files (or arrays / single objects) → one record per contact.
 
     Every line is a document (JSON Lines, one page per line), so a large landed file is
-    split inside and read by many tasks. With ``lines=False`` each file is one document:
-    one string in one task, for files of bounded size."""
+    split inside and read by many tasks; an indented document is seen by its first line
+    and its file read whole (``whole_documents``). With ``lines=False`` each file is one
+    document: one string in one task, for files of bounded size."""
     ensure_utc(spark)
-    reader = spark.read if lines else spark.read.option("wholetext", "true")
-    docs = reader.text(path) \
-        .select(F.col("value").alias("doc"), F.col("_metadata.file_path").alias("_file"))
+
+    def whole() -> DataFrame:
+        return spark.read.text(path, wholetext=True)
+
     if lines:
-        docs = docs.where(F.trim("doc") != "")
-    return api_records_from_docs(docs)
+        return api_records_from_docs(whole_documents(spark.read.text(path).select(*line_columns()), whole))
+    return api_records_from_docs(whole().select(F.col("value").alias("doc"), F.col("_metadata.file_path").alias("_file")))
 
 
 def read_csv_contacts(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:

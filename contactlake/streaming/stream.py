@@ -15,14 +15,15 @@ from pyspark.sql import functions as F
 from ..operators.validate import validate
 from ..plans.pipeline import Warehouse, process_validated
 from ..schema import CSV_SCHEMA
-from ..sources.readers import api_records_from_docs
+from ..sources.readers import api_records_from_docs, line_columns, whole_documents
 from ..session import ensure_utc
 
 
 def stream_source(spark: SparkSession, landing: str, fmt: str, lines: bool = True,
                   max_files_per_trigger: int | None = None) -> DataFrame:
     """Landed batch files as a stream. JSON files hold one document per line (JSON Lines:
-    large files are split across tasks), or with ``lines=False`` one document each."""
+    large files are split across tasks; an indented file is put together again in its
+    micro-batch), or with ``lines=False`` one document each."""
     if fmt == "csv":
         reader = (spark.readStream.schema(CSV_SCHEMA).option("header", "true")
                   .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
@@ -35,8 +36,8 @@ def stream_source(spark: SparkSession, landing: str, fmt: str, lines: bool = Tru
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if fmt == "csv":
         return reader.csv(landing).withColumn("ingest_seq", F.monotonically_increasing_id())
-    docs = reader.load(landing).select(F.col("value").alias("doc"))
-    return docs.where(F.trim("doc") != "") if lines else docs
+    docs = reader.load(landing)
+    return docs.select(*line_columns()) if lines else docs.select(F.col("value").alias("doc"))
 
 
 def stream_contacts(spark: SparkSession, landing: str, warehouse_root: str, checkpoint: str,
@@ -51,7 +52,11 @@ def stream_contacts(spark: SparkSession, landing: str, warehouse_root: str, chec
         # a file-stream micro-batch exists only when new files arrived; an empty file
         # flows through as a run of zero records (recorded in the audit), so no extra job
         # is spent testing for emptiness first
-        records = batch if fmt == "csv" else api_records_from_docs(batch)
+        if fmt == "csv":
+            records = batch
+        else:
+            read = batch.sparkSession.read
+            records = api_records_from_docs(whole_documents(batch, lambda: read.text(landing, wholetext=True)) if lines else batch)
         process_validated(batch.sparkSession, validate(records), wh,
                           f"{run_prefix}_{epoch_id:08d}", mode, now)
 

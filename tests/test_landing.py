@@ -1,5 +1,6 @@
 """JSON Lines pages with JSON type faults (S1, V3), CSV landing with short and long rows
 (S2, V2), observed write counts, the top-k report against brute force, spread."""
+import json
 import os
 
 from pyspark.sql import functions as F
@@ -36,6 +37,48 @@ def test_jsonl_pages_type_faults(spark, tmpdir_path):
     assert '"id":2' in bad
 
 
+def _indented(folder):
+    """An indented array, an indented page, lines of which one is torn, a file that is torn in its first line."""
+    texts = {"a b.json": json.dumps([{"id": str(i), "properties": {"email": f"a{i}@b.com"}} for i in range(3)], indent=2),
+             "p.json": json.dumps({"results": [{"id": "10", "properties": {"email": "p@b.com"}}], "paging": None}, indent=2),
+             "l.json": '{"id":"20",' + GOOD + '}\n{"id":"21", torn\n{"id":"22",' + GOOD + '}\n',
+             "t.json": '\n{"id":"30", "torn\n{"id":"31",' + GOOD + '}\n'}
+    os.makedirs(folder)
+    for name, text in texts.items():
+        with open(os.path.join(folder, name), "w") as fh:
+            fh.write(text)
+    return {"0", "1", "2", "10", "20", "22", "31"}, {'{"id":"21", torn', '{"id":"30", "torn'}
+
+
+def test_indented_documents_and_torn_lines(spark, tmpdir_path):
+    folder = os.path.join(tmpdir_path, "in")
+    good, torn = _indented(folder)
+    out = validate_api(readers.read_api_contacts(spark, folder)).collect()
+    assert sorted(r["contact_id"] for r in out if r["error_type"] is None) == sorted(good)
+    page = readers.read_api_contacts(spark, os.path.join(folder, "p.json"), lines=False).collect()
+    assert [r["id"] for r in page] == ["10"]
+    bad = [r for r in out if r["error_type"] is not None]
+    assert len(bad) == 2 and {json.loads(r["original_data"]) for r in bad} == torn
+
+
+def test_every_line_of_two_indented_documents_is_kept(spark, tmpdir_path):
+    text = json.dumps({"id": "1", "properties": {"email": "a@b.com"}}, indent=2) + "\n"
+    with open(os.path.join(tmpdir_path, "two.json"), "w") as fh:
+        fh.write(text * 2)
+    out = validate_api(readers.read_api_contacts(spark, tmpdir_path)).collect()
+    assert sorted(json.loads(r["original_data"]) for r in out) == sorted((text * 2).splitlines())
+
+
+def test_stream_of_indented_documents(spark, tmpdir_path):
+    from contactlake.streaming.stream import stream_contacts
+    folder, root = os.path.join(tmpdir_path, "in"), os.path.join(tmpdir_path, "wh")
+    good, torn = _indented(folder)
+    stream_contacts(spark, folder, root, os.path.join(tmpdir_path, "ckpt")).awaitTermination()
+    assert sorted(r["contact_id"] for r in spark.read.parquet(root + "/contacts_raw").collect()) == sorted(good)
+    kept = spark.read.parquet(root + "/contacts_quarantine").collect()
+    assert len(kept) == 2 and {json.loads(r["original_data"]) for r in kept} == torn
+
+
 def test_csv_landing_short_and_long_rows(spark, tmpdir_path):
     lines = spark.createDataFrame(
         [("1,a@b.com,A,B,Co,T,5,2024-01-15T10:30:00Z",),
