@@ -79,6 +79,17 @@ def test_stream_of_indented_documents(spark, tmpdir_path):
     assert len(kept) == 2 and {json.loads(r["original_data"]) for r in kept} == torn
 
 
+def test_csv_stream_of_cells_with_line_breaks(spark, tmpdir_path):
+    from contactlake.streaming.stream import stream_contacts
+    folder, root = os.path.join(tmpdir_path, "in"), os.path.join(tmpdir_path, "wh")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "c.csv"), "w") as fh:
+        fh.write(",".join(CSV_COLUMNS) + '\n1,a@b.com,A,B,"Co\nLtd",T,5,2024-01-15T10:30:00Z\n')
+    stream_contacts(spark, folder, root, os.path.join(tmpdir_path, "ckpt"), fmt="csv", multi_line=True).awaitTermination()
+    rows = spark.read.parquet(root + "/contacts_raw").collect()
+    assert [(r["contact_id"], r["company_name"]) for r in rows] == [("1", "Co\nLtd")]
+
+
 def test_csv_landing_short_and_long_rows(spark, tmpdir_path):
     lines = spark.createDataFrame(
         [("1,a@b.com,A,B,Co,T,5,2024-01-15T10:30:00Z",),
