@@ -154,7 +154,7 @@ def _s1(spark, sf_dir):
     from ..sources.sinks import write_lines
     path = write_lines(fx.api_pages(spark, sf_dir).select(F.col("doc").alias("line")),
                        _landing(spark, "api"), files=fx.landing_files(spark))
-    r = read_api_contacts(spark, path, lines=True)
+    r = read_api_contacts(spark, path)
     return r.select(F.col("id").alias("contact_id"),
                     *[F.col(f"properties.{c}").alias(c) for c in S1_PROPERTIES])
 
@@ -189,7 +189,7 @@ def _w1(spark, sf_dir):
     landing = write_lines(fx.api_pages(spark, sf_dir).select(F.col("doc").alias("line")),
                           f"{root}/landing", files=fx.landing_files(spark))
     q = stream_contacts(spark, landing, f"{root}/warehouse", f"{root}/checkpoint",
-                        fmt="json", lines=True,
+                        fmt="json",
                         max_files_per_trigger=max(1, fx.landing_files(spark) // STREAM_BATCHES),
                         now=AS_OF)
     q.awaitTermination()          # availableNow ends by itself

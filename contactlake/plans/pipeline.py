@@ -71,12 +71,9 @@ class Warehouse:
         return os.path.join(self.root, "batches")
 
 
-def extract(spark: SparkSession, path: str, fmt: str, since=None,
-            lines: bool = True, multi_line: bool = False) -> DataFrame:
-    """Stage 1 (S1 / S2 / S4). ``lines``: JSON files hold one document per line, else one
-    document each. ``multi_line``: CSV cells may hold line breaks (one task per file)."""
-    df = readers.read_csv_contacts(spark, path, multi_line) if fmt == "csv" else \
-        readers.read_api_contacts(spark, path, lines=lines)
+def extract(spark: SparkSession, path: str, fmt: str, since=None) -> DataFrame:
+    """Stage 1 (S1 / S2 / S4)."""
+    df = readers.read_csv_contacts(spark, path) if fmt == "csv" else readers.read_api_contacts(spark, path)
     if since is not None and fmt != "csv":
         created = F.col("properties.createdate")
         from ..functions.expr import parse_ts
@@ -189,12 +186,12 @@ def process_validated(spark: SparkSession, annotated: DataFrame, wh: Warehouse,
 def run_batch(spark: SparkSession, source_path: str, fmt: str, warehouse_root: str,
               run_id: str | None = None, mode: str = "run", now=None, since=None,
               literal: bool = False, archive_processed: bool = False, log=print,
-              publish: str = "partitions", lines: bool = True, multi_line: bool = False) -> RunStats:
-    """Full run over one landed batch (JSON pages, JSON Lines pages or CSV)."""
+              publish: str = "partitions") -> RunStats:
+    """Full run over one landed batch (JSON documents of any layout, or CSV)."""
     ensure_utc(spark)
     wh = Warehouse(warehouse_root)
     run_id = run_id or new_run_id()
-    records = extract(spark, source_path, fmt, since, lines, multi_line)
+    records = extract(spark, source_path, fmt, since)
     # Backup of the extracted batch (Parquet, ZSTD); the text of a malformed CSV row
     # is kept, so every landed byte is found again
     keep = [c for c in records.columns if not c.startswith("_") or c == "_corrupt_record"]

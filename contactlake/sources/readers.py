@@ -2,24 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import API_PROPERTIES_SCHEMA, CSV_SCHEMA
 from ..session import ensure_utc
+from .framing import framed, ingest_seq, line_columns
 
-
-#: a file that is read as one document in one task, at most
-WHOLE_BYTES = 512 << 20
-
-
-def _with_seq(df: DataFrame) -> DataFrame:
-    """Position of a record in its batch: file name + a per-file increasing id read at
-    scan time. Used only as the last tie-breaker of "latest" (the last record wins)."""
-    return (df.withColumn("_file", F.col("_metadata.file_path"))
-              .withColumn("ingest_seq", F.monotonically_increasing_id()))
+CSV_DDL = ", ".join(f"{f.name} string" for f in CSV_SCHEMA.fields)
 
 
 def api_records_from_docs(docs: DataFrame) -> DataFrame:
@@ -29,89 +19,77 @@ def api_records_from_docs(docs: DataFrame) -> DataFrame:
     Each document is parsed once into VARIANT. The record keeps that value in ``raw``
     (V3 checks JSON types on it, the quarantine keeps its text); ``id`` and
     ``properties`` are read from it with the typed API schema, which, like a JSON read,
-    turns a number into its text. A document that is not JSON, or neither object nor
-    array, is one record whose ``raw`` is its text as a string."""
-    v = F.try_parse_json("doc")
+    turns a number into its text. Of a document that is not JSON every line is one of its
+    own; one that is not JSON either, or neither object nor array, is one record whose
+    ``raw`` is its text as a string.
+
+    With the columns ``line`` and ``at`` (``framing.framed``) ``ingest_seq`` is the record's
+    position in the batch, the same for every split size and number of cores."""
+    placed = "line" in docs.columns
+    keep = [c for c in docs.columns if c not in ("doc", "line", "at")]
+    doc = F.col("doc")
+    parsed = docs.withColumn("_v", F.try_parse_json("doc"))
+
+    def line_value(x):
+        # the parser stops after one value: within brackets of either kind nothing may follow
+        one = F.try_parse_json(F.concat(F.lit("["), x, F.lit("]"))).isNotNull() \
+            & F.try_parse_json(F.concat(F.lit('{"d":'), x, F.lit("}"))).isNotNull()
+        return F.when(one, F.try_parse_json(x))
+
+    whole = F.array(F.struct(F.lit(0).alias("k"), doc.alias("text"), F.col("_v").alias("v")))
+    torn = F.filter(F.transform(F.split("doc", "\n"), lambda x, k: F.struct(
+        k.alias("k"), x.alias("text"), line_value(x).alias("v"))), lambda x: F.trim(x["text"]) != "")
+    parts = parsed.select(*keep, *(["line", "at"] if placed else []),
+                          F.explode(F.when(F.col("_v").isNotNull(), whole).otherwise(torn)).alias("_part"))
+    v = F.col("_part.v")
     kind = F.schema_of_variant(v)
     results = F.try_variant_get(v, "$.results", "variant")
     arr = F.when(kind.startswith("OBJECT") & results.isNotNull(),
                  F.try_variant_get(v, "$.results", "array<variant>")) \
         .when(kind.startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>")) \
         .when(kind.startswith("OBJECT"), F.array(v)) \
-        .otherwise(F.array(F.col("doc").cast("variant")))
-    keep = [c for c in docs.columns if c != "doc"]
-    recs = docs.select(*keep, F.posexplode(arr).alias("_pos", "raw"))
+        .otherwise(F.array(F.col("_part.text").cast("variant")))
+    place = [(F.col("line") + F.col("_part.k")).alias("_line"),
+             F.when(F.col("_part.k") == 0, F.col("at")).otherwise(0).alias("_at")] if placed else []
+    recs = parts.select(*keep, *place, F.posexplode(arr).alias("_pos", "raw"))
+    seq = ingest_seq(F.col("_line"), F.col("_at") + F.col("_pos")) if placed else F.monotonically_increasing_id()
     return recs.select(*keep, "_pos", "raw",
                        F.try_variant_get("raw", "$.id", "string").alias("id"),
                        F.try_variant_get("raw", "$.properties",
-                                         API_PROPERTIES_SCHEMA.simpleString()).alias("properties")) \
-        .withColumn("ingest_seq", F.monotonically_increasing_id())
-
-
-def line_columns() -> list:
-    """The columns ``whole_documents`` needs of a text read by lines."""
-    return [F.col("value").alias("doc"), F.col("_metadata.file_path").alias("_file"),
-            F.col("_metadata.file_block_start").alias("_start"), F.col("_metadata.file_size").alias("_size")]
-
-
-def whole_documents(docs: DataFrame, whole: Callable[[], DataFrame]) -> DataFrame:
-    """``(doc, _file)`` of files read by lines, where an indented file is one document.
-
-    A file whose first line with text is not JSON is read again by ``whole`` (a text read of
-    whole files). If it then is JSON, it is one document, else each of its lines is one, as
-    in any other file. Such a file over ``WHOLE_BYTES`` is an error. The driver holds the
-    names of these files only."""
-    lines = docs.where(F.trim("doc") != "")
-    first = lines.withColumn("_at", F.monotonically_increasing_id()) \
-        .groupBy("_file").agg(F.min_by("doc", F.struct("_start", "_at")).alias("doc"), F.max("_size").alias("_size"))
-    torn = first.where(F.try_parse_json("doc").isNull()).select("_file", "_size").collect()
-    lines = lines.select("doc", "_file")
-    if not torn:
-        return lines
-    large = sorted(r["_file"] for r in torn if r["_size"] > WHOLE_BYTES)
-    if large:
-        raise ValueError(f"neither JSON Lines nor small enough to be one document: {large[:5]}")
-    names = [r["_file"] for r in torn]
-    again = whole().select(F.col("value").alias("doc"), F.col("_metadata.file_path").alias("_file")) \
-        .where(F.col("_file").isin(names))
-    # the parser stops after one value: within brackets of either kind nothing may follow it
-    one = F.try_parse_json(F.concat(F.lit("["), "doc", F.lit("]"))).isNotNull() \
-        & F.try_parse_json(F.concat(F.lit('{"d":'), "doc", F.lit("}"))).isNotNull()
-    parts = F.when(one, F.array("doc")).otherwise(F.split("doc", "\r\n|\r|\n"))
-    again = again.select(F.explode(parts).alias("doc"), "_file").where(F.trim("doc") != "")
-    return lines.where(~F.col("_file").isin(names)).unionByName(again)
-
-
-def read_api_contacts(spark: SparkSession, path: str, lines: bool = True) -> DataFrame:
-    """Landed API page files (or arrays / single objects) → one record per contact.
+                                         API_PROPERTIES_SCHEMA.simpleString()).alias("properties"),
+                       seq.alias("ingest_seq"))
 
-    Every line is a document (JSON Lines, one page per line), so a large landed file is
-    split inside and read by many tasks; an indented document is seen by its first line
-    and its file read whole (``whole_documents``). With ``lines=False`` each file is one
-    document: one string in one task, for files of bounded size."""
-    ensure_utc(spark)
 
-    def whole() -> DataFrame:
-        return spark.read.text(path, wholetext=True)
+def api_records_from_lines(lines: DataFrame) -> DataFrame:
+    """Records of JSON text lines (``framing.line_columns``)."""
+    return api_records_from_docs(framed(lines, "json").withColumnRenamed("file", "_file"))
 
-    if lines:
-        return api_records_from_docs(whole_documents(spark.read.text(path).select(*line_columns()), whole))
-    return api_records_from_docs(whole().select(F.col("value").alias("doc"), F.col("_metadata.file_path").alias("_file")))
+
+def csv_records_from_lines(lines: DataFrame) -> DataFrame:
+    """Records of CSV text lines (``framing.line_columns``), each parsed on its own."""
+    cells = F.from_csv("doc", CSV_DDL, {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record", "escape": '"', "multiLine": "true"})
+    return framed(lines, "csv").select(cells.alias("_row"), F.col("file").alias("_file"), "line") \
+        .select("_row.*", "_file", ingest_seq(F.col("line"), F.lit(0).cast("long")).alias("ingest_seq"))
+
+
+def read_api_contacts(spark: SparkSession, path: str) -> DataFrame:
+    """Landed API page files (or arrays / single objects) → one record per contact.
+
+    Documents may stand one on a line (JSON Lines), several on a line, or over many lines of
+    any number; files are split inside either way, and a document that spans splits is put
+    together. Text that is no document is a record of its own (see
+    ``api_records_from_docs``), so every landed text is found again."""
+    ensure_utc(spark)
+    return api_records_from_lines(spark.read.text(path).select(*line_columns()))
 
 
-def read_csv_contacts(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_csv_contacts(spark: SparkSession, path: str) -> DataFrame:
     """Header CSV, UTF-8, every cell a string; malformed rows are kept with their
-    text in ``_corrupt_record`` (the validator tells short rows from long ones). Files are
-    split inside; ``multi_line`` reads cells with line breaks, one task per file."""
+    text in ``_corrupt_record`` (the validator tells short rows from long ones). Quoted cells
+    may hold line breaks; files are split inside."""
     ensure_utc(spark)
-    df = (spark.read.schema(CSV_SCHEMA)
-          .option("header", "true").option("encoding", "UTF-8")
-          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-          # every cell is parsed, whatever columns a query takes: else a short row passes
-          .option("multiLine", str(multi_line).lower()).option("columnPruning", "false")
-          .option("escape", '"')
-          .csv(path))
-    return _with_seq(df)
+    return csv_records_from_lines(spark.read.text(path).select(*line_columns()))
 
 
 def latest_batch(df: DataFrame, run_col: str = "run_id") -> DataFrame:

@@ -10,42 +10,27 @@ output. ``trigger(availableNow=True)`` processes what is there and stops."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.validate import validate
 from ..plans.pipeline import Warehouse, process_validated
-from ..schema import CSV_SCHEMA
-from ..sources.readers import api_records_from_docs, line_columns, whole_documents
+from ..sources.framing import line_columns
+from ..sources.readers import api_records_from_lines, csv_records_from_lines
 from ..session import ensure_utc
 
 
-def stream_source(spark: SparkSession, landing: str, fmt: str, lines: bool = True,
-                  max_files_per_trigger: int | None = None, multi_line: bool = False) -> DataFrame:
-    """Landed batch files as a stream. JSON files hold one document per line (JSON Lines:
-    large files are split across tasks; an indented file is put together again in its
-    micro-batch), or with ``lines=False`` one document each. ``multi_line``
-    reads CSV cells with line breaks, one task per file."""
-    if fmt == "csv":
-        reader = (spark.readStream.schema(CSV_SCHEMA).option("header", "true")
-                  .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-                  .option("multiLine", str(multi_line).lower())
-                  .option("columnPruning", "false").option("escape", '"'))
-    else:
-        reader = spark.readStream.format("text")
-        if not lines:
-            reader = reader.option("wholetext", "true")
+def stream_source(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Landed batch files as a stream of text lines; a micro-batch holds whole files, which are
+    split across tasks and framed like those of a batch run."""
+    reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    if fmt == "csv":
-        return reader.csv(landing)
-    docs = reader.load(landing)
-    return docs.select(*line_columns()) if lines else docs.select(F.col("value").alias("doc"))
+    return reader.load(landing).select(*line_columns())
 
 
 def stream_contacts(spark: SparkSession, landing: str, warehouse_root: str, checkpoint: str,
                     fmt: str = "json", mode: str = "run", available_now: bool = True,
-                    run_prefix: str = "stream", lines: bool = True,
-                    max_files_per_trigger: int | None = None, now=None, multi_line: bool = False):
+                    run_prefix: str = "stream",
+                    max_files_per_trigger: int | None = None, now=None):
     """Start the stream; returns the StreamingQuery (``awaitTermination()`` to wait)."""
     ensure_utc(spark)
     wh = Warehouse(warehouse_root)
@@ -54,15 +39,11 @@ def stream_contacts(spark: SparkSession, landing: str, warehouse_root: str, chec
         # a file-stream micro-batch exists only when new files arrived; an empty file
         # flows through as a run of zero records (recorded in the audit), so no extra job
         # is spent testing for emptiness first
-        if fmt == "csv":
-            records = batch.withColumn("ingest_seq", F.monotonically_increasing_id())
-        else:
-            read = batch.sparkSession.read
-            records = api_records_from_docs(whole_documents(batch, lambda: read.text(landing, wholetext=True)) if lines else batch)
+        records = csv_records_from_lines(batch) if fmt == "csv" else api_records_from_lines(batch)
         process_validated(batch.sparkSession, validate(records), wh,
                           f"{run_prefix}_{epoch_id:08d}", mode, now)
 
-    source = stream_source(spark, landing, fmt, lines, max_files_per_trigger, multi_line)
+    source = stream_source(spark, landing, max_files_per_trigger)
     writer = source.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime="1 hour")

@@ -50,7 +50,7 @@ def test_jsonl_stream_in_micro_batches(spark, tmpdir_path):
             fh.write('{"results":[' + ",".join(rec.format(i=i, d=f) for i in range(4)) + "]}\n")
         os.utime(name, (1_700_000_000 + 60 * f, 1_700_000_000 + 60 * f))   # file order
     wh = os.path.join(tmpdir_path, "wh")
-    q = stream_contacts(spark, landing, wh, os.path.join(tmpdir_path, "ckpt"), lines=True,
+    q = stream_contacts(spark, landing, wh, os.path.join(tmpdir_path, "ckpt"),
                         max_files_per_trigger=1, now="2024-03-01 00:00:00")
     q.awaitTermination(300)
     raw = spark.read.parquet(os.path.join(wh, "contacts_raw"))
@@ -91,7 +91,7 @@ def test_batch_run_over_json_lines(spark, tmpdir_path):
                 for i in range(5)) + ']}\n')
         fh.write('{"results":[{"id":"bad","properties":{"email":"nope"}}]}\n')
     s = run_batch(spark, path, "json", os.path.join(tmpdir_path, "wh"), run_id="r1",
-                  now="2024-03-01 00:00:00", lines=True, log=lambda m: None)
+                  now="2024-03-01 00:00:00", log=lambda m: None)
     assert (s.total, s.valid, s.invalid, s.core_merged) == (16, 15, 1, 15)
 
 
@@ -122,7 +122,7 @@ def test_stream_empty_file_is_a_zero_run(spark, tmpdir_path):
     os.makedirs(landing)
     open(os.path.join(landing, "empty.jsonl"), "w").close()
     wh = os.path.join(tmpdir_path, "wh")
-    q = stream_contacts(spark, landing, wh, os.path.join(tmpdir_path, "ckpt"), lines=True,
+    q = stream_contacts(spark, landing, wh, os.path.join(tmpdir_path, "ckpt"),
                         now="2024-03-01 00:00:00")
     q.awaitTermination(300)
     audit = spark.read.parquet(os.path.join(wh, "run_audit")).collect()
