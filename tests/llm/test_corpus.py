@@ -82,7 +82,7 @@ def test_removed_lines_leave_the_text(spark, make_docs, monkeypatch):
 
 def test_registry():
     names = __spark_entry__.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in names) == 1
     assert "pipeline" in names and set(__spark_entry__.oracle_sql()) <= set(names)
 
