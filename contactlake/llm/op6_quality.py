@@ -150,7 +150,7 @@ def without_lines(text: str, removed: set[int]) -> str:
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on every document, hosts being sources."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    got = quality_rules(docs, keep=["doc_id"])
+    got = quality_rules(docs, keep=["doc_id"], share=MOST_SHARE)
     return got.select(F.col("row.doc_id").alias("doc_id"),
                       *[F.col(f"out.{n}").alias(n) for n in
                         ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
@@ -164,13 +164,15 @@ w AS (SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
 win AS (SELECT r, i, array_to_string(w[i:i + 2], ' ') AS s FROM w, unnest(range(1, len(w) - 1)) t(i)),
 rep AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, i, count(*) OVER (PARTITION BY r, s) AS n FROM win) x,
     unnest(range(i, i + 3)) t(p) WHERE n > 1 GROUP BY r),
+hosts AS (SELECT host, count(DISTINCT md5(t)) AS n FROM d GROUP BY host),
 split AS (SELECT r, host, md5(t) AS text_key, unnest(string_split(t, chr(10))) AS l FROM d),
 lines AS (SELECT r, host, text_key, l, lw, lower(array_to_string(lw, ' ')) AS low
   FROM (SELECT *, regexp_extract_all(l, '[^\x20\x09-\x0D]+') AS lw FROM split) WHERE len(lw) > 0),
 dup AS (SELECT r, count(*) - count(DISTINCT l) AS n FROM lines GROUP BY r),
-norm AS (SELECT r, host, text_key, len(lw) AS words, regexp_replace(low, '[0-9]+', '0', 'g') AS line FROM lines),
-freq AS (SELECT host, line, min(text_key) AS keeper FROM norm GROUP BY host, line
-  HAVING count(DISTINCT text_key) > {MOST_DOCUMENTS}),
+norm AS (SELECT r, host, text_key, len(lw) AS words, regexp_replace(low, '[0-9]+', '0', 'g') AS line
+  FROM lines WHERE len(lw) >= {LEAST_LINE}),
+freq AS (SELECT host, line, min(text_key) AS keeper FROM norm JOIN hosts USING (host) GROUP BY host, line
+  HAVING count(DISTINCT text_key) > {LEAST_DOCUMENTS} AND 100 * count(DISTINCT text_key) > {MOST_SHARE} * any_value(n)),
 gone AS (SELECT r, sum(words) AS words FROM norm JOIN freq USING (host, line) WHERE text_key <> keeper GROUP BY r),
 facts AS (SELECT doc_id, len(w) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
     CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,

@@ -24,7 +24,8 @@ def test_stages_on_documents(spark):
     assert list(stages) == ["quality rules", "near-duplicates", "decontamination", "secret scan", "sentencepiece"]
 
     rows = docs.collect()
-    want = brute_quality([(r.doc_id, r.text, r.source) for r in rows], op6_quality.MOST_DOCUMENTS, op6_quality.LEAST_LEFT)
+    want = brute_quality([(r.doc_id, r.text, r.source) for r in rows], op6_quality.LEAST_DOCUMENTS, op6_quality.LEAST_LEFT,
+                         op6_quality.MOST_SHARE, op6_quality.LEAST_LINE)
     docs1 = stages["quality rules"](spark, docs, SF)
     got = docs1.collect()
     assert docs1.columns == docs.columns

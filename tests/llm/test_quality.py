@@ -13,12 +13,13 @@ def norm(line):
     return re.sub("[0-9]+", "0", " ".join(WORD.findall(line)).lower())
 
 
-def brute(docs, most, left):
-    """Facts and verdicts of (id, text, host) rows."""
-    holders = {}
+def brute(docs, most, left, share=None, least_line=1):
+    """Facts and verdicts of (id, text, host) rows; ``share``: of the host's distinct texts."""
+    holders, texts = {}, {}
     for _, t, host in docs:
+        texts.setdefault(host, set()).add(t or "")
         for x in (t or "").split("\n"):
-            if WORD.search(x):
+            if len(WORD.findall(x)) >= least_line:
                 holders.setdefault((host, norm(x)), set()).add(hashlib.md5((t or "").encode()).hexdigest())
     out = []
     for i, t, host in docs:
@@ -28,7 +29,9 @@ def brute(docs, most, left):
         inside = {p for k, x in enumerate(windows) if windows.count(x) > 1 for p in (k, k + 1, k + 2)}
         key = hashlib.md5(t.encode()).hexdigest()
         gone = sum(len(WORD.findall(x)) for x in lines
-                   if len(holders[host, norm(x)]) > most and key != min(holders[host, norm(x)]))
+                   if len(WORD.findall(x)) >= least_line and len(holders[host, norm(x)]) > most
+                   and (share is None or 100 * len(holders[host, norm(x)]) > share * len(texts[host]))
+                   and key != min(holders[host, norm(x)]))
         failed = len(w) < op.LEAST_WORDS or 100 * len(inside) > op.MOST_REPEATED * len(w)
         out.append((str(i), len(w), sum(map(len, w)), sum(c in op.SYMBOLS for c in t), len(lines) - len(set(lines)),
                     len(inside), gone, failed, not failed and 100 * (len(w) - gone) >= left * len(w)))
@@ -93,12 +96,27 @@ def test_empty_table(make_docs):
     assert op.quality_rules(make_docs([])).count() == 0
 
 
-def test_query_agrees_with_sql(spark):
-    sf = "/root/testdata/sf0.001"
-    got = op.op6_quality_rules(spark, sf)
+NAMES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "removed_words", "base_failed", "kept")
+
+
+def test_query_and_sql_where_the_rule_fires(spark, tmp_path):
+    """Production parameters over real documents, and lines that a quarter of a host holds."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [r.asDict() for r in docs.collect()]
+    for k, r in enumerate(rows):
+        if r["source"] == "src3" and k % 2:
+            r["text"] += "\nsubscribe to our letter no %d\nles." % k
+        if r["source"] == "src5" and k % 3 == 0:  # little else: depleted
+            r["text"] = "\n".join(" ".join(f"x{j}y{i}" for i in range(40)) for j in range(4)) + f"\nown {k}"
+    spark.createDataFrame(rows, docs.schema).write.parquet(str(tmp_path / "documents.parquet"))
+    got = op.op6_quality_rules(spark, str(tmp_path))
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from read_parquet('{sf}/documents.parquet')")
+    con.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
     want = con.execute(op.ORACLE)
     names = [d[0] for d in want.description]
     assert set(names) == set(got.columns)
-    assert sorted(tuple(r[n] for n in names) for r in got.collect()) == sorted(want.fetchall())
+    got = got.collect()
+    assert sorted(tuple(r[n] for n in names) for r in got) == sorted(want.fetchall())
+    assert sorted((str(r.doc_id), *(r[n] for n in NAMES)) for r in got) == brute(
+        [(r["doc_id"], r["text"], r["source"]) for r in rows], op.LEAST_DOCUMENTS, op.LEAST_LEFT, op.MOST_SHARE, op.LEAST_LINE)
+    assert sum(r.removed_words > 0 for r in got) > 20 and any(not r.kept and not r.base_failed for r in got)
