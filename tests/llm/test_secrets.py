@@ -1,7 +1,8 @@
 import hashlib
-import itertools
 import math
+import random
 import re
+import time
 
 from contactlake.llm import op9_secrets as op
 
@@ -29,20 +30,76 @@ def test_base_spans():
         assert [s for s in op.scan(t) if s[0] != "guess"] == base_spans(t), t
 
 
-def cost_by_segmentation(value, today):
-    """The least cost over all ways to cut a short value, each part by its own kind."""
-    def part(s):
-        brute = sum(min(1.0, math.log10(10 if c.isdigit() else 26 if c.isalpha() else 33)) for c in s)
-        return min([x for x in (op._word(s) if len(s) > 2 else None, op._date(s, today) if len(s) > 3 else None) if x is not None] + [brute])
+def cost_by_segmentation(value, today=op.YEAR):
+    """The least cost over all ways to cut a value, each part by its cheapest kind."""
+    def part(i, j):
+        s, low = value[i:j], value[i:j].lower().translate(op.SHIFTED)
+        out = [sum(min(1.0, math.log10(10 if c.isdigit() else 26 if c.isalpha() else 33)) for c in s)]
+        out += [x for x in (op._word(s) if len(s) > 2 else None, op._date(s, today) if len(s) > 3 else None) if x is not None]
+        if any(s == value[i - p:i] * (len(s) // p) for p in range(1, i + 1) if len(s) % p == 0):
+            out.append(math.log10(8))
+        if len(s) > 2 and all(b in op.NEAR.get(a, ()) for a, b in zip(low, low[1:])):
+            places = [next((x, y) for y, row in enumerate(op.ROWS) for x, c in enumerate(row) if c == k) for k in low]
+            moves = [(c[0] - a[0], c[1] - a[1]) for a, c in zip(places, places[1:])]
+            turns = sum(a != c and x != y for a, c, x, y in zip(moves, moves[1:], low, low[2:]))
+            out.append(math.log10(len(op.NEAR)) + math.log10(8) + turns * math.log10(4.6))
+        return min(out)
 
-    step, n = math.log10(2), len(value)
-    return min(sum(part(value[a:b]) + step for a, b in zip((0, *cut), (*cut, n)))
-               for k in range(n) for cut in itertools.combinations(range(1, n), k))
+    best = [0.0]
+    for j in range(1, len(value) + 1):
+        best.append(min(best[i] + math.log10(2) + part(i, j) for i in range(j)))
+    return best[-1]
 
 
 def test_guess_cost_is_the_cheapest_segmentation():
-    for v in ["password", "P4ssw0rd", "admin2019", "k7Gx2QpL", "test19", "1999x2001"]:
-        assert math.isclose(op.guesses(v, 2025), cost_by_segmentation(v, 2025), abs_tol=1e-9), v
+    rnd = random.Random(1)
+    bits = ["qwe", "asdf", "pass", "1999", "12-05-1999", "ab", "x", "Kq9", "zxcvb", "admin", "aa", "7", "!", "rewq", "dragon", "P4ssw0rd"]
+    values = ["", "password", "P4ssw0rd", "admin2019", "k7Gx2QpL", "1999x2001", "qwertyuiop[';lkjhgfdsazxcvbnm,./;p", "Xk9vQ2ababababab" * 3]
+    for _ in range(1500):
+        v = "".join(rnd.choice(bits) for _ in range(rnd.randint(1, 6)))
+        values.append(v + v[-rnd.randint(1, len(v)):] * rnd.randint(0, 4))
+    for v in values:
+        want = cost_by_segmentation(v)
+        assert math.isclose(op.guesses(v), want, abs_tol=1e-9), v
+        for enough in (4.0, 8.0):
+            assert (op.guesses(v, enough=enough) >= enough) == (op.guesses(v) >= enough), v
+
+
+def test_walks_and_repeats_of_any_length():
+    walk = "qwertyuiop[';lkjhgfdsazxcvbnm,./;p"
+    assert op.scan("pwd: " + walk[:33]) == op.scan("pwd: " + walk) == op.scan("pwd: " + walk[:20]) == []
+    for unit in ["kq7xz2mvwp", "Xk9vQ2ababababab", "ab", "a"]:
+        assert op.guesses(unit * 3) <= op.guesses(unit) + math.log10(2) + math.log10(8) + 1e-9
+        assert op.guesses(unit * 300) <= op.guesses(unit) + math.log10(2) + math.log10(8) + 1e-9
+
+
+def test_repetitions_against_brute_force():
+    rnd = random.Random(2)
+    for _ in range(400):
+        v = "".join(rnd.choice("ab" if rnd.random() < 0.8 else "abc") for _ in range(rnd.randint(0, 24)))
+        spans = {(j, p) for a, b, p in op.repetitions(v) for j in range(a + 2 * p, b + 1)}
+        want = {(j, p) for j in range(len(v) + 1) for p in range(1, j // 2 + 1) if v[j - p:j] == v[j - 2 * p:j - p]}
+        assert spans <= want
+        for j, p in want:  # also as copies of a shorter unit
+            assert any((j, q) in spans for q in range(1, p + 1) if p % q == 0), (v, j, p)
+
+
+def test_long_values_and_texts_take_a_second():
+    rnd = random.Random(3)
+    random_value = "".join(rnd.choice("abcdefgh0123") for _ in range(10**6))
+    for text in ["key " + "x" * 10**6, "key " + "a1b2" * 250_000, "bearer " + "-".join(["ab"] * 1000) + "1", "bearer " + "ab-" * 1000 + "1",
+                 "://" * 300_000, "x://a:b" * 100_000, "pwd: " + random_value, "pwd: '" + random_value]:
+        began = time.process_time()
+        op.scan(text)
+        assert time.process_time() - began < 2, text[:20]
+
+
+def test_values_in_quotes_are_whole():
+    text = "pwd: 'kq zv!xw %rj kq9zX' x"
+    assert op.scan(text) == [("guess", 6, 24)]
+    assert op.scan('secret: "meet me at the old mill, today."') == []
+    assert op.scan("pwd: 'kq7xz2mvwpL and no end") == [("guess", 6, 17)]
+    assert [s[0] for s in op.scan("9http://u:kq7xz2mvwpL@h 1+x://u:kq7xz2mvwpL@h 12://u:kq7xz2mvwpL@h")] == ["guess"] * 2
 
 
 def test_easy_values_cost_less():
@@ -115,9 +172,15 @@ def test_query(spark):
     sf = "/root/testdata/sf0.01"
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     rows = op.op9_secret_scan(spark, sf).collect()
+    ranks = op.word_ranks(spark.read.parquet(f"{sf}/documents.parquet"))
+    longest = max(map(len, ranks))
     assert len(rows) == len(docs) and sum(r.n_assign for r in rows) > 0
     for r in rows:
         want = ",".join(f"{k}:{a}:{b}" for k, a, b in base_spans(docs[r.doc_id]))
         assert r.base_sha256 == hashlib.sha256(want.encode()).hexdigest()
         assert [s for s in r.spans.split(",") if s and not s.startswith("guess")] == [s for s in want.split(",") if s]
+        assert r.spans == ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(
+            base_spans(docs[r.doc_id]) + [("guess", a, b) for (a, b), more in op.values(docs[r.doc_id]).items()
+                                          if b - a >= 6 and op.guesses(docs[r.doc_id][a:b], op.YEAR, ranks, longest) >= 8 + more],
+            key=lambda s: (s[1], op.KINDS.index(s[0]), s[2])))
         assert r.n_assign + r.n_access + r.n_hex == len([s for s in want.split(",") if s])
