@@ -18,12 +18,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import CONTAINER_INVALID, CONTAINER_PROCESSED, CONTAINER_RAW
-from ..operators.core import TS_TEXT, high_water_text, merge_snapshot, watermark_filter
+from ..operators.core import TS_TEXT, merge_snapshot, watermark_filter
 from ..operators.staging import stg_contacts
 from ..operators.validate import split, validate
 from ..schema import CONTACT_COLUMNS, RUN_AUDIT_SCHEMA
 from ..session import ensure_utc, scratch_path
-from ..sources import readers, sinks
+from ..sources import corestore, readers, sinks
 
 
 def new_run_id(now: _dt.datetime | None = None) -> str:
@@ -98,20 +98,16 @@ def merge_core(spark: SparkSession, wh: Warehouse, run_id: str, mode: str = "run
     """Merge the run into core and return the number of affected keys
     (updates + inserts).
 
-    ``publish='partitions'`` rewrites only the months that change (large tables);
+    ``publish='partitions'`` rewrites only the months that change, found through the key
+    index, and switches readers to them at once (``sources.corestore``);
     ``publish='snapshot'`` writes a full new snapshot and moves a pointer to it.
 
-    The core's high-water mark is recorded beside it after each merge, so the next
-    watermark run reads one small object instead of scanning the core (the core is
-    scanned once when no mark exists yet). The run's clock is fixed once on the driver,
-    so every job of the merge stamps the same ``processed_at`` and the mark is exact."""
+    The core's high-water mark is recorded with each merge, so the next watermark run reads
+    one small object instead of scanning the core. The run's clock is fixed once on the
+    driver, so every job of the merge stamps the same ``processed_at`` and the mark is
+    exact."""
     now = _clock_text(now)
-    target = sinks.read_core(spark, wh.core)
-    if target is not None:
-        target = target.drop("created_month")
-    mark = None
-    if target is not None:
-        mark = sinks.read_watermark(spark, wh.core) or high_water_text(target)
+    mark = sinks.read_watermark(spark, wh.core)
     if mode == "run":
         if not sinks.run_exists(spark, wh.raw, run_id):
             return 0                                   # the run loaded no valid contact
@@ -124,22 +120,19 @@ def merge_core(spark: SparkSession, wh: Warehouse, run_id: str, mode: str = "run
         source = watermark_filter(stg_contacts(raw), None, mark=mark)
     else:
         raise ValueError(f"unknown merge mode {mode!r}")
-    keep_ts = "run" if mode == "run" else "watermark"
-    # one job over the source (a filtered read of a written table): affected keys (a NULL
-    # key counts once, as in a distinct) and its newest processed_at
-    one = source.agg(F.countDistinct("contact_id").alias("k"),
-                     F.max(F.col("contact_id").isNull().cast("int")).alias("null_key"),
-                     F.date_format(F.max("processed_at"), TS_TEXT).alias("m")).first()
-    affected = one["k"] + (one["null_key"] or 0)
     if publish == "snapshot":
-        sinks.publish_snapshot(merge_snapshot(target, source, mode=keep_ts, now=now), wh.core)
-    else:
-        rows = merge_snapshot(None, source, mode=keep_ts, now=now)     # dedupe + stamp
-        sinks.merge_partitions(spark, wh.core, rows, scratch_path(spark, "merge-staging"))
-    if affected:
-        written = now if mode == "run" else one["m"]
-        sinks.write_watermark(spark, wh.core, max(m for m in (mark, written) if m))
-    return affected
+        target = sinks.read_core(spark, wh.core)
+        one = source.agg(F.countDistinct("contact_id").alias("k"),
+                         F.max(F.col("contact_id").isNull().cast("int")).alias("null_key"),
+                         F.date_format(F.max("processed_at"), TS_TEXT).alias("m")).first()
+        affected = one["k"] + (one["null_key"] or 0)   # a NULL key counts once
+        sinks.publish_snapshot(merge_snapshot(target, source, mode=mode, now=now), wh.core)
+        if affected:
+            written = now if mode == "run" else one["m"]
+            sinks.write_watermark(spark, wh.core, max(m for m in (mark, written) if m))
+        return affected
+    rows = merge_snapshot(None, source, mode=mode, now=now)            # dedupe + stamp
+    return corestore.merge(spark, wh.core, rows, scratch_path(spark, "merge-staging"))["affected"]
 
 
 def process_validated(spark: SparkSession, annotated: DataFrame, wh: Warehouse, run_id: str,
@@ -195,8 +188,10 @@ def run_batch(spark: SparkSession, source_path: str, fmt: str, warehouse_root: s
     # Backup of the extracted batch (Parquet, ZSTD); the text of a malformed CSV row
     # is kept, so every landed byte is found again
     keep = [c for c in records.columns if not c.startswith("_") or c == "_corrupt_record"]
-    sinks.write_batch(records.select(*keep), wh.batches, CONTAINER_RAW, run_id)
-    annotated = validate(records, literal=literal)
+    batches = sinks.write_batch(records.select(*keep), wh.batches, CONTAINER_RAW, run_id)
+    # the written batch is validated, so the landing is framed and parsed once
+    written = sinks.read_runs(spark, batches, [run_id]).drop("run_id") if sinks.run_exists(spark, batches, run_id) else records
+    annotated = validate(written, literal=literal)
     return process_validated(spark, annotated, wh, run_id, mode, now, archive_processed, log,
                              publish)
 

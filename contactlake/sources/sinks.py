@@ -10,11 +10,11 @@ from __future__ import annotations
 import json
 import os
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..schema import (CONTACT_COLUMNS, CORE_LAYOUT_SCHEMA, QUARANTINE_SCHEMA,
-                      RELATIONAL_COLUMNS)
+from ..schema import CONTACT_COLUMNS, QUARANTINE_SCHEMA, RELATIONAL_COLUMNS
 
 
 # ------------------------------------------------------------------ S5 / S6 / S14 ------
@@ -35,21 +35,20 @@ def write_batch(df: DataFrame, base: str, container: str, run_id: str | None,
 
 def write_lines(lines: DataFrame, path: str, header: str | None = None,
                 files: int | None = None) -> str:
-    """Land text lines (column ``line``) as files under ``path``, replacing them. With a
-    ``header`` every written file starts with that line (the CSV writer puts the column
-    name first in each file; separator and quote are set to control characters that the
-    lines never hold, so a line is written as it is). ``files`` deals the lines out
-    round-robin over that many files."""
+    """Land text (column ``line``, line breaks in it kept) as files under ``path``, replacing
+    them. With a ``header`` every written file starts with that line. ``files`` deals the
+    texts out round-robin over that many files."""
+    out = lines.select("line")
     if files:
-        lines = lines.repartition(files)
-    if header is None:
-        lines.select("line").write.mode("overwrite").text(path)
-    else:
-        (lines.select(F.col("line").alias(header)).write.mode("overwrite")
-         .option("header", "true").option("sep", "\u0001").option("quote", "\u0002")
-         .option("escapeQuotes", "false")
-         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
-         .csv(path))
+        out = out.repartition(files)
+    if header is not None:
+        def headed(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([header])], ["line"])
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([b.column(0)], ["line"])
+
+        out = out.mapInArrow(headed, "line string")
+    out.write.mode("overwrite").text(path)
     return path
 
 
@@ -258,7 +257,7 @@ def _write_small_text(spark: SparkSession, path: str, text: str) -> None:
 
 def current_snapshot(spark: SparkSession, base: str) -> str | None:
     text = _read_small_text(spark, os.path.join(base, "_CURRENT"))
-    return None if text is None else json.loads(text)["path"]
+    return None if text is None else json.loads(text).get("path")
 
 
 def read_snapshot(spark: SparkSession, base: str) -> DataFrame | None:
@@ -286,6 +285,10 @@ def publish_snapshot(df: DataFrame, base: str, partition_by: str | None = "creat
 
 def read_watermark(spark: SparkSession, core_path: str) -> str | None:
     """High-water mark (max ``processed_at``, UTC text) recorded by the last merge."""
+    from . import corestore
+    manifest = corestore.current(spark, core_path)
+    if manifest is not None:
+        return manifest["watermark"]
     text = _read_small_text(spark, os.path.join(core_path, "_WATERMARK"))
     return None if text is None else json.loads(text)["processed_at"]
 
@@ -307,7 +310,7 @@ def run_query(spark: SparkSession, sql: str, params: dict | None = None) -> Data
     return spark.sql(sql, args=params or {})
 
 
-# ------------------------------------------------------------------ C4 in place --------
+# ------------------------------------------------------------------ C4 ------------------
 def _path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -321,56 +324,9 @@ def _delete_path(spark: SparkSession, path: str) -> None:
 
 
 def read_core(spark: SparkSession, base: str) -> DataFrame | None:
-    """Core table of either publishing mode: a snapshot pointer, or a partitioned table."""
-    snap = read_snapshot(spark, base)
-    if snap is not None:
-        return snap
-    if _path_exists(spark, base):
-        return spark.read.schema(CORE_LAYOUT_SCHEMA).parquet(base)
-    return None
-
-
-def merge_partitions(spark: SparkSession, core_path: str, source_rows: DataFrame,
-                     staging_root: str, key: str = "contact_id") -> list:
-    """C4 for a large core: upsert deduplicated, stamped source rows into the core table
-    partitioned by ``created_month``, rewriting only the months that change.
-
-    Affected months = months holding a matched key (found with a semi join) plus months
-    receiving a source row; that list is bounded by the number of partitions. Their new
-    content (old rows minus matched keys, plus the source rows) is staged in the shared
-    checkpoint folder, then written with dynamic partition overwrite; a month left with
-    no rows (its contacts all moved) is removed, so no stale copy survives. Returns the
-    rewritten months."""
-    import uuid
-
-    from ..operators.core import PARTITION_COLUMN, with_layout
-    src = source_rows.select(*CONTACT_COLUMNS)
-    month = F.trunc(F.to_date("created_at"), "month")
-    if not _path_exists(spark, core_path):
-        with_layout(src).write.mode("overwrite").partitionBy(PARTITION_COLUMN).parquet(core_path)
-        return [r[0] for r in src.select(month).distinct().collect()]
-    target = spark.read.schema(CORE_LAYOUT_SCHEMA).parquet(core_path)
-    keys = src.select(key)
-    touched = target.join(keys, key, "left_semi").select(PARTITION_COLUMN) \
-        .unionByName(src.select(month.alias(PARTITION_COLUMN))).distinct()
-    months = [r[0] for r in touched.collect()]
-    known = [m for m in months if m is not None]
-    cond = F.col(PARTITION_COLUMN).isin(known) if known else F.lit(False)
-    if None in months:
-        cond = cond | F.col(PARTITION_COLUMN).isNull()
-    kept = target.where(cond).select(*CONTACT_COLUMNS).join(keys, key, "left_anti")
-    stage = os.path.join(staging_root, f"merge-{uuid.uuid4().hex[:12]}")
-    with_layout(kept.unionByName(src)).write.mode("overwrite") \
-        .partitionBy(PARTITION_COLUMN).parquet(stage)
-    staged = spark.read.schema(CORE_LAYOUT_SCHEMA).parquet(stage)
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(PARTITION_COLUMN).parquet(core_path)
-    # months written = the staged folder's partition directories (a listing, no job)
-    from .readers import batch_names
-    written = set(batch_names(spark, stage, PARTITION_COLUMN))
-    for m in months:
-        name = "__HIVE_DEFAULT_PARTITION__" if m is None else str(m)
-        if name not in written:
-            _delete_path(spark, os.path.join(core_path, f"{PARTITION_COLUMN}={name}"))
-    _delete_path(spark, stage)
-    return months
+    """Core table of either publishing mode: versions of months, or a snapshot pointer."""
+    from . import corestore
+    manifest = corestore.current(spark, base)
+    if manifest is not None:
+        return corestore.read(spark, base, manifest)
+    return read_snapshot(spark, base)

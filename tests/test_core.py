@@ -1,8 +1,10 @@
 """Dedupe, watermark and merge properties (C2-C5), exact grouped median."""
 import datetime as dt
+import os
 import random
 import statistics
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,21 +75,80 @@ def test_grouped_median_matches_brute_force_with_hot_group(spark):
     assert abs(q["hot"] - (hot[lo] + (hot[lo + 1] - hot[lo]) * frac)) < 1e-9
 
 
-def test_merge_partitions_moves_contact_and_drops_empty_month(spark, tmpdir_path):
-    import os
+def merged(spark, path, df, tmpdir_path, **kw):
+    from contactlake.sources import corestore
+    return corestore.merge(spark, path, df.select(*CONTACT_COLUMNS), os.path.join(tmpdir_path, "stage"), **kw)
+
+
+def core_rows(spark, path):
     from contactlake.sources import sinks
+    return {r["contact_id"]: r["created_at"] for r in sinks.read_core(spark, path).collect()}
+
+
+def test_merge_moves_contact_and_drops_empty_month(spark, tmpdir_path):
     core = os.path.join(tmpdir_path, "core")
-    stage = os.path.join(tmpdir_path, "stage")
     target = contacts(spark, [("1", D(2024, 1, 1), None, D(2024, 1, 1), 1),
+                              ("8", D(2024, 2, 1), None, D(2024, 1, 1), 1),
                               ("9", D(2024, 3, 1), None, D(2024, 1, 1), 2)])   # only row of March
-    sinks.merge_partitions(spark, core, target.select(*CONTACT_COLUMNS), stage)
+    first = merged(spark, core, target, tmpdir_path)
     source = contacts(spark, [("9", D(2024, 5, 9), None, D(2024, 6, 1), 3),
                               ("4", D(2024, 1, 2), None, D(2024, 6, 1), 4)])
-    months = sinks.merge_partitions(spark, core, source.select(*CONTACT_COLUMNS), stage)
-    assert sorted(months) == [dt.date(2024, 1, 1), dt.date(2024, 3, 1), dt.date(2024, 5, 1)]
-    got = {r["contact_id"]: r["created_at"] for r in spark.read.parquet(core).collect()}
-    assert got == {"1": D(2024, 1, 1), "4": D(2024, 1, 2), "9": D(2024, 5, 9)}
-    assert not os.path.exists(os.path.join(core, "created_month=2024-03-01"))
-    sinks.merge_partitions(spark, core, source.select(*CONTACT_COLUMNS), stage)   # re-run
-    again = {r["contact_id"]: r["created_at"] for r in spark.read.parquet(core).collect()}
-    assert again == got
+    got = merged(spark, core, source, tmpdir_path)
+    assert got["rewritten"] == ["2024-01-01", "2024-03-01", "2024-05-01"] and got["affected"] == 2
+    want = {"1": D(2024, 1, 1), "4": D(2024, 1, 2), "8": D(2024, 2, 1), "9": D(2024, 5, 9)}
+    assert core_rows(spark, core) == want and sorted(got["data"]) == ["2024-01-01", "2024-02-01", "2024-05-01"]
+    assert got["data"]["2024-02-01"] == first["data"]["2024-02-01"]            # February was not touched
+    again = merged(spark, core, source, tmpdir_path)                           # re-run
+    assert core_rows(spark, core) == want and again["keys"] == 4
+    assert again["index"] == got["index"]                                      # nothing new or moved: kept as it is
+    # a month of an older version is gone, the version before the last one stays readable
+    assert not os.path.exists(os.path.join(core, "data", f"merge={first['data']['2024-03-01']}", "created_month=2024-03-01"))
+    from contactlake.sources import corestore
+    assert corestore.read(spark, core, got).count() == 4
+
+
+def test_merges_of_random_batches_match_a_dict(spark, tmpdir_path, monkeypatch):
+    """Dated, undated and moved contacts; buckets that split; the index is the core's keys."""
+    from contactlake.sources import corestore
+    monkeypatch.setattr(corestore, "KEYS_PER_BUCKET", 4)
+    rnd, want, core = random.Random(5), {}, os.path.join(tmpdir_path, "core")
+    for k in range(6):
+        batch = {str(rnd.randint(1, 40)): rnd.choice([None, D(2024, rnd.randint(1, 4), rnd.randint(1, 28))])
+                 for _ in range(rnd.choice([1, 8, 15]))}
+        if k == 3:
+            batch = {i: None for i in batch}
+        want |= batch
+        got = merged(spark, core, contacts(spark, [(i, c, None, D(2024, 1, 1 + k), 1) for i, c in batch.items()]), tmpdir_path)
+        assert core_rows(spark, core) == want and got["keys"] == len(want)
+        assert got["watermark"] == f"2024-01-0{1 + k} 00:00:00.000000"
+        index = corestore.read_index(spark, core, got, set(range(got["buckets"]))).collect()
+        assert {r["contact_id"]: r["created_month"] for r in index} == {i: c and c.date().replace(day=1) for i, c in want.items()}
+        assert len(index) == len(want)
+    assert got["buckets"] > 1
+
+
+def test_a_merge_opens_only_its_buckets_and_months(spark, tmpdir_path, monkeypatch):
+    from contactlake.sources import corestore
+    monkeypatch.setattr(corestore, "KEYS_PER_BUCKET", 10)
+    core = os.path.join(tmpdir_path, "core")
+    many = contacts(spark, [(str(i), D(2024, 1 + i % 12, 1), None, D(2024, 1, 1), i) for i in range(200)])
+    first = merged(spark, core, many, tmpdir_path)
+    opened = {"data": [], "index": []}
+    for name, part in (("read", "data"), ("read_index", "index")):
+        real = getattr(corestore, name)
+        monkeypatch.setattr(corestore, name, lambda *a, real=real, part=part: opened[part].append(a[-1]) or real(*a))
+    got = merged(spark, core, contacts(spark, [("7", D(2024, 8, 5), None, D(2024, 2, 1), 1)]), tmpdir_path)
+    assert opened["data"] == [{"2024-08-01"}] and [len(b) for b in opened["index"]] == [1, 0]
+    assert first["buckets"] > 8 and got["index"] == first["index"] and got["keys"] == 200
+
+
+def test_a_failed_merge_leaves_the_version_before(spark, tmpdir_path, monkeypatch):
+    from contactlake.sources import corestore
+    core = os.path.join(tmpdir_path, "core")
+    merged(spark, core, contacts(spark, [("1", D(2024, 1, 1), None, D(2024, 1, 1), 1)]), tmpdir_path)
+    monkeypatch.setattr(corestore, "_publish", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        merged(spark, core, contacts(spark, [("1", D(2024, 2, 1), None, D(2024, 1, 1), 1)]), tmpdir_path)
+    assert core_rows(spark, core) == {"1": D(2024, 1, 1)}
+    monkeypatch.undo()
+    assert merged(spark, os.path.join(tmpdir_path, "none"), contacts(spark, []), tmpdir_path)["affected"] == 0
