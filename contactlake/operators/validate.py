@@ -35,11 +35,11 @@ def api_shape_ok(df: DataFrame) -> Column:
     elif "raw_json" in df.columns:
         v = F.try_parse_json(F.col("raw_json"))
     if v is not None:
-        ok = ok & (_variant_type(v, "$.id") == "STRING") \
-            & _variant_type(v, "$.properties").startswith("OBJECT")
-        for p in API_PROPERTIES:
-            t = _variant_type(v, f"$.properties.{p}")
-            ok = ok & (t.isNull() | t.isin("STRING", "VOID"))
+        # one look at the properties (NULL unless they are an object), then at their values
+        members = F.try_variant_get(v, "$.properties", "map<string, variant>")
+        named = F.map_filter(members, lambda k, _: k.isin(*API_PROPERTIES))
+        ok = ok & (_variant_type(v, "$.id") == "STRING") & F.forall(
+            F.map_values(named), lambda x: F.schema_of_variant(x).isin("STRING", "VOID"))
     return F.coalesce(ok, F.lit(False))
 
 

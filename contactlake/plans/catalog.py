@@ -93,6 +93,36 @@ def _c5(spark, sf_dir):
     return merge_snapshot(target, src, mode="watermark")
 
 
+def _undated(df: DataFrame, share: int) -> DataFrame:
+    """Without the time of creation where the customer number is a multiple of ``share``."""
+    every = F.col("contact_id").cast("bigint") % share == 0
+    return df.withColumn("created_at", F.when(~every, F.col("created_at")))
+
+
+def _c4_store(spark, sf_dir):
+    """C4 on a stored core: three batches (dated; moved and partly undated; undated only)
+    merged through the key index, then the current version read."""
+    from ..session import scratch_path
+    from ..sources import corestore, sinks
+    raw, path = _raw(spark, sf_dir), os.path.join(_landing(spark, "core"), "core_contacts")
+    last = raw.where(F.col("run_id") == MERGE_RUN)
+    for batch in (raw.where(F.col("run_id") < MERGE_RUN), _undated(last, 5), _undated(last.where("bigint(contact_id) % 7 = 0"), 7)):
+        corestore.merge(spark, path, merge_snapshot(None, batch, now=AS_OF), scratch_path(spark, "merge-staging"))
+    return sinks.read_core(spark, path).select(*CONTACT_COLUMNS)
+
+
+def _c5_store(spark, sf_dir):
+    """C5 on a stored core: the second batch is what is newer than the mark that the first
+    merge recorded."""
+    from ..session import scratch_path
+    from ..sources import corestore, sinks
+    stg, path = stg_contacts(_raw(spark, sf_dir)), os.path.join(_landing(spark, "core"), "core_contacts")
+    first = stg.where(F.col("run_id") <= TARGET_LAST_RUN)
+    for batch in (lambda: first, lambda: watermark_filter(stg, None, mark=sinks.read_watermark(spark, path))):
+        corestore.merge(spark, path, merge_snapshot(None, batch(), mode="watermark"), scratch_path(spark, "merge-staging"))
+    return sinks.read_core(spark, path).select(*CONTACT_COLUMNS)
+
+
 def _api_annotated(spark, sf_dir):
     return validate_api(fx.api_records(fx.api_contacts(spark, sf_dir)))
 
@@ -152,11 +182,11 @@ def _d6(spark, sf_dir):
 def _s1(spark, sf_dir):
     from ..sources.readers import read_api_contacts
     from ..sources.sinks import write_lines
-    path = write_lines(fx.api_pages(spark, sf_dir).select(F.col("doc").alias("line")),
-                       _landing(spark, "api"), files=fx.landing_files(spark))
+    path = write_lines(fx.api_landing(spark, sf_dir), _landing(spark, "api"), files=fx.landing_files(spark))
     r = read_api_contacts(spark, path)
+    text = F.when(F.schema_of_variant("raw") == "STRING", F.try_variant_get("raw", "$", "string"))
     return r.select(F.col("id").alias("contact_id"),
-                    *[F.col(f"properties.{c}").alias(c) for c in S1_PROPERTIES])
+                    *[F.col(f"properties.{c}").alias(c) for c in S1_PROPERTIES], F.trim(text).alias("text"))
 
 
 def _s2(spark, sf_dir):
@@ -167,7 +197,7 @@ def _s2(spark, sf_dir):
     rows = read_csv_contacts(spark, path).withColumn("row_id", F.col("contact_id"))
     return validate_csv(rows).select(
         "row_id", F.coalesce("error_type", F.lit("valid")).alias("outcome"),
-        "email", "annual_revenue", "created_at")
+        "email", "company_name", "annual_revenue", "created_at")
 
 
 def _s4(spark, sf_dir):
@@ -186,8 +216,7 @@ def _w1(spark, sf_dir):
     from ..sources.sinks import read_core, write_lines
     from ..streaming.stream import stream_contacts
     root = _landing(spark, "stream")
-    landing = write_lines(fx.api_pages(spark, sf_dir).select(F.col("doc").alias("line")),
-                          f"{root}/landing", files=fx.landing_files(spark))
+    landing = write_lines(fx.api_landing(spark, sf_dir), f"{root}/landing", files=fx.landing_files(spark))
     q = stream_contacts(spark, landing, f"{root}/warehouse", f"{root}/checkpoint",
                         fmt="json",
                         max_files_per_trigger=max(1, fx.landing_files(spark) // STREAM_BATCHES),
@@ -382,7 +411,7 @@ def queries() -> dict[str, Query]:
         "a23": lambda s, d: A.a23_validation_by_field(_inv(s, d)),
         "a24": lambda s, d: A.a24_daily_error_rate(_inv(s, d), _core(s, d), AS_OF),
         "a25": lambda s, d: A.a25_errors_by_source(_inv(s, d)),
-        "c1": _c1, "c2": _c2, "c3": _c3, "c4": _c4, "c5": _c5,
+        "c1": _c1, "c2": _c2, "c3": _c3, "c4": _c4, "c5": _c5, "c4_store": _c4_store, "c5_store": _c5_store,
         "v3": _v3, "v4": _v4, "v8": _v8, "v9": _v9, "v10": _v10, "v11": _v11, "v12": _v12,
         "v14": _v14, "v15": _v15,
         "d1": _d1, "d2": _d2, "d3": _d3, "d4": _d4, "d5": _d5, "d6": _d6,

@@ -453,6 +453,17 @@ src AS (SELECT * FROM stg WHERE processed_at > (SELECT COALESCE(MAX(processed_at
 s AS ({dedupe_sql('src')})
 SELECT {CONTACT_COLS} FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.contact_id = t.contact_id)
 UNION ALL SELECT {CONTACT_COLS} FROM s"""
+    q["c5_store"] = q["c5"]
+    undated = CONTACT_COLS.replace("created_at", "CASE WHEN CAST(contact_id AS BIGINT) % {0} <> 0 THEN created_at END AS created_at") \
+        .replace("processed_at, run_id", f"{AS_OF} AS processed_at, run_id")
+    q["c4_store"] = f"""
+, t AS ({dedupe_sql("(SELECT * FROM contacts_raw WHERE run_id < 'run_2001')")}),
+s AS ({dedupe_sql("(SELECT * FROM contacts_raw WHERE run_id = 'run_2001')")}),
+u AS (SELECT * FROM s WHERE CAST(contact_id AS BIGINT) % 7 = 0)
+SELECT {CONTACT_COLS.replace('processed_at, run_id', f'{AS_OF} AS processed_at, run_id')} FROM t
+WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.contact_id = t.contact_id)
+UNION ALL SELECT {undated.format(5)} FROM s WHERE NOT EXISTS (SELECT 1 FROM u WHERE u.contact_id = s.contact_id)
+UNION ALL SELECT {undated.format(7)} FROM u"""
     # ---- validation
     q["v8"] = f"SELECT id, {parse_ts_sql('createdate')} AS created_at FROM api_contacts"
     q["v9"] = (f"SELECT id, {int_ok_sql('annualrevenue')} AS revenue_ok, "
@@ -498,14 +509,20 @@ FROM csv_checked WHERE error_type IS NULL"""
 SELECT json_extract_string(rec, '$.id') AS contact_id, {_prop('email')} AS email,
        {_prop('company')} AS company, {_prop('annualrevenue')} AS annualrevenue,
        {_prop('createdate')} AS createdate, {_prop('numberofemployees')} AS numberofemployees,
-       {_prop('hs_analytics_source')} AS hs_analytics_source
-FROM api_json"""
+       {_prop('hs_analytics_source')} AS hs_analytics_source, CAST(NULL AS VARCHAR) AS text
+FROM api_json
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, '{{"torn":' || CAST(page AS VARCHAR) || ','
+FROM (SELECT DISTINCT event_id // 100 AS page FROM events) p WHERE page % 6 = 4
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'tail ' || CAST(page AS VARCHAR)
+FROM (SELECT DISTINCT event_id // 100 AS page FROM events) p WHERE page % 6 = 5"""
     short = "event_id % 11 = 10"
     q["s2"] = f"""
 , {CSV_ROWS.strip()}
 SELECT contact_id AS row_id,
        CASE WHEN {short} THEN 'ValidationError' ELSE COALESCE(error_type, 'valid') END AS outcome,
        CASE WHEN NOT {short} THEN lower(email) END AS email,
+       CASE WHEN NOT {short} THEN CASE WHEN event_id % 17 = 3 THEN company_name || chr(10) || '"Ltd", Inc'
+         ELSE company_name END END AS company_name,
        CASE WHEN NOT {short} THEN NULLIF({parse_int_sql('annual_revenue')}, 0) END AS annual_revenue,
        CASE WHEN NOT {short} THEN {parse_ts_sql('created_at')} END AS created_at
 FROM csv_checked"""

@@ -23,6 +23,12 @@ def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _dealt(rows: DataFrame, key: str) -> DataFrame:
+    """Rows dealt over all cores by a unique key: a driver table is one file, however large,
+    and what is derived and written from it should not follow its row groups."""
+    return rows.repartition(landing_files(rows.sparkSession), key)
+
+
 def _ts(col: str):
     """Driver parquet stores TIMESTAMP_NTZ; contacts use UTC instants."""
     return F.col(col).cast("timestamp")
@@ -31,8 +37,8 @@ def _ts(col: str):
 def contacts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw contact per order, keyed by the customer: ids repeat on purpose."""
     ensure_utc(spark)
-    orders = driver_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    orders = _dealt(driver_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"), "o_orderkey")
     customer = driver_table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment", "c_nationkey")
     nation = driver_table(spark, sf_dir, "nation").select(
@@ -88,7 +94,7 @@ def api_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _api_flat(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     ensure_utc(spark)
     base = ["event_id", "ts", "user_id", "event_type", "value"]
-    ev = driver_table(spark, sf_dir, "events").select(*base, *[c for c in extra if c not in base])
+    ev = _dealt(driver_table(spark, sf_dir, "events").select(*base, *[c for c in extra if c not in base]), "event_id")
     e = F.col("event_id")
     email = F.when(e % 8 == 0, F.lit(None).cast("string")).when(e % 8 == 1, "") \
         .when(e % 8 == 2, "invalidemail.com").when(e % 8 == 3, "user@") \
@@ -195,17 +201,35 @@ def api_record_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """API pages ``{"results":[...],"paging":{"next":{"after":...}}}``, one text per page
-    (column ``doc``). A page is 100 consecutive records of one scan split (the position
-    id of the scan, deterministic on re-read), so no page ever exceeds 100 records,
-    whatever the key distribution."""
-    r = api_record_json(spark, sf_dir).withColumn(
-        "page", F.floor(F.monotonically_increasing_id() / API_PAGE_SIZE))
+    (column ``doc``, and the page's number ``page``). A page is the records of 100 consecutive
+    event ids, which are unique, so no page ever exceeds 100 records."""
+    r = api_record_json(spark, sf_dir).withColumn("page", F.floor(F.col("event_id") / API_PAGE_SIZE))
     g = r.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("event_id", "rec"))).alias("recs"))
     body = F.array_join(F.transform("recs", lambda x: x["rec"]), ",")
     after = F.element_at("recs", -1)["event_id"].cast("string")
     doc = F.concat(F.lit('{"results":['), body, F.lit('],"paging":{"next":{"after":'),
                    _json_text(after), F.lit("}}}"))
-    return g.select(doc.alias("doc"))
+    return g.select("page", doc.alias("doc"))
+
+
+def api_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed JSON text (column ``line``) of all layouts, by page number: pages on a line,
+    pages followed by another page on the same line (the page's array again, without contacts),
+    indented pages, indented arrays, and pages after a torn line that names the page
+    (``{"torn":<page>, ``) or before trailing text (`` tail <page>``)."""
+    p = api_pages(spark, sf_dir)
+    page, doc = F.col("page"), F.col("doc")
+    array = F.regexp_extract(doc, r"^\{\"results\":(\[.*\]),\"paging\":", 1)
+
+    def indented(x):
+        return F.regexp_replace(F.regexp_replace(x, r"([{\[,])(?=[\"{])", "$1\n  "), r"([}\]])(?=[}\]])", "$1\n ")
+
+    kind = page % 6
+    text = F.when(kind == 1, F.concat(doc, F.lit(' {"results":[]}'))) \
+        .when(kind == 2, indented(doc)).when(kind == 3, indented(array)) \
+        .when(kind == 4, F.concat(F.lit('{"torn":'), page.cast("string"), F.lit(", \n"), doc)) \
+        .when(kind == 5, F.concat(doc, F.lit(" tail "), page.cast("string"))).otherwise(doc)
+    return p.select(text.alias("line"))
 
 
 def csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,12 +253,16 @@ def csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text lines of a CSV batch (column ``line``, no header): the row of
     event_id % 11 = 10 stops after 5 cells (a short row), the row of event_id % 13 = 12
-    carries a ninth cell (ignored by the reader's shape rule)."""
+    carries a ninth cell (ignored by the reader's shape rule), and the company of
+    event_id % 17 = 3 is a quoted cell with a line break, a comma and quotes."""
     from ..constants import CSV_COLUMNS
     r = csv_rows(spark, sf_dir)      # the landing write deals lines out
     e = F.col("event_id")
-    full = F.concat_ws(",", *[F.col(c) for c in CSV_COLUMNS])
-    short = F.concat_ws(",", *[F.col(c) for c in CSV_COLUMNS[:5]])
+    company = F.when(e % 17 == 3, F.concat(F.lit('"'), F.col("company_name"), F.lit('\n""Ltd"", Inc"'))) \
+        .otherwise(F.col("company_name"))
+    cells = [company if c == "company_name" else F.col(c) for c in CSV_COLUMNS]
+    full = F.concat_ws(",", *cells)
+    short = F.concat_ws(",", *cells[:5])
     line = F.when(e % 11 == 10, short).when(e % 13 == 12, F.concat(full, F.lit(",extra"))) \
         .otherwise(full)
     return r.select(line.alias("line"))
