@@ -17,7 +17,7 @@ from ..constants import (FUNNEL_BUCKETS, FUNNEL_OTHER_BUCKET, LABEL_FORMAT, LABE
 from ..functions.expr import (conversion_rate, converted_count, days_before, error_label,
                               is_converted, jfield, month_start, parse_ts, pct,
                               round_half_up, sunday_week, with_json_fields)
-from ..operators.percentile import grouped_percentile_cont
+from ..operators.percentile import percentile_of_counts, value_counts
 from .marts import (metric_rows, n_rows, industry_analytics, lead_analytics, period_metrics, record_counts,
                     sales_funnel, since)
 
@@ -183,14 +183,13 @@ def a16_deal_size(contacts: DataFrame) -> DataFrame:
     """Per raw industry over revenue > 0, with the exact median (PERCENTILE_CONT 0.5)
     computed without gathering an industry in one task."""
     deals = contacts.where(F.col("annual_revenue") > 0).select("industry", "annual_revenue")
-    stats = deals.groupBy("industry").agg(
-        n_rows().alias("deals_count"),
-        round_half_up(F.avg("annual_revenue"), 2).alias("avg_deal_size"),
-        F.min("annual_revenue").alias("min_deal"),
-        F.max("annual_revenue").alias("max_deal"),
-        F.sum("annual_revenue").alias("total_revenue"))
-    med = grouped_percentile_cont(deals, ["industry"], "annual_revenue", 0.5,
-                                  "median_deal_size").withColumnRenamed("industry", "_mi")
+    counts = value_counts(deals, ["industry"], "annual_revenue")   # read once, its shuffle reused
+    total = F.sum(F.col("_v") * F.col("_c"))
+    stats = counts.groupBy("industry").agg(
+        F.sum("_c").alias("deals_count"),
+        round_half_up(total / F.sum("_c"), 2).alias("avg_deal_size"),
+        F.min("_v").alias("min_deal"), F.max("_v").alias("max_deal"), total.alias("total_revenue"))
+    med = percentile_of_counts(counts, ["industry"], 0.5, "median_deal_size").withColumnRenamed("industry", "_mi")
     # both sides hold one row per industry
     j = stats.join(med, stats["industry"].eqNullSafe(med["_mi"]), "left")
     return (j.select(F.coalesce("industry", F.lit(UNKNOWN)).alias("industry"), "deals_count",

@@ -63,12 +63,12 @@ def test_grouped_median_matches_brute_force_with_hot_group(spark):
     rows += [(g, rnd.randint(1, 100)) for g in ("a", "b", None) for _ in range(rnd.randint(1, 40))]
     rows += [("single", 42)]
     df = spark.createDataFrame(rows, "g string, v long")
-    got = {r["g"]: r["p"] for r in grouped_percentile_cont(df, ["g"], "v", 0.5, "p", 6).collect()}
+    got = {r["g"]: r["p"] for r in grouped_percentile_cont(df, ["g"], "v", 0.5, "p").collect()}
     want = {}
     for g in {r[0] for r in rows}:
         want[g] = float(statistics.median(sorted(v for k, v in rows if k == g)))
     assert got == want
-    q = {r["g"]: r["p"] for r in grouped_percentile_cont(df, ["g"], "v", 0.9, "p", 5).collect()}
+    q = {r["g"]: r["p"] for r in grouped_percentile_cont(df, ["g"], "v", 0.9, "p").collect()}
     hot = sorted(v for k, v in rows if k == "hot")
     pos = (len(hot) - 1) * 0.9
     lo, frac = int(pos), pos - int(pos)

@@ -56,4 +56,12 @@ def test_top_offenders_one_pass_top_k(spark, written):
 
 def test_median_never_gathers_a_group(spark, written):
     p = plan(analytics.a16_deal_size(written.core_contacts))
-    assert "percentile(" not in p.lower().replace("percentile_cont", "")
+    assert "percentile(" not in p.lower().replace("percentile_cont", "") and "collect_list" not in p
+
+
+def test_deal_sizes_read_the_deals_once(spark, written):
+    df = analytics.a16_deal_size(written.core_contacts)
+    df.collect()
+    p = df._jdf.queryExecution().executedPlan().toString()
+    final = p.split("Initial Plan")[0]
+    assert len(re.findall(r"FileScan parquet", final)) == 1
