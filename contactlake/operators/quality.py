@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import (QUARANTINE_FRESHNESS_WARN_H, RAW_FRESHNESS_ERROR_H,
+from ..constants import (CONTAINER_INVALID, CONTAINER_RAW, QUARANTINE_FRESHNESS_WARN_H, RAW_FRESHNESS_ERROR_H,
                          RAW_FRESHNESS_WARN_H)
 from ..functions.expr import as_of_lit
 
@@ -84,13 +84,22 @@ def core_suite(core: DataFrame, accepted_status: list[str], accepted_industry: l
 
 
 def source_freshness(raw: DataFrame, quarantine: DataFrame, as_of=None,
-                     quarantine_time: str = "quarantined_at") -> DataFrame:
-    return check_freshness(raw, "contacts_raw", "processed_at", as_of,
+                     quarantine_time: str = "quarantined_at", raw_time: str = "processed_at") -> DataFrame:
+    return check_freshness(raw, "contacts_raw", raw_time, as_of,
                            RAW_FRESHNESS_WARN_H, RAW_FRESHNESS_ERROR_H).unionByName(
         check_freshness(quarantine, "contacts_quarantine", quarantine_time, as_of,
                         QUARANTINE_FRESHNESS_WARN_H, None))
 
 
+def manifest_freshness(manifest: DataFrame, as_of=None) -> DataFrame:
+    """D5 of the raw and the quarantine batches from a stored manifest (``newest_at`` of each
+    batch), without opening a batch."""
+    def newest(container: str) -> DataFrame:
+        return manifest.where(F.col("container") == container)
+
+    return source_freshness(newest(CONTAINER_RAW), newest(CONTAINER_INVALID), as_of, "newest_at", "newest_at")
+
+
 def check_split(annotated: DataFrame) -> DataFrame:
     """D6 over a validated batch: every record lands in exactly one side, so
     valid + invalid = total (one scan, one row)."""

@@ -616,6 +616,15 @@ FROM api_checked WHERE error_type IS NOT NULL"""
     q["s13"] = ("SELECT contact_id, email, first_name, last_name, created_at FROM ("
                 "SELECT *, ROW_NUMBER() OVER (PARTITION BY contact_id ORDER BY ingest_seq DESC) AS r "
                 "FROM contacts_raw) x WHERE r = 1")
+    last = ("(SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY contact_id ORDER BY ingest_seq DESC) AS r "
+            "FROM contacts_raw WHERE run_id {} 'run_1999') x WHERE r = 1)")
+    cols = "contact_id, email, first_name, last_name, created_at"
+    q["s13_store"] = f"""
+, t AS {last.format('<=')},
+b AS {last.format('>')}
+SELECT u.*, (SELECT COUNT(*) FROM b WHERE contact_id IN (SELECT contact_id FROM t)) AS replaced,
+       (SELECT COUNT(*) FROM b WHERE contact_id NOT IN (SELECT contact_id FROM t)) AS inserted
+FROM (SELECT {cols} FROM t WHERE contact_id NOT IN (SELECT contact_id FROM b) UNION ALL SELECT {cols} FROM b) u"""
     return q
 
 

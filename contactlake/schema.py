@@ -78,6 +78,7 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("record_count", L),
     T.StructField("file_path", S),
     T.StructField("created_at", TS),
+    T.StructField("newest_at", TS),
 ])
 
 RELATIONAL_COLUMNS = ["contact_id", "email", "first_name", "last_name", "created_at"]

@@ -275,6 +275,8 @@ class Layers:
     core_contacts: DataFrame
     api_contacts: DataFrame
     invalid_contacts: DataFrame
+    #: the batch store that raw and quarantine were written to, if they were
+    store: str | None = None
 
     def register(self) -> "Layers":
         for name in ("contacts_raw", "core_contacts", "api_contacts", "invalid_contacts"):
@@ -289,18 +291,25 @@ def layers(spark: SparkSession, sf_dir: str) -> Layers:
                   invalid_contacts(spark, sf_dir))
 
 
+def write_store(raw: DataFrame, invalid: DataFrame, base: str) -> str:
+    """Raw and quarantined records as batches by run, with the manifest of the store."""
+    from ..constants import CONTAINER_INVALID, CONTAINER_RAW
+    from .sinks import write_batch
+    write_batch(raw, base, CONTAINER_RAW, None, newest="processed_at")
+    write_batch(invalid, base, CONTAINER_INVALID, None, newest="processed_at")
+    return base
+
+
 def materialized_layers(spark: SparkSession, sf_dir: str, out_dir: str) -> Layers:
-    """Write raw (partitioned by run), core (by month of creation, clustered) and the
-    quarantine once, then read them back: what a deployment does; reports then scan the
-    written tables with partition pruning and pushed filters."""
+    """Write raw and quarantine (batches by run, with their manifest) and core (by month of
+    creation, clustered) once, then read them back: what a deployment does; reports then scan
+    the written tables with partition pruning and pushed filters."""
+    from ..constants import CONTAINER_INVALID, CONTAINER_RAW
     from ..operators.core import with_layout
-    raw_df = contacts_raw(spark, sf_dir)
-    raw_df.write.mode("overwrite").partitionBy("run_id").parquet(f"{out_dir}/contacts_raw")
-    raw = spark.read.parquet(f"{out_dir}/contacts_raw")
+    store = write_store(contacts_raw(spark, sf_dir), invalid_contacts(spark, sf_dir), f"{out_dir}/store")
+    raw = spark.read.parquet(f"{store}/{CONTAINER_RAW}")
     with_layout(core_contacts(raw)).write.mode("overwrite").partitionBy("created_month") \
         .parquet(f"{out_dir}/core_contacts")
-    invalid_contacts(spark, sf_dir).write.mode("overwrite") \
-        .parquet(f"{out_dir}/invalid_contacts")
     core = spark.read.parquet(f"{out_dir}/core_contacts")
-    inv = spark.read.parquet(f"{out_dir}/invalid_contacts")
-    return Layers(raw, core, api_contacts(spark, sf_dir), inv)
+    inv = spark.read.parquet(f"{store}/{CONTAINER_INVALID}")
+    return Layers(raw, core, api_contacts(spark, sf_dir), inv, store)

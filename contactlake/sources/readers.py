@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import API_PROPERTIES_SCHEMA, CSV_SCHEMA
 from ..session import ensure_utc
 from .framing import framed, ingest_seq, line_columns
+from .sinks import list_batches, read_manifest, run_exists, run_path
 
 CSV_DDL = ", ".join(f"{f.name} string" for f in CSV_SCHEMA.fields)
 
@@ -92,17 +96,6 @@ def read_csv_contacts(spark: SparkSession, path: str) -> DataFrame:
     return csv_records_from_lines(spark.read.text(path).select(*line_columns()))
 
 
-def latest_batch(df: DataFrame, run_col: str = "run_id") -> DataFrame:
-    """S3: the records of the lexically greatest batch name (empty when none).
-
-    The greatest name is a one-row aggregate; the records are then a filter on it, a
-    partition filter when the table is partitioned by ``run_col``."""
-    top = df.agg(F.max(run_col).alias("m")).first()["m"]
-    if top is None:
-        return df.limit(0)
-    return df.where(F.col(run_col) == F.lit(top))
-
-
 def batch_names(spark: SparkSession, base: str, run_col: str = "run_id") -> list[str]:
     """Batch names of a store laid out as ``base/<run_col>=<name>/``, from the directory
     listing alone (one entry per batch; no data file is opened)."""
@@ -117,15 +110,13 @@ def batch_names(spark: SparkSession, base: str, run_col: str = "run_id") -> list
             if st.isDirectory() and st.getPath().getName().startswith(head)]
 
 
-def read_latest_batch(spark: SparkSession, base: str, prefix: str = "",
-                      run_col: str = "run_id", fmt: str = "parquet") -> DataFrame:
-    """S3 on a batch store laid out as ``base/run_id=<name>/``: the greatest name is
-    taken from the directory listing, then only that partition is read."""
-    names = [n for n in batch_names(spark, base, run_col) if n.startswith(prefix)]
-    df = spark.read.format(fmt).load(base)
-    if not names:
-        return df.limit(0)
-    return df.where(F.col(run_col) == F.lit(max(names)))
+def read_latest_batch(spark: SparkSession, base: str, container: str, prefix: str = "",
+                      fmt: str = "parquet", schema=None) -> DataFrame:
+    """S3: the records of the lexically greatest batch whose name begins with ``prefix``,
+    taken from the stored manifest; only that batch is opened. Empty when there is none."""
+    names = list_batches(read_manifest(spark, base).where(F.col("container") == container), prefix)
+    top = names.agg(F.max("blob_name").alias("m")).first()["m"]
+    return read_batch(spark, base, container, top, fmt, schema)
 
 
 def created_since(df: DataFrame, since, col: str = "created_at") -> DataFrame:
@@ -140,8 +131,27 @@ def created_since(df: DataFrame, since, col: str = "created_at") -> DataFrame:
     return out
 
 
-def read_batch(spark: SparkSession, base: str, name: str, run_col: str = "run_id",
-               fmt: str = "parquet") -> DataFrame:
-    """Records of one named batch; an unknown name gives an empty result."""
-    df = spark.read.format(fmt).load(base)
-    return df.where(F.col(run_col) == F.lit(name))
+def read_batch(spark: SparkSession, base: str, container: str, name: str | None, fmt: str = "parquet",
+               schema=None) -> DataFrame:
+    """Records of one named batch, opening only its directory; an unknown name gives an
+    empty result (of ``schema``, if given).
+
+    A JSON batch may hold objects on lines or over many lines, and arrays of objects: an
+    object is one record, as is each element of an array. It is read with ``schema`` (the
+    batch's own fields, no inference over other batches), or as text in a column ``record``."""
+    path = os.path.join(base, container)
+    if name is None or not run_exists(spark, path, name):
+        return spark.createDataFrame([], schema or T.StructType([T.StructField("run_id", T.StringType())]))
+    if fmt != "json":
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        return reader.format(fmt).option("basePath", path).load(run_path(path, name))
+    docs = framed(spark.read.text(run_path(path, name)).select(*line_columns()), "json").select("doc")
+    value = F.try_parse_json("doc")
+    arr = F.when(F.schema_of_variant(value).startswith("ARRAY"), F.try_variant_get(value, "$", "array<variant>")) \
+        .otherwise(F.array(value))
+    record = F.to_json("record").alias("record")
+    records = docs.select(F.explode(arr).alias("record")).select(record)
+    if schema is None:
+        return records.withColumn("run_id", F.lit(name))
+    own = T.StructType([f for f in schema.fields if f.name != "run_id"])
+    return records.select(F.from_json("record", own).alias("r")).select("r.*", F.lit(name).alias("run_id"))

@@ -13,26 +13,58 @@ import os
 import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..schema import CONTACT_COLUMNS, QUARANTINE_SCHEMA, RELATIONAL_COLUMNS
+from ..schema import CONTACT_COLUMNS, MANIFEST_SCHEMA, QUARANTINE_SCHEMA, RELATIONAL_COLUMNS
 
 
 # ------------------------------------------------------------------ S5 / S6 / S14 ------
 def write_batch(df: DataFrame, base: str, container: str, run_id: str | None,
-                fmt: str = "parquet") -> str:
+                fmt: str = "parquet", newest: str | None = None) -> str:
     """One batch per container and run at ``base/container/run_id=<id>``;
     re-writing the same run replaces it (dynamic partition overwrite). With
     ``run_id=None`` the rows carry their run in a ``run_id`` column (many batches in
-    one write)."""
+    one write). The manifest of the store (S7) gets a row for each batch written, with its
+    record count and, of the column ``newest``, the greatest value: observed while one batch
+    is written, and read back from the written batches when there are many."""
     path = os.path.join(base, container)
     out = df if run_id is None else df.withColumn("run_id", F.lit(run_id))
+    newest = newest if newest in df.columns else None
+    top = (F.max(newest) if newest else F.max(F.lit(None))).cast("timestamp").alias("newest_at")
+    many = F.count(F.lit(1)).alias("record_count")
+    seen = Observation() if run_id is not None else None
+    if seen:
+        out = out.observe(seen, many, top)
     (out
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .option("compression", "zstd" if fmt == "parquet" else "none")
        .partitionBy("run_id").format(fmt).save(path))
+    spark = df.sparkSession
+    if seen:
+        got = seen.get
+        rows = spark.createDataFrame([(run_id, got["record_count"], got["newest_at"])],
+                                     "blob_name string, record_count long, newest_at timestamp")
+    else:
+        back = spark.read.schema(out.schema).format(fmt).load(path)
+        mine = df.select("run_id").distinct()      # other batches of the container keep their rows
+        rows = back.join(mine, "run_id", "left_semi").groupBy(F.col("run_id").alias("blob_name")).agg(many, top)
+    _put_manifest(rows, base, container)
     return path
 
 
+def manifest_path(base: str) -> str:
+    return os.path.join(base, "_manifest_rows")
+
+
+def _put_manifest(rows: DataFrame, base: str, container: str) -> None:
+    """Insert or replace the manifest rows of batches (one small partition each)."""
+    file = F.concat(F.lit(f"{base}/{container}/run_id="), F.col("blob_name"))
+    rows.select("record_count", "newest_at", file.alias("file_path"), F.current_timestamp().alias("created_at"),
+                F.lit(container).alias("container"), "blob_name") \
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("container", "blob_name").parquet(os.path.join(manifest_path(base), "rows"))
+
+
 def write_lines(lines: DataFrame, path: str, header: str | None = None,
                 files: int | None = None) -> str:
     """Land text (column ``line``, line breaks in it kept) as files under ``path``, replacing
@@ -76,16 +108,14 @@ def drop_stages(spark: SparkSession, base: str, run_id: str) -> None:
 
 
 # ------------------------------------------------------------------ S7 / S8 ------------
-def manifest_rows(df: DataFrame, container: str, run_col: str = "run_id",
-                  base: str | None = None) -> DataFrame:
-    """One manifest row per (container, batch) with its record count; a batch
-    written again replaces its row (one row per key by construction)."""
-    agg = df.groupBy(F.col(run_col).alias("blob_name")).agg(F.count(F.lit(1)).alias("record_count"))
-    path = F.lit(None).cast("string") if base is None else \
-        F.concat(F.lit(f"{base}/{container}/{run_col}="), F.col("blob_name"))
-    return agg.select(F.concat(F.lit(f"{container}/"), F.col("blob_name")).alias("blob_key"),
-                      F.lit(container).alias("container"), "blob_name", "record_count",
-                      path.alias("file_path"), F.current_timestamp().alias("created_at"))
+def read_manifest(spark: SparkSession, base: str) -> DataFrame:
+    """The stored manifest of a batch store, one row per batch (no batch is opened)."""
+    path = os.path.join(manifest_path(base), "rows")
+    if not _path_exists(spark, path):
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
+    stored = T.StructType([f for f in MANIFEST_SCHEMA.fields if f.name != "blob_key"])
+    return spark.read.schema(stored).parquet(path) \
+        .withColumn("blob_key", F.concat_ws("/", "container", "blob_name")).select(*MANIFEST_SCHEMA.names)
 
 
 def list_batches(manifest: DataFrame, prefix: str) -> DataFrame:
@@ -211,6 +241,29 @@ def relational_upsert_rows(target: DataFrame | None, batch: DataFrame,
     return target.select(*RELATIONAL_COLUMNS).join(last.select(key), key, "left_anti").unionByName(last)
 
 
+def relational_upsert(spark: SparkSession, path: str, batch: DataFrame, key: str = "contact_id") -> tuple[int, int]:
+    """S13 on a stored target (a snapshot at ``path``, which may not exist yet): the rows
+    replaced and the rows inserted. Conflicts are one join of the keys; the new snapshot is
+    published whole, so readers never see half an upsert."""
+    target = read_snapshot(spark, path)
+    if target is None:
+        replaced = F.lit(False)
+        rows = relational_upsert_rows(None, batch, key).withColumn("_new", F.lit(True))
+    else:
+        last = relational_upsert_rows(None, batch, key)
+        known = target.select(F.col(key).alias("_known")).distinct()
+        marked = last.join(known, last[key].eqNullSafe(known["_known"]), "left")
+        kept = target.join(last.select(F.col(key).alias("_k")), F.col(key).eqNullSafe(F.col("_k")), "left_anti")
+        replaced = F.col("_known").isNotNull()
+        rows = kept.select(*RELATIONAL_COLUMNS).withColumn("_new", F.lit(False)).withColumn("_known", F.lit(None).cast("string")) \
+            .unionByName(marked.select(*RELATIONAL_COLUMNS, "_known").withColumn("_new", F.lit(True)))
+    seen = Observation()
+    rows = rows.observe(seen, F.count_if(F.col("_new") & replaced).alias("replaced"),
+                        F.count_if(F.col("_new") & ~replaced).alias("inserted"))
+    publish_snapshot(rows.select(*RELATIONAL_COLUMNS), path, partition_by=None)
+    return seen.get["replaced"], seen.get["inserted"]
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict) -> None:
     """Optional JDBC sink of the relational target (no server is started here)."""
     df.write.jdbc(url, table, mode="overwrite", properties=properties)

@@ -10,15 +10,59 @@ from contactlake.sources import readers, sinks
 def test_batches_overwrite_and_latest(spark, tmpdir_path):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     base = os.path.join(tmpdir_path, "store")
+    assert sinks.read_manifest(spark, base).count() == 0
     sinks.write_batch(df, base, "raw", "20240101_000000_aaaa")
     sinks.write_batch(df, base, "raw", "20240102_000000_bbbb")
     sinks.write_batch(df.limit(1), base, "raw", "20240102_000000_bbbb")     # same name
-    latest = readers.read_latest_batch(spark, os.path.join(base, "raw"), "2024")
-    assert latest.count() == 1
-    assert readers.read_batch(spark, os.path.join(base, "raw"), "nope").count() == 0
-    man = sinks.manifest_rows(spark.read.parquet(os.path.join(base, "raw")), "raw")
-    assert [r["blob_name"] for r in sinks.list_batches(man, "2024").collect()] == \
-        ["20240101_000000_aaaa", "20240102_000000_bbbb"]
+    sinks.write_batch(df, base, "processed", "20240103_000000_cccc")
+    assert [r["k"] for r in readers.read_latest_batch(spark, base, "raw", "2024").collect()] == [1]
+    assert readers.read_latest_batch(spark, base, "raw", "2025").count() == 0
+    assert readers.read_batch(spark, base, "raw", "nope").count() == 0
+    assert readers.read_batch(spark, base, "raw", "nope", schema=df.schema).columns == ["k", "v"]
+    man = {r["blob_key"]: (r["record_count"], r["file_path"]) for r in sinks.read_manifest(spark, base).collect()}
+    assert man == {f"{c}/{n}": (k, f"{base}/{c}/run_id={n}") for c, n, k in (
+        ("raw", "20240101_000000_aaaa", 2), ("raw", "20240102_000000_bbbb", 1), ("processed", "20240103_000000_cccc", 2))}
+    raw = sinks.read_manifest(spark, base).where("container = 'raw'")
+    assert [r["blob_name"] for r in sinks.list_batches(raw, "2024").collect()] == ["20240101_000000_aaaa", "20240102_000000_bbbb"]
+
+
+def test_many_batches_in_one_write_keep_the_others(spark, tmpdir_path):
+    base = os.path.join(tmpdir_path, "store")
+    rows = spark.createDataFrame([("a", "2024-01-01 00:00:00"), ("a", "2024-01-03 00:00:00"), ("b", "2024-01-02 00:00:00")],
+                                 "run_id string, t string").withColumn("t", F.col("t").cast("timestamp"))
+    sinks.write_batch(rows, base, "raw", None, newest="t")
+    sinks.write_batch(rows.where("run_id = 'b'").limit(0).unionByName(rows.where("run_id = 'a'").limit(1)), base, "raw", None, newest="t")
+    got = {r["blob_name"]: (r["record_count"], str(r["newest_at"])) for r in sinks.read_manifest(spark, base).collect()}
+    assert got["b"] == (1, "2024-01-02 00:00:00") and got["a"][0] == 1
+
+
+def test_json_batch_as_objects_or_arrays(spark, tmpdir_path):
+    base = os.path.join(tmpdir_path, "store")
+    for name, text in (("lines", '{"k":1,"v":"a"}\n{"k":2}\n'), ("object", '{\n "k": 1,\n "v": "a"\n}'),
+                       ("array", '[{"k":1,"v":"a"},\n {"k":2}]'), ("empty", "")):
+        folder = os.path.join(base, "raw", f"run_id={name}")
+        os.makedirs(folder)
+        with open(os.path.join(folder, "raw_batch.json"), "w") as fh:
+            fh.write(text)
+    schema = spark.createDataFrame([], "k int, v string").schema
+    for name, want in (("lines", [(1, "a"), (2, None)]), ("object", [(1, "a")]), ("array", [(1, "a"), (2, None)]),
+                       ("empty", []), ("unknown", [])):
+        got = readers.read_batch(spark, base, "raw", name, "json", schema)
+        assert sorted((r["k"], r["v"]) for r in got.collect()) == want, name
+    assert sorted(r["record"] for r in readers.read_batch(spark, base, "raw", "array", "json").collect()) == ['{"k":1,"v":"a"}', '{"k":2}']
+
+
+def test_upsert_onto_a_filled_target(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "target")
+    kind = "contact_id string, email string, first_name string, last_name string, created_at timestamp, ingest_seq long"
+
+    def batch(*rows):
+        return spark.createDataFrame([(i, e, None, None, None, k) for k, (i, e) in enumerate(rows)], kind)
+
+    assert sinks.relational_upsert(spark, path, batch(("1", "a"), ("1", "b"), ("2", "c"))) == (0, 2)
+    assert sinks.relational_upsert(spark, path, batch(("2", "d"), ("3", "e"), ("2", "f"))) == (1, 1)
+    assert sinks.relational_upsert(spark, path, batch()) == (0, 0)
+    assert {r["contact_id"]: r["email"] for r in sinks.read_snapshot(spark, path).collect()} == {"1": "b", "2": "f", "3": "e"}
 
 
 def test_json_copy_single_object(spark, tmpdir_path):
