@@ -575,26 +575,57 @@ SELECT sha256('run_1||' || {FIXTURE_SRC_JSON}) AS id, error_type,
        'run_1' AS run_id, {AS_OF} AS quarantined_at
 FROM api_checked WHERE error_type IS NOT NULL"""
     # ---- data tests
-    nn = ["contact_id", "email", "created_at", "processed_at", "run_id"]
-    q["d1"] = "\nUNION ALL\n".join(
-        f"SELECT 'not_null' AS \"check\", '{c}' AS \"column\", COUNT_IF({c} IS NULL) AS failing_rows, "
-        f"CASE WHEN COUNT_IF({c} IS NULL) = 0 THEN 'pass' ELSE 'fail' END AS status FROM core_contacts"
-        for c in nn)
-    uq = ("SELECT 'unique' AS \"check\", '{col}' AS \"column\", COUNT_IF(k > 1) AS failing_rows, "
-          "CASE WHEN COUNT_IF(k > 1) = 0 THEN 'pass' ELSE 'fail' END AS status FROM "
-          "(SELECT contact_id, COUNT(*) AS k FROM {tab} WHERE contact_id IS NOT NULL GROUP BY contact_id) x")
-    q["d2"] = uq.format(col="contact_id", tab="core_contacts") + "\nUNION ALL\n" + \
-        uq.format(col="raw.contact_id", tab="contacts_raw")
-
-    def acc(col, vals):
+    def bodyless(k: str) -> str:
+        b = q[k].strip()
+        return ("WITH " + b[1:].strip()) if b.startswith(",") else b
+
+    suite_ctes = (f", {STG.strip()}" + "".join(f",\n{name} AS ({bodyless(k)})" for name, k in (
+        ("mart_lead_analytics", "m1"), ("mart_sales_funnel", "m2"), ("mart_industry_analytics", "m3"), ("mart_daily_trends", "m6")))
+        + f",\ncore_merged AS (SELECT {CONTACT_COLS} FROM ({dedupe_sql('stg')}) x)")
+
+    def test(tab, check, col, bad, gate=True, source=None):
+        """One data test: ``bad`` counts failing rows of ``source`` (default: the table)."""
+        no = "fail" if gate else "warn"
+        return (f"SELECT '{tab}' AS \"table\", '{check}' AS \"check\", '{col}' AS \"column\", {bad} AS failing_rows, "
+                f"CASE WHEN {bad} = 0 THEN 'pass' ELSE '{no}' END AS status FROM {source or tab}")
+
+    def unique(tab, col, gate=True, source=None):
+        groups = f"(SELECT {col}, COUNT(*) AS k FROM {source or tab} WHERE {col} IS NOT NULL GROUP BY {col}) x"
+        return test(tab, "unique", col, "COUNT_IF(k > 1)", gate, groups)
+
+    def accepted(tab, col, vals, source=None):
         lst = ", ".join("'" + v.replace("'", "''") + "'" for v in vals)
-        bad = f"COUNT_IF({col} IS NOT NULL AND {col} NOT IN ({lst}))"
-        return (f"SELECT 'accepted_values' AS \"check\", '{col}' AS \"column\", {bad} AS failing_rows, "
-                f"CASE WHEN {bad} = 0 THEN 'pass' ELSE 'fail' END AS status FROM core_contacts")
-    q["d3"] = acc("lead_status", ACCEPTED_LEAD_STATUS) + "\nUNION ALL\n" + acc("industry", ACCEPTED_INDUSTRY)
-    bad4 = "COUNT_IF(NOT COALESCE(annual_revenue >= 0, true))"
-    q["d4"] = (f"SELECT 'expression_is_true' AS \"check\", 'annual_revenue' AS \"column\", {bad4} AS failing_rows, "
-               f"CASE WHEN {bad4} = 0 THEN 'pass' ELSE 'fail' END AS status FROM core_contacts")
+        return test(tab, "accepted_values", col, f"COUNT_IF({col} IS NOT NULL AND {col} NOT IN ({lst}))", False, source)
+
+    def expression(tab, source=None):
+        return test(tab, "expression_is_true", "annual_revenue", "COUNT_IF(NOT COALESCE(annual_revenue >= 0, true))", False, source)
+
+    def layer_tests(core):
+        keyed = {"contacts_raw": ("contact_id", "email", "run_id"), "contacts_quarantine": ("id",),
+                 "stg_contacts": ("contact_id", "email", "run_id"),
+                 "core_contacts": ("contact_id", "email", "created_at", "processed_at", "run_id")}
+        at = {"contacts_quarantine": "invalid_contacts", "stg_contacts": "stg", "core_contacts": core}
+        return {
+            "d1": [test(t, "not_null", c, f"COUNT_IF({c} IS NULL)", True, at.get(t)) for t, cs in keyed.items() for c in cs]
+            + [test(t, "not_null", c, f"COUNT_IF({c} IS NULL)") for t, c in (
+                ("mart_lead_analytics", "lead_source"), ("mart_sales_funnel", "stage"),
+                ("mart_industry_analytics", "industry"), ("mart_daily_trends", "date"))],
+            "d2": [unique("contacts_quarantine", "id", True, "invalid_contacts"), unique("stg_contacts", "contact_id", False, "stg"),
+                   unique("core_contacts", "contact_id", True, core)],
+            "d3": [accepted("stg_contacts", "lead_status", ACCEPTED_LEAD_STATUS, "stg"),
+                   accepted("core_contacts", "lead_status", ACCEPTED_LEAD_STATUS, core),
+                   accepted("core_contacts", "industry", ACCEPTED_INDUSTRY, core)],
+            "d4": [expression("stg_contacts", "stg"), expression("core_contacts", core)]}
+
+    for k, parts in layer_tests("core_contacts").items():
+        q[k] = suite_ctes + "\n" + "\nUNION ALL\n".join(parts)
+    nodes = ["stg_contacts", "core_contacts", "mart_lead_analytics", "mart_sales_funnel", "mart_industry_analytics",
+             "mart_conversion_metrics", "mart_data_quality", "mart_daily_trends", "mart_broken"]
+    built = [f"SELECT '{n}' AS \"table\", 'build' AS \"check\", NULL AS \"column\", NULL AS failing_rows, "
+             f"'{'failed' if n == 'mart_broken' else 'built'}' AS status" for n in nodes]
+    every = "\nUNION ALL\n".join(built + [p for parts in layer_tests("core_merged").values() for p in parts])
+    q["c6"] = f"""{suite_ctes}
+SELECT "table" AS node, "check", "column", failing_rows, status, false AS good FROM ({every}) t"""
 
     def fresh(name, tab, col, warn, err):
         age = f"((epoch_us({AS_OF}) - epoch_us(MAX({col}))) / 3600000000.0)"

@@ -21,9 +21,10 @@ from ..constants import CONTAINER_INVALID, CONTAINER_PROCESSED, CONTAINER_RAW
 from ..operators.core import TS_TEXT, merge_snapshot, watermark_filter
 from ..operators.staging import stg_contacts
 from ..operators.validate import split, validate
-from ..schema import CONTACT_COLUMNS, RUN_AUDIT_SCHEMA
+from ..schema import CONTACT_COLUMNS, CONTACT_SCHEMA, QUARANTINE_SCHEMA, RUN_AUDIT_SCHEMA
 from ..session import ensure_utc, scratch_path
 from ..sources import corestore, readers, sinks
+from .model import Outcome, outcome_rows, run_model
 
 
 def new_run_id(now: _dt.datetime | None = None) -> str:
@@ -66,6 +67,14 @@ class Warehouse:
     def audit(self):
         return os.path.join(self.root, "run_audit")
 
+    @property
+    def marts(self):
+        return os.path.join(self.root, "marts")
+
+    @property
+    def model_runs(self):
+        return os.path.join(self.root, "model_runs")
+
     @property
     def batches(self):
         return os.path.join(self.root, "batches")
@@ -120,6 +129,10 @@ def merge_core(spark: SparkSession, wh: Warehouse, run_id: str, mode: str = "run
         source = watermark_filter(stg_contacts(raw), None, mark=mark)
     else:
         raise ValueError(f"unknown merge mode {mode!r}")
+    return _merge(spark, wh, source, mode, now, publish, mark)
+
+
+def _merge(spark: SparkSession, wh: Warehouse, source: DataFrame, mode: str, now, publish: str, mark) -> int:
     if publish == "snapshot":
         target = sinks.read_core(spark, wh.core)
         one = source.agg(F.countDistinct("contact_id").alias("k"),
@@ -135,6 +148,27 @@ def merge_core(spark: SparkSession, wh: Warehouse, run_id: str, mode: str = "run
     return corestore.merge(spark, wh.core, rows, scratch_path(spark, "merge-staging"))["affected"]
 
 
+def model_run(spark: SparkSession, wh: Warehouse, run_id: str, now=None, publish: str = "partitions") -> Outcome:
+    """Staging, core (by watermark), marts and data tests (``plans.model``) over the runs
+    that are newer than the core's mark. The outcome is kept as rows under ``model_runs``."""
+    now = _clock_text(now)
+    mark = sinks.read_watermark(spark, wh.core)
+    runs = sinks.raw_runs_after(spark, wh.raw, mark)
+    raw = spark.createDataFrame([], CONTACT_SCHEMA) if runs == [] else \
+        spark.read.parquet(wh.raw) if runs is None else sinks.read_runs(spark, wh.raw, runs)
+    quarantine = spark.read.parquet(wh.quarantine) if sinks.run_exists(spark, wh.quarantine, run_id) else \
+        spark.createDataFrame([], QUARANTINE_SCHEMA)
+
+    def core(staging: DataFrame) -> DataFrame:
+        _merge(spark, wh, watermark_filter(staging, None, mark=mark), "watermark", now, publish, mark)
+        return sinks.read_core(spark, wh.core)
+
+    out = run_model(spark, raw, quarantine, stg_contacts, core, wh.marts, now)
+    outcome_rows(spark, out).withColumn("run_id", F.lit(run_id)).coalesce(1).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(wh.model_runs)
+    return out
+
+
 def process_validated(spark: SparkSession, annotated: DataFrame, wh: Warehouse, run_id: str,
                       mode: str = "run", now=None, archive_processed: bool = False,
                       log=print, publish: str = "partitions") -> RunStats:
@@ -160,11 +194,13 @@ def process_validated(spark: SparkSession, annotated: DataFrame, wh: Warehouse,
     stats.raw_loaded = sinks.append_raw(valid, wh.raw, run_id, now)
     stats.quarantined = sinks.append_quarantine(invalid, wh.quarantine, run_id, now)
     if mode == "model":                              # C6: model path, fallback to merge
-        try:
-            merge_core(spark, wh, run_id, "watermark", now, publish)
+        out = model_run(spark, wh, run_id, now, publish)
+        if out.good:
             stats.core_merged, stats.model_run = -1, True
-        except Exception as exc:  # noqa: BLE001
-            log(f"model merge failed ({exc}); falling back to run merge")
+        else:
+            bad = [f"{n}: {s}" for n, s in out.nodes.items() if s != "built"] + \
+                [f"{t[0]}.{t[2]} {t[1]}: {t[3]}" for t in out.tests if t[4] == "fail"]
+            log(f"model run failed ({'; '.join(bad)}); falling back to run merge")
             stats.core_merged = merge_core(spark, wh, run_id, "run", now, publish)
     else:
         stats.core_merged = merge_core(spark, wh, run_id, mode, now, publish)
