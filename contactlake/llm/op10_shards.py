@@ -18,8 +18,9 @@ from pyspark.sql import types as T
 
 from contactlake.llm.common import col, small_batches, staged, table
 
-#: virtual nodes of a shard; parts of each arc, so that rows of one key spread over tasks
-NODES, PARTS = 64, 128
+#: virtual nodes of a shard; parts of each arc, so that rows of one key spread over tasks, and
+#: of equal rows, so that they do
+NODES, PARTS, SALTS = 64, 128, 64
 SHARDS = 8
 
 
@@ -62,7 +63,10 @@ def placed(counts: list[int], owner: list[int], room: list[int]) -> list[list[tu
     return runs
 
 
-_ARCS = T.StructType([T.StructField("arc", T.IntegerType()), T.StructField("part", T.IntegerType())])
+def _hashed(docs: DataFrame, columns: list[str]) -> list:
+    """The columns that can be hashed."""
+    return [col(f.name) for f in docs.schema if f.name in columns
+            and not any(x in f.dataType.simpleString() for x in ("map<", "variant"))]
 
 
 def assign(docs: DataFrame, ident: str = "doc_id", keep=None, shards: int = SHARDS, nodes: int = NODES,
@@ -71,15 +75,17 @@ def assign(docs: DataFrame, ident: str = "doc_id", keep=None, shards: int = SHAR
 
     The key is the id; a null id is a key like any other, and rows of one key (or many, on
     one arc) are ranked in ``parts`` parts, so no task holds a hot key. Which of such rows
-    overflow goes by part and id. The driver handles one count per part of an arc
-    (``shards * nodes * parts`` numbers), never rows. An empty table gives no rows.
+    overflow goes by a hash of id and kept columns: the same table gives the same shards in
+    whatever files and splits it comes. Only rows that are equal in all of these are told
+    apart by their position, and dealt over tasks by it. The driver handles one count per part
+    of an arc (``shards * nodes * parts`` numbers), never rows. An empty table gives no rows.
     """
     spark = docs.sparkSession
     small_batches(spark, 10_000)
     columns = docs.columns if keep is None else list(keep)
-    rows = docs.select(F.struct(*[col(c) for c in columns]).alias("row"), col(ident).alias("ident"),
+    rows = docs.select(F.struct(*[col(c) for c in columns]).alias("row"), F.xxhash64(col(ident)).alias("key"),
+                       F.xxhash64(col(ident), *_hashed(docs, columns)).alias("same"),
                        F.monotonically_increasing_id().alias("at"))
-    rows = rows.select("row", "ident", "at", F.xxhash64("ident").alias("key"))
     points, owner = ring(shards, nodes)
 
     def arcs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,7 +95,9 @@ def assign(docs: DataFrame, ident: str = "doc_id", keep=None, shards: int = SHAR
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(arc, pa.int32())], [*b.schema.names, "arc"])
 
     known = rows.mapInArrow(arcs, T.StructType([*rows.schema.fields, T.StructField("arc", T.IntegerType())]))
-    known = staged(known.withColumn("part", F.pmod(F.xxhash64("ident", "at"), F.lit(parts)).cast("int")), "ring")
+    known = known.withColumn("part", F.pmod(F.xxhash64("same"), F.lit(parts)).cast("int")) \
+        .withColumn("salt", F.pmod("at", F.lit(SALTS)).cast("int"))
+    known = staged(known, "ring")
 
     sizes = {(r["arc"], r["part"]): r["n"] for r in known.groupBy("arc", "part").agg(F.count("*").alias("n")).collect()}
     counts = [sum(sizes.get((a, p), 0) for p in range(parts)) for a in range(len(points))]
@@ -104,8 +112,13 @@ def assign(docs: DataFrame, ident: str = "doc_id", keep=None, shards: int = SHAR
             first += n
     plan = spark.createDataFrame(plan, "arc int, part int, first long, "
                                        "runs array<struct<start:long,end:long,shard:int,slot:long>>")
-    ranked = known.withColumn("rank", F.row_number().over(Window.partitionBy("arc", "part").orderBy("ident", "at")) - 1).join(plan, ["arc", "part"])
-    rank = F.col("first") + F.col("rank")
+    alike = ["arc", "part", "same", "salt"]
+    ahead = Window.partitionBy("arc", "part").orderBy("same", "salt")
+    before = known.groupBy(*alike).agg(F.count("*").alias("n")) \
+        .select(*alike, (F.sum("n").over(ahead) - F.col("n")).alias("before"))
+    ranked = known.withColumn("nth", F.row_number().over(Window.partitionBy(*alike).orderBy("at")) - 1) \
+        .join(before, alike).join(plan, ["arc", "part"])
+    rank = F.col("first") + F.col("before") + F.col("nth")
     run = F.filter("runs", lambda r: (r["start"] <= rank) & (rank < r["end"]))[0]
     return ranked.select("row", run["shard"].alias("shard"), (run["slot"] + rank - run["start"]).alias("slot"))
 

@@ -31,6 +31,49 @@ def test_few_rows_move_when_rows_come(make_docs):
     assert sum(before[i] != after[i] for i in before) < 0.05 * len(before)
 
 
+def test_placement_does_not_follow_the_files(make_docs):
+    rows = ids(1000) + [(5, f"other {k}", "s") for k in range(300)] + [(7, "same", "s")] * 200
+    want = Counter()
+    for k, docs in enumerate([make_docs(rows).coalesce(1), make_docs(rows[::-1]).repartition(7),
+                              make_docs(rows).repartition(5, "text").sortWithinPartitions("text")]):
+        got = Counter((r.row.doc_id, r.row.text, r.shard) for r in op.assign(docs).collect())
+        assert not k or got == want
+        want = got
+
+
+def by_hand(keys, shards):
+    """The ring in plain Python: each key's rows go to the first node clockwise, and on."""
+    import xxhash
+    nodes = sorted((xxhash.xxh64_intdigest(f"{s}/{v}", 0), s) for s in range(shards) for v in range(op.NODES))
+    arcs = [next((i for i, (at, _) in enumerate(nodes) if at >= k % 2**64), 0) for k in keys]
+    room = [len(keys) // shards + (s < len(keys) % shards) for s in range(shards)]
+    left = [arcs.count(i) for i in range(len(nodes))]
+    took = Counter()
+    for i, (_, s) in enumerate(nodes):
+        n = min(left[i], room[s])
+        took[i, s] += n
+        left[i] -= n
+        room[s] -= n
+    for i in range(len(nodes)):
+        k = i
+        while left[i]:
+            k = (k + 1) % len(nodes)
+            s = nodes[k][1]
+            n = min(left[i], room[s])
+            took[i, s] += n
+            left[i] -= n
+            room[s] -= n
+    return arcs, +took
+
+
+def test_loads_of_every_arc_are_those_of_a_plain_ring(spark, make_docs):
+    from pyspark.sql import functions as F
+    docs = make_docs(ids(700) + [(1, "same", "s")] * 400)
+    got = op.assign(docs, keep=["doc_id"]).select("row.doc_id", "shard", F.xxhash64("row.doc_id").alias("key")).collect()
+    arcs, took = by_hand([r.key for r in got], op.SHARDS)
+    assert Counter((a, r.shard) for a, r in zip(arcs, got)) == took
+
+
 def test_slack_bounds_the_loads_and_keeps_more_rows_at_home(make_docs):
     points, owner = op.ring(op.SHARDS)
     tight = op.assign(make_docs(ids(3000)))
