@@ -25,6 +25,8 @@ from contactlake.llm.words import ALNUM, Words
 ORDER, ALPHA = 3, 0.4
 #: text bytes of a slice (or one text)
 SLICE_BYTES = 9 << 20
+#: words of the corpus for each hash partition of the n-grams of one length: what one call sums
+PART_WORDS = 1 << 20
 
 SCORE = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("log_score", T.DoubleType())])
 
@@ -212,13 +214,15 @@ def backoff_scores(docs: DataFrame, text: str = "text", keep=None, order: int =
     n-gram. A word seen nowhere counts as ``alpha`` times seen. With ``leave_out`` the counts
     a document is scored with do not include its own (repeated rows are documents each, and
     count for each other). A null or empty text has no words and score zero. ``parts``
-    (rounded to a power of two; default: the shuffle partitions) divide the count tables.
+    (rounded to a power of two) divide the count tables; by default they grow with the words of
+    the corpus, so that a partition stays at about ``PART_WORDS`` n-grams. A slice asks at most
+    as many of them as it has n-grams.
     """
     spark = docs.sparkSession
     small_batches(spark, 5000)
     keep = docs.columns if keep is None else list(keep)
-    parts = 1 << max(0, (parts or int(spark.conf.get("spark.sql.shuffle.partitions"))) - 1).bit_length()
     total = count_words(docs, text)
+    parts = 1 << max(0, (parts or -(-total // PART_WORDS)) - 1).bit_length()
     slices = _slices(docs, text, keep).repartition("slice")
     answers = _requests(slices, order, parts).groupBy("n", "part").applyInArrow(_answer, _ANSWER) \
         .groupBy("slice").agg(F.sort_array(F.collect_list(F.struct("n", "part", "size", "elsewhere"))).alias("answers"))
