@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..constants import UNASSIGNED_STAGE, UNKNOWN
 from ..functions.expr import (as_of_lit, conversion_rate, converted_count, days_before,
                               is_converted, pct, round_half_up, safe_div, status_rank)
+from ..schema import INGEST_DAY
 
 
 
@@ -27,6 +28,8 @@ def since(df: DataFrame, as_of, days: int, col: str = "created_at") -> DataFrame
     out = df.where(F.col(col) >= lower)
     if col == "created_at" and "created_month" in df.columns:
         out = out.where(F.col("created_month") >= F.trunc(F.to_date(lower), "month"))
+    if col == "processed_at" and INGEST_DAY in df.columns:
+        out = out.where(F.col(INGEST_DAY) >= F.to_date(lower))
     return out
 
 

@@ -47,6 +47,9 @@ QUARANTINE_SCHEMA = T.StructType([
     T.StructField("quarantined_at", TS, False),
 ])
 
+# raw and quarantine as written: partitioned by run and by the day of ingestion
+INGEST_DAY = "ingest_date"
+
 API_PROPERTIES_SCHEMA = T.StructType(
     [T.StructField(p, S) for p in API_PROPERTIES + API_EXTRA_PROPERTIES])
 API_SCHEMA = T.StructType([

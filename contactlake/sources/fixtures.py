@@ -296,7 +296,7 @@ def write_store(raw: DataFrame, invalid: DataFrame, base: str) -> str:
     from ..constants import CONTAINER_INVALID, CONTAINER_RAW
     from .sinks import write_batch
     write_batch(raw, base, CONTAINER_RAW, None, newest="processed_at")
-    write_batch(invalid, base, CONTAINER_INVALID, None, newest="processed_at")
+    write_batch(invalid, base, CONTAINER_INVALID, None, newest="processed_at", day="processed_at")
     return base
 
 

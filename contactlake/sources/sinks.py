@@ -15,18 +15,19 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import CONTACT_COLUMNS, MANIFEST_SCHEMA, QUARANTINE_SCHEMA, RELATIONAL_COLUMNS
+from ..schema import CONTACT_COLUMNS, INGEST_DAY, MANIFEST_SCHEMA, QUARANTINE_SCHEMA, RELATIONAL_COLUMNS
 
 
 # ------------------------------------------------------------------ S5 / S6 / S14 ------
 def write_batch(df: DataFrame, base: str, container: str, run_id: str | None,
-                fmt: str = "parquet", newest: str | None = None) -> str:
+                fmt: str = "parquet", newest: str | None = None, day: str | None = None) -> str:
     """One batch per container and run at ``base/container/run_id=<id>``;
     re-writing the same run replaces it (dynamic partition overwrite). With
     ``run_id=None`` the rows carry their run in a ``run_id`` column (many batches in
     one write). The manifest of the store (S7) gets a row for each batch written, with its
     record count and, of the column ``newest``, the greatest value: observed while one batch
-    is written, and read back from the written batches when there are many."""
+    is written, and read back from the written batches when there are many. ``day``: a batch is
+    divided by the days of that column, each in files of a balanced size."""
     path = os.path.join(base, container)
     out = df if run_id is None else df.withColumn("run_id", F.lit(run_id))
     newest = newest if newest in df.columns else None
@@ -35,10 +36,11 @@ def write_batch(df: DataFrame, base: str, container: str, run_id: str | None,
     seen = Observation() if run_id is not None else None
     if seen:
         out = out.observe(seen, many, top)
-    (out
+    written = out if not day else by_day(out, day) if run_id is None else out.withColumn(INGEST_DAY, F.to_date(day))
+    (written
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .option("compression", "zstd" if fmt == "parquet" else "none")
-       .partitionBy("run_id").format(fmt).save(path))
+       .partitionBy("run_id", *([INGEST_DAY] if day else [])).format(fmt).save(path))
     spark = df.sparkSession
     if seen:
         got = seen.get
@@ -52,6 +54,12 @@ def write_batch(df: DataFrame, base: str, container: str, run_id: str | None,
     return path
 
 
+def by_day(rows: DataFrame, column: str) -> DataFrame:
+    """Rows with the day of a time column, dealt so that a day's files are neither many small
+    ones nor one large one (the shuffle is cut and joined by measured sizes)."""
+    return rows.withColumn(INGEST_DAY, F.to_date(column)).hint("rebalance", INGEST_DAY)
+
+
 def manifest_path(base: str) -> str:
     return os.path.join(base, "_manifest_rows")
 
@@ -124,21 +132,41 @@ def list_batches(manifest: DataFrame, prefix: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ S10-S12 ------------
-def _write_run_counted(rows: DataFrame, table_path: str, newest: str | None = None):
-    """Replace the run's partition of a table partitioned by ``run_id`` and return the
-    rows written (and, with ``newest``, that column's maximum as UTC text). Both are
-    observed while writing (no second scan of the output); metrics of failed task
-    attempts are not counted."""
+def _write_run_counted(rows: DataFrame, table_path: str, newest: str | None = None, day: str | None = None,
+                       run_id: str | None = None):
+    """Replace the run's partition of a table partitioned by ``run_id`` (and, with ``day``, by
+    the day of that column) and return the rows written (and, with ``newest``, that column's
+    maximum as UTC text). Both are observed while writing (no second scan of the output);
+    metrics of failed task attempts are not counted. Days that an earlier attempt of the run
+    wrote, and this one did not reach, are removed."""
     obs = Observation()
     metrics = [F.count(F.lit(1)).alias("n")]
     if newest:
         metrics.append(F.date_format(F.max(newest), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("m"))
-    rows.observe(obs, *metrics).write.mode("overwrite") \
-        .option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(table_path)
+    if day:
+        metrics += [F.min(F.to_date(day)).cast("string").alias("first"), F.max(F.to_date(day)).cast("string").alias("last")]
+    out = rows.observe(obs, *metrics)
+    # a run has one clock, so its day is one partition and needs no dealing
+    (out.withColumn(INGEST_DAY, F.to_date(day)) if day else out).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy("run_id", *([INGEST_DAY] if day else [])).parquet(table_path)
     got = obs.get
+    if day and got["n"]:
+        spark = rows.sparkSession
+        for name in _partitions(spark, run_path(table_path, run_id), INGEST_DAY):
+            if name[:1].isdigit() and not got["first"] <= name <= got["last"]:
+                _delete_path(spark, os.path.join(run_path(table_path, run_id), f"{INGEST_DAY}={name}"))
     return (int(got["n"]), got["m"]) if newest else int(got["n"])
 
 
+def _partitions(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of the partition directories of a folder."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    return [n[len(column) + 1:] for n in names if n.startswith(column + "=")]
+
+
 def run_path(table_path: str, run_id: str) -> str:
     """Directory of one run's partition (the name escaped as Spark writes it)."""
     from pyspark import SparkContext
@@ -184,7 +212,7 @@ def append_raw(valid: DataFrame, table_path: str, run_id: str, processed_at=None
     extra = [c for c in ("ingest_seq",) if c in valid.columns]
     out = valid.select(*[c for c in CONTACT_COLUMNS if c not in ("processed_at", "run_id")],
                        stamp.alias("processed_at"), F.lit(run_id).alias("run_id"), *extra)
-    n, newest = _write_run_counted(out, table_path, newest="processed_at")
+    n, newest = _write_run_counted(out, table_path, "processed_at", "processed_at", run_id)
     # one manifest row per run (replaced with the run): lets a watermark merge open only
     # the runs newer than its mark
     spark = valid.sparkSession
@@ -207,7 +235,7 @@ def quarantine_rows(invalid: DataFrame, run_id: str, quarantined_at=None) -> Dat
 def append_quarantine(invalid: DataFrame, table_path: str, run_id: str,
                       quarantined_at=None) -> int:
     """Write the run's invalid records into the quarantine table."""
-    return _write_run_counted(quarantine_rows(invalid, run_id, quarantined_at), table_path)
+    return _write_run_counted(quarantine_rows(invalid, run_id, quarantined_at), table_path, day="quarantined_at", run_id=run_id)
 
 
 def append_table(df: DataFrame, table_path: str, schema=None, partition_by=None) -> int:

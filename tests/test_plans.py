@@ -69,3 +69,9 @@ def test_deal_sizes_read_the_deals_once(spark, written):
     p = df._jdf.queryExecution().executedPlan().toString()
     final = p.split("Initial Plan")[0]
     assert len(re.findall(r"FileScan parquet", final)) == 1
+
+
+def test_quarantine_windows_prune_days(spark, written):
+    for df in (analytics.a21_errors_per_day(written.invalid_contacts, fixtures.AS_OF),
+               analytics.a24_daily_error_rate(written.invalid_contacts, written.core_contacts, fixtures.AS_OF)):
+        assert re.search(r"PartitionFilters: \[[^\n]*ingest_date", plan(df))

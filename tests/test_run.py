@@ -127,3 +127,13 @@ def test_stream_empty_file_is_a_zero_run(spark, tmpdir_path):
     q.awaitTermination(300)
     audit = spark.read.parquet(os.path.join(wh, "run_audit")).collect()
     assert [(r["total"], r["core_merged"]) for r in audit] == [(0, 0)]
+
+
+def test_a_run_again_on_another_day_replaces_its_rows(spark, tmpdir_path):
+    page = mock.write_mock_page(os.path.join(tmpdir_path, "page.json"))
+    wh = os.path.join(tmpdir_path, "wh")
+    for day in ("2024-03-01", "2024-03-02"):
+        run_batch(spark, page, "json", wh, run_id="r", now=f"{day} 00:00:00", log=lambda m: None)
+    for table, rows in (("contacts_raw", 2), ("contacts_quarantine", 1)):
+        got = spark.read.parquet(os.path.join(wh, table))
+        assert got.count() == rows and {str(r["ingest_date"]) for r in got.collect()} == {"2024-03-02"}
