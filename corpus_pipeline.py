@@ -34,7 +34,13 @@ def _with_text(rows: DataFrame, columns: list[str], new: Column) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules, without the lines above the host's limit."""
+    """Documents that pass the quality rules, without the lines above the host's limit.
+
+    A null or empty text fails (fewer words than the least) and goes. Very long texts are judged
+    whole. Repeated rows of one host share one verdict and count once for its lines; rows that
+    tie for keeping a line are equal texts, and all keep it. A null host is a host of its own.
+    An empty table gives none; other columns come back as they were, and ``n_chars`` follows a
+    text that lost lines."""
     small_batches(spark)
     judged = op6_quality.quality_rules(docs, share=op6_quality.MOST_SHARE).filter("kept")
     hit = F.size("removed") > 0
@@ -43,25 +49,42 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of SimHash near-duplicates."""
+    """One document of each group of SimHash near-duplicates: the one of least id, null ids last.
+
+    Null, empty and blank texts have fingerprint zero and are one group. Very long texts are
+    hashed whole. Of repeated rows, and of rows that tie for the least id, one stays. An empty
+    table gives none; all columns come back as they were."""
     return op8_simhash.one_of_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of a benchmark item."""
+    """Documents that hold no window of a benchmark item.
+
+    Null and empty texts have no words and stay; very long texts are searched whole; repeated
+    rows are judged alike, each by itself, so there are no ties. Items that are null or have no
+    words hit nothing. An empty table gives none; all columns come back as they were."""
     found = op2_winnow.decontaminate(docs, table(spark, sf_dir, "benchmark"))
     clean = found.filter(F.size("out.spans") == 0)
     return clean.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets replaced by their kinds."""
+    """All documents, with secrets replaced by their kinds.
+
+    Null and empty texts have none and stay as they are; very long texts are scanned whole;
+    repeated rows are masked alike. Overlapping spans are one run, named by the first (ties by
+    the order of kinds). An empty table gives none; other columns come back as they were, and
+    ``n_chars`` follows a masked text."""
     return _with_text(op9_secrets.find_secrets(docs, masked=True), docs.columns, F.col("out.masked"))
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every document, and whether they decode to its text. White-space
-    signs of the vocabulary in a text decode to white space."""
+    signs of the vocabulary in a text decode to white space.
+
+    A null text counts as empty and has no ids; very long texts are encoded whole; repeated rows
+    each, alike; pieces of equal score merge from the left, as in the library. An empty table
+    gives none."""
     coded = op4_pieces.encode(docs.select("doc_id", "lang", "source", F.coalesce("text", F.lit("")).alias("text")),
                               public_tokenizers.path(op4_pieces.MODEL), decoded=True)
     return coded.select("row.doc_id", "row.lang", "row.source", F.size("out.ids").cast("long").alias("n_tokens"),
