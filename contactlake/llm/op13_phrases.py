@@ -2,13 +2,15 @@
 
 The occurrence relation holds, sorted by piece and position, the group of every occurrence.
 Each level joins it with itself at the next position, counts the groups, keeps the frequent
-ones by a semi-join, and goes on with the occurrences that are left. A slice of documents is
-one row of packed columns, so the join is a merge inside the slice (no piece lies in two),
-and what is counted and semi-joined across slices are the slice's distinct groups.
+ones by a semi-join, and goes on with the occurrences that are left. The occurrences of a
+slice of documents are packed, so the join is a merge inside the slice (no piece lies in
+two). What is counted and semi-joined across slices are its distinct groups: words in rows,
+pairs of groups packed by the part that they hash to.
 """
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +19,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contactlake.llm.common import col, lists, pieces, small_batches, staged, table
-from contactlake.llm.words import run_hashes
+from contactlake.llm.common import col, pieces, small_batches, staged, table
+from contactlake.llm.words import mix, run_hashes
+from contactlake.session import scratch_path
 
 #: occurrences of a candidate, and words of the longest one
 LEAST, LONGEST = 30, 4
@@ -26,19 +29,67 @@ LEAST, LONGEST = 30, 4
 SHARE, SCALE, TOP = 80, 2_000_000, 2000
 UNKNOWN = "und"
 #: rows and bytes of the text that make a slice
-SLICE_ROWS, SLICE_BYTES = 5000, 8 << 20
+SLICE_ROWS, SLICE_BYTES = 2500, 4 << 20
+#: rows of one Arrow batch; pairs that one part counts, about
+GROUP_ROWS, PART_PAIRS = 10_000, 1_000_000
+#: words that are compared byte by byte at once
+CHECKED = 50_000
+#: bits for the slices of a task, for the words of a slice and for the frequent pairs of a part
+SLICE_BITS, PLACE_BITS, ID_BITS = 12, 31, 32
 
 # Signs between pieces, and signs between words of a piece
 PIECE_ENDS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 _ENDS, _APART = (np.isin(np.arange(256), np.frombuffer(s, np.uint8)) for s in (PIECE_ENDS, PIECE_ENDS + BLANKS))
 
-_LONGS, _INTS = T.ArrayType(T.LongType()), T.ArrayType(T.IntegerType())
-_PLACES = [T.StructField("count", _LONGS), T.StructField("gap", _INTS), T.StructField("item", _INTS)]
-WORD_OCCURRENCES = T.StructType([T.StructField("slice", T.LongType()), T.StructField("lang", T.ArrayType(T.StringType())),
-                                 T.StructField("word", T.ArrayType(T.StringType())), *_PLACES])
-PAIR_OCCURRENCES = T.StructType([T.StructField("slice", T.LongType()), T.StructField("a", _LONGS),
-                                 T.StructField("b", _LONGS), *_PLACES])
+_LONGS = T.ArrayType(T.LongType())
+
+
+#: words of a slice (``at``: its number there) in a row each, and a row with the packed ``places``
+WORD_OCCURRENCES = T.StructType([
+    T.StructField("slice", T.LongType()), T.StructField("at", T.IntegerType()), T.StructField("lang", T.StringType()),
+    T.StructField("word", T.StringType()), T.StructField("count", T.LongType()), T.StructField("places", T.BinaryType())])
+#: pairs of a slice, packed in a row for each part that they hash to (``data``), and a row with
+#: the packed ``places`` and the pairs in each part (``sizes``); a pair's number in the slice
+#: goes by part, then by pair
+PAIR_OCCURRENCES = T.StructType([
+    T.StructField("slice", T.LongType()), T.StructField("part", T.LongType()), T.StructField("data", T.BinaryType()),
+    T.StructField("places", T.BinaryType()), T.StructField("sizes", T.BinaryType())])
+#: what a part answers: to each slice which of its pairs are frequent (``data``), and the pairs
+FREQUENT_PAIRS = T.StructType([
+    T.StructField("slice", T.LongType()), T.StructField("part", T.LongType()), T.StructField("data", T.BinaryType()),
+    *[T.StructField(n, T.LongType()) for n in ("id", "a", "b", "f")]])
+
+
+def packed(*columns: np.ndarray) -> bytes:
+    """Columns of equally many numbers, byte by byte (high bytes are mostly alike), compressed."""
+    flat = b"".join(np.ascontiguousarray(c, np.int64).view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns)
+    return len(columns[0]).to_bytes(8, "little") + pa.compress(flat, "zstd", asbytes=True)
+
+
+def unpacked(blob: bytes, columns: int) -> np.ndarray:
+    """The columns, as rows of an array."""
+    n = int.from_bytes(blob[:8], "little")
+    flat = np.frombuffer(pa.decompress(blob[8:], 8 * n * columns, "zstd"), np.uint8)
+    return np.ascontiguousarray(flat.reshape(columns, 8, n).transpose(0, 2, 1)).view(np.int64).reshape(columns, n)
+
+
+def _batch(schema: T.StructType, **columns) -> pa.RecordBatch:
+    """Rows with the given columns, and nulls elsewhere."""
+    kinds = {T.LongType(): pa.int64(), T.IntegerType(): pa.int32(), T.StringType(): pa.string(), T.BinaryType(): pa.binary()}
+    n = len(next(iter(columns.values())))
+    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], kinds[f.dataType]) if f.name in columns
+                                       else pa.nulls(n, kinds[f.dataType]) for f in schema.fields], schema.names)
+
+
+def _same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> bool:
+    """Whether the runs of ``size`` bytes at ``a`` and at ``b`` are equal, some runs at a time."""
+    for low in range(0, len(a), CHECKED):
+        n = size[low:low + CHECKED]
+        inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        if (data[np.repeat(a[low:low + CHECKED], n) + inside] != data[np.repeat(b[low:low + CHECKED], n) + inside]).any():
+            return False
+    return True
 
 
 def words_of(texts: list[str], langs: list[str]) -> dict[str, list | np.ndarray]:
@@ -62,10 +113,7 @@ def words_of(texts: list[str], langs: list[str]) -> dict[str, list | np.ndarray]
     _, first, item, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
     size, raw = end - start, low.tobytes()
     alike = (code[first][item] == code).all() and (size[first][item] == size).all()
-    if alike:
-        inside = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-        alike = (low[np.repeat(start, size) + inside] == low[np.repeat(start[first][item], size) + inside]).all()
-    if not alike:  # two words of one hash
+    if not alike or not _same_bytes(low, start, start[first][item], size):  # two words of one hash
         every = np.empty(len(start), object)
         every[:] = [(c, raw[a:b]) for c, a, b in zip(code.tolist(), start.tolist(), end.tolist())]
         _, first, item, count = np.unique(every, return_index=True, return_inverse=True, return_counts=True)
@@ -81,78 +129,144 @@ def word_occurrences(docs: DataFrame, text: str, lang: str) -> DataFrame:
                        F.coalesce(col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
+        number = TaskContext.get().partitionId() << SLICE_BITS
         for batch in batches:
             for part in pieces(batch, 0, SLICE_BYTES):
                 got = words_of(part.column(0).to_pylist(), part.column(1).to_pylist())
-                kinds = (pa.string(), pa.string(), pa.int64(), pa.int32(), pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([number]), *[lists(v, [len(v)], k) for v, k in zip(got.values(), kinds)]],
-                    WORD_OCCURRENCES.names)
+                yield _batch(WORD_OCCURRENCES, slice=[number], places=[packed(got["gap"], got["item"])])
+                for low in range(0, len(got["count"]), GROUP_ROWS):
+                    rows = slice(low, low + GROUP_ROWS)
+                    n = len(got["count"][rows])
+                    yield _batch(WORD_OCCURRENCES, slice=np.full(n, number), at=np.arange(low, low + n, dtype=np.int32),
+                                 lang=got["lang"][rows], word=got["word"][rows], count=got["count"][rows])
                 number += 1
+                if not number % (1 << SLICE_BITS):
+                    raise ValueError("a scan split of more than 4096 slices: lower spark.sql.files.maxPartitionBytes")
 
     return slim.mapInArrow(run, WORD_OCCURRENCES)
 
 
-def _per_row(rows: DataFrame, fn: Callable[[dict], tuple], names: list[str], out: T.StructType) -> DataFrame:
-    """One row of lists for each row: ``fn`` gets the row's lists as numpy arrays."""
-    kinds = [pa.int32() if f.dataType == _INTS else pa.int64() for f in out.fields[1:]]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for j in range(batch.num_rows):
-                row = {n: batch.column(n)[j].values.to_numpy(zero_copy_only=False) for n in names}
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("slice").slice(j, 1), *[lists(v, [len(v)], k) for v, k in zip(fn(row), kinds)]], out.names)
-
-    return rows.mapInArrow(run, out)
-
-
-def groups(relation: DataFrame, keys: tuple[str, str]) -> DataFrame:
-    """``(slice, at, keys, count)``: the distinct groups of every slice."""
-    return relation.select("slice", F.posexplode(F.arrays_zip(*keys, "count")).alias("at", "g")) \
-        .select("slice", "at", *[F.col(f"g.{k}").alias(k) for k in (*keys, "count")])
-
-
-def frequent(relation: DataFrame, keys: tuple[str, str], least: int, name: str) -> DataFrame:
-    """``(id, keys, f)`` of the groups that occur ``least`` times or more over all slices."""
-    got = groups(relation, keys).groupBy(*keys).agg(F.sum("count").alias("f")).filter(F.col("f") >= least)
-    return staged(got.select(F.monotonically_increasing_id().alias("id"), *keys, "f"), name)
-
-
-def kept(relation: DataFrame, keys: tuple[str, str], chosen: DataFrame) -> DataFrame:
-    """``(slice, gap, id)``: the occurrences whose group is among ``chosen``, by its id; slices
-    without any are gone."""
-    ids = groups(relation, keys).join(chosen.select(*keys, "id"), list(keys)) \
-        .groupBy("slice").agg(F.collect_list("at").alias("known"), F.collect_list("id").alias("ids"))
-    rows = relation.select("slice", F.size("count").alias("n"), "gap", "item").join(ids, "slice")
-    rows = rows.select("slice", F.array(F.col("n")).alias("n"), "gap", "item", "known", "ids")
-
-    def fn(row: dict) -> tuple:
-        of_item = np.full(int(row["n"][0]), -1, np.int64)
-        of_item[row["known"]] = row["ids"]
-        got = of_item[row["item"]]
+class Written:
+    """A table in the shared checkpoint folder: cuts the lineage until it is dropped."""
+
+    def __init__(self, df: DataFrame, name: str):
+        spark = df.sparkSession
+        self.path = scratch_path(spark, f"llm-{name}-{uuid.uuid4().hex[:12]}")
+        df.write.option("compression", "zstd").parquet(self.path)
+        self.df = spark.read.schema(df.schema).parquet(self.path)
+
+    def drop(self) -> None:
+        """Remove the table when what follows from it is written."""
+        spark = self.df.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def frequent_words(relation: DataFrame, least: int) -> DataFrame:
+    """``(slice, at, id, lang, word, f)``: the words that occur ``least`` times or more over all
+    slices, wherever they occur. One shuffle counts a word and gives its answer to every slice
+    that holds it; it is one row of a slice, however often it occurs there. Its ``id`` is its
+    first place of all; ``lang``, ``word`` and ``f`` stand there only."""
+    place = F.shiftleft("slice", PLACE_BITS).bitwiseOR(F.col("at"))
+    over = Window.partitionBy("lang", "word")
+    got = relation.where("places IS NULL").select("lang", "word", place.alias("place"), "count") \
+        .select("lang", "word", "place", F.sum("count").over(over).alias("f"), F.min("place").over(over).alias("id")) \
+        .filter(F.col("f") >= least)
+    first = F.col("place") == F.col("id")
+    return got.select(F.shiftright("place", PLACE_BITS).alias("slice"),
+                      F.col("place").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int").alias("at"), "id",
+                      *[F.when(first, F.col(k)).alias(k) for k in ("lang", "word", "f")])
+
+
+def frequent_pairs(relation: DataFrame, least: int) -> DataFrame:
+    """``FREQUENT_PAIRS``: every part counts the pairs that hash to it and answers each slice. A
+    pair is one entry of a slice, and the parts are as many as keep one at ``PART_PAIRS``."""
+    def fn(key: tuple, table: pa.Table) -> pa.Table:
+        part = key[0].as_py()
+        got = [unpacked(blob.as_py(), 3) for blob in table.column("data")]
+        sizes = [g.shape[1] for g in got]
+        a, b, count = (np.concatenate(c) for c in zip(*((np.cumsum(g[0]), g[1], g[2]) for g in got)))
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
+        f = np.add.reduceat(count[order], first)
+        many = f >= least
+        ids = np.where(many, (part << ID_BITS) + np.cumsum(many) - 1, -1)
+        of_row = np.empty(len(order), np.int64)
+        of_row[order] = np.repeat(ids, np.diff(np.append(first, len(order))))
+        slices, answers = [], []
+        for s, mine in zip(table.column("slice").to_pylist(), np.split(of_row, np.cumsum(sizes)[:-1])):
+            at = np.flatnonzero(mine >= 0)
+            if len(at):
+                slices.append(s)
+                answers.append(packed(np.diff(at, prepend=0), mine[at]))
+        batches = [_batch(FREQUENT_PAIRS, slice=slices, part=[part] * len(slices), data=answers)]
+        pick = first[many]
+        for low in range(0, len(pick), GROUP_ROWS):
+            rows = slice(low, low + GROUP_ROWS)
+            batches.append(_batch(FREQUENT_PAIRS, id=ids[many][rows], a=a[pick][rows], b=b[pick][rows], f=f[many][rows]))
+        return pa.Table.from_batches(batches)
+
+    return relation.where("part IS NOT NULL").select("slice", "part", "data").groupBy("part").applyInArrow(fn, FREQUENT_PAIRS)
+
+
+def pairs_of(place: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Merge join of occurrences with those one place on: the distinct pairs (a, b) with their
+    counts, and of every joint occurrence its place and pair."""
+    here = np.flatnonzero(place[1:] == place[:-1] + 1)  # sorted by place: the next row or none
+    known, code = np.unique(ids, return_inverse=True)
+    pair = code[here].astype(np.int64) * len(known) + code[here + 1]
+    pair, item, count = np.unique(pair, return_inverse=True, return_counts=True)
+    a, b = np.divmod(pair, max(1, len(known)))
+    return known[a], known[b], count, place[here], item
+
+
+def extended(relation: DataFrame, chosen: DataFrame, parts: int) -> DataFrame:
+    """The relation of the next level (``PAIR_OCCURRENCES``): only occurrences of ``chosen``
+    groups are kept (a semi-join by slice and group), and merge-joined with those one place
+    on. The groups of both (``a``, ``b``) name the longer phrase."""
+    words = "at" in chosen.columns
+    columns = ["at", "id"] if words else ["part", "data"]
+    answers = chosen.where("slice IS NOT NULL").select(F.col("slice").alias("of"), *columns)
+    rows = relation.where("places IS NOT NULL").select("slice", "places", *([] if words else ["sizes"]))
+
+    def ids_of(left: pa.Table, right: pa.Table, n: int) -> np.ndarray:
+        ids = np.full(n, -1, np.int64)
+        if words:
+            ids[right.column("at").to_numpy()] = right.column("id").to_numpy()
+            return ids
+        part, size = unpacked(left.column("sizes")[0].as_py(), 2)
+        starts = dict(zip(part.tolist(), (np.cumsum(size) - size).tolist()))
+        for p, blob in zip(right.column("part").to_pylist(), right.column("data")):
+            gap, value = unpacked(blob.as_py(), 2)
+            ids[starts[p] + np.cumsum(gap)] = value
+        return ids
+
+    def fn(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not right.num_rows:
+            return none
+        gap, item = unpacked(left.column("places")[0].as_py(), 2)
+        got = ids_of(left, right, int(item.max()) + 1)[item]
         there = got >= 0
-        place = np.cumsum(row["gap"], dtype=np.int64)[there]
-        return np.diff(place, prepend=0), got[there]
-
-    out = T.StructType([T.StructField("slice", T.LongType()), T.StructField("gap", _INTS), T.StructField("id", _LONGS)])
-    return _per_row(rows, fn, ["n", "gap", "item", "known", "ids"], out)
-
-
-def extended(relation: DataFrame) -> DataFrame:
-    """The relation of the next level: occurrences merge-joined with those one place on. The
-    groups of both (``a``, ``b``) name the longer phrase."""
-    def fn(row: dict) -> tuple:
-        place, ids = np.cumsum(row["gap"], dtype=np.int64), row["id"]
-        here = np.flatnonzero(place[1:] == place[:-1] + 1)  # sorted by place: the next row or none
-        known, code = np.unique(ids, return_inverse=True)
-        pair = code[here].astype(np.int64) * len(known) + code[here + 1]
-        pair, item, count = np.unique(pair, return_inverse=True, return_counts=True)
-        a, b = np.divmod(pair, max(1, len(known)))
-        return known[a], known[b], count, np.diff(place[here], prepend=0), item
-
-    return _per_row(relation, fn, ["gap", "id"], PAIR_OCCURRENCES)
+        a, b, count, place, item = pairs_of(np.cumsum(gap)[there], got[there])
+        if not len(item):
+            return none
+        part = (mix(a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + mix(b.astype(np.uint64))) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        number = np.empty(len(order), np.int64)
+        number[order] = np.arange(len(order))
+        a, b, count, part = a[order], b[order], count[order], part[order]
+        first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+        ends = np.append(first[1:], len(part))
+        s = left.column("slice")[0].as_py()
+        data = [packed(np.diff(a[i:j], prepend=0), b[i:j], count[i:j]) for i, j in zip(first.tolist(), ends.tolist())]
+        return pa.Table.from_batches([
+            _batch(PAIR_OCCURRENCES, slice=[s], places=[packed(np.diff(place, prepend=0), number[item])],
+                   sizes=[packed(part[first], ends - first)]),
+            _batch(PAIR_OCCURRENCES, slice=[s] * len(first), part=part[first], data=data)])
+
+    none = pa.Table.from_batches([_batch(PAIR_OCCURRENCES, slice=[])])
+    return rows.groupBy("slice").cogroup(answers.groupBy("of")).applyInArrow(fn, PAIR_OCCURRENCES)
 
 
 def counted_phrases(docs: DataFrame, text: str, lang: str, least: int, longest: int
@@ -160,25 +274,29 @@ def counted_phrases(docs: DataFrame, text: str, lang: str, least: int, longest:
     """Word counts by language ``(lang, n)``, and for each length from 1 its frequent phrases
     ``(id, a, b, lang, phrase, last, f, heads, tails)``: ``heads`` and ``tails`` hold the
     occurrences of the first 1, 2, ... and of the last 1, 2, ... words."""
-    relation = staged(word_occurrences(docs, text, lang), "occurrences")
-    keys = ("lang", "word")
-    totals = staged(groups(relation, keys).groupBy("lang").agg(F.sum("count").alias("n")), "totals")
-    chosen = frequent(relation, keys, least, "frequent1")
+    relation = Written(word_occurrences(docs, text, lang), "occurrences")
+    totals = staged(relation.df.where("places IS NULL").groupBy("lang").agg(F.sum("count").alias("n")), "totals")
+    chosen = Written(frequent_words(relation.df, least), "frequent")
     none = F.array().cast(_LONGS)
-    levels = [chosen.select("id", F.lit(None).cast("long").alias("a"), F.lit(None).cast("long").alias("b"),
-                            "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f",
-                            none.alias("heads"), none.alias("tails"))]
+    levels = [staged(chosen.df.where("f IS NOT NULL").select(
+        "id", F.lit(None).cast("long").alias("a"), F.lit(None).cast("long").alias("b"), "lang",
+        F.col("word").alias("phrase"), F.col("word").alias("last"), "f", none.alias("heads"), none.alias("tails")), "phrases1")]
     for k in range(2, longest + 1):
-        relation = staged(extended(kept(relation, keys, chosen)), f"occurrences{k}")
-        keys = ("a", "b")
-        chosen = frequent(relation, keys, least, f"frequent{k}")
+        kept = levels[-1].agg(F.sum("f")).first()[0] or 0  # occurrences that are joined: no fewer than pairs of all slices
+        longer = Written(extended(relation.df, chosen.df, max(1, -(-kept // PART_PAIRS))), f"occurrences{k}")
+        relation.drop()
+        chosen.drop()
+        relation = longer
+        chosen = Written(frequent_pairs(relation.df, least), f"frequent{k}")
         head = levels[-1].select(F.col("id").alias("a"), "lang", "phrase", F.col("f").alias("fa"), "heads")
         tail = levels[-1].select(F.col("id").alias("b"), "last", F.col("f").alias("fb"), "tails")
-        named = chosen.join(head, "a").join(tail, "b")
+        named = chosen.df.where("f IS NOT NULL").select("id", "a", "b", "f").join(head, "a").join(tail, "b")
         levels.append(staged(named.select(
             "id", "a", "b", "lang", F.concat_ws(" ", "phrase", "last").alias("phrase"), "last", "f",
             F.array_append("heads", F.col("fa")).alias("heads"), F.array_append("tails", F.col("fb")).alias("tails")),
             f"phrases{k}"))
+    relation.drop()
+    chosen.drop()
     return totals, levels
 
 
@@ -192,7 +310,8 @@ def phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int
     hundred of its occurrences. Ties in the ranking go by occurrences, then by the phrase's
     bytes. A null or empty text has no words, a null language is ``und``; very long texts are
     one slice each; repeated rows count each; other columns are not read; an empty table gives
-    no rows. The frequent groups are joined, not broadcast, unless Spark measures them small.
+    no rows. Nothing is broadcast that grows with the data; what the
+    driver holds is one path for each table.
     """
     totals, levels = counted_phrases(docs, text, lang, least, longest)
     scored = []
