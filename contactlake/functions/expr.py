@@ -178,6 +178,7 @@ def int_text_ok(x: ColumnOrName) -> Column:
     return _c(x).isNull() | (_c(x) == "") | F.coalesce(t.rlike(INT_PATTERN) & fits, F.lit(False))
 
 
-def parse_int(x: ColumnOrName) -> Column:
+def parse_int(x: ColumnOrName, ok: Column | None = None) -> Column:
+    """``ok``: ``int_text_ok(x)``, where a column holds it already."""
     t = F.regexp_replace(unicode_trim(x), "_", "")
-    return F.when(int_text_ok(x) & (_c(x) != ""), t.try_cast("bigint"))
+    return F.when((int_text_ok(x) if ok is None else ok) & (_c(x) != ""), t.try_cast("bigint"))

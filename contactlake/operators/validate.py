@@ -56,16 +56,18 @@ def validate_api(records: DataFrame, original_data: Column | None = None,
         return F.col(f"properties.{name}")
 
     email = p("email")
-    # the shape flag is computed once per record: both the type and the message use it
-    records = records.withColumn("_shape_ok", api_shape_ok(records))
-    shape = F.col("_shape_ok")
-    rev_ok, emp_ok = int_text_ok(p("annualrevenue")), int_text_ok(p("numberofemployees"))
+    # the checks are computed once per record, in a step of their own: the type, the message and
+    # the values use them, and one step with all of it is too long for the JVM to compile
+    checks = {"_shape_ok": api_shape_ok(records), "_email_ok": email_ok(email),
+              "_rev_ok": int_text_ok(p("annualrevenue")), "_emp_ok": int_text_ok(p("numberofemployees"))}
+    records = records.withColumns(checks)
+    shape, mail_ok, rev_ok, emp_ok = [F.col(c) for c in checks]
     err = (F.when(~shape, F.lit(ERR_VALIDATION))
            .when(email.isNull() | (email == ""), F.lit(ERR_MISSING_EMAIL))
-           .when(~email_ok(email), F.lit(ERR_VALIDATION)))
+           .when(~mail_ok, F.lit(ERR_VALIDATION)))
     msg = (F.when(~shape, F.lit(MSG_SHAPE_API))
            .when(email.isNull() | (email == ""), F.lit(MSG_API_MISSING_EMAIL))
-           .when(~email_ok(email), F.lit(MSG_EMAIL)))
+           .when(~mail_ok, F.lit(MSG_EMAIL)))
     if not literal:
         # A non-integer revenue / employee count quarantines the row
         err = err.when(~(rev_ok & emp_ok), F.lit(ERR_VALIDATION))
@@ -78,7 +80,7 @@ def validate_api(records: DataFrame, original_data: Column | None = None,
         else:
             original_data = F.to_json(F.struct(F.col("id"), F.col("properties")),
                                       {"ignoreNullFields": "false"})
-    revenue = parse_int(p("annualrevenue"))
+    revenue = parse_int(p("annualrevenue"), rev_ok)
     if literal:
         revenue = F.when(rev_ok, revenue).otherwise(
             F.raise_error(F.lit("invalid literal for int() in annualrevenue")))
@@ -91,7 +93,7 @@ def validate_api(records: DataFrame, original_data: Column | None = None,
         "job_title": p("jobtitle"),
         "industry": p("industry"),
         "annual_revenue": F.nullif(revenue, F.lit(0)),          # T4: 0 → NULL
-        "numberofemployees": parse_int(p("numberofemployees")),  # 0 stays 0
+        "numberofemployees": parse_int(p("numberofemployees"), emp_ok),  # 0 stays 0
         "created_at": F.lit(None).cast("timestamp") if literal else parse_ts(p("createdate")),
         "lastmodifieddate": F.lit(None).cast("timestamp"),     # never filled (T5)
         "lead_status": F.lower(_status(p)) if literal else _status(p),
@@ -102,7 +104,7 @@ def validate_api(records: DataFrame, original_data: Column | None = None,
         for k in ("contact_id", "first_name", "last_name", "company_name", "job_title",
                   "industry", "hs_analytics_source", "hs_analytics_source_data_1"):
             contact[k] = F.lower(contact[k])
-    keep = [c for c in records.columns if c not in contact and c != "_shape_ok"]
+    keep = [c for c in records.columns if c not in contact and c not in checks]
     return records.select(*keep, err.alias("error_type"), msg.alias("error_message"),
                           original_data.alias("original_data"),
                           *[v.alias(k) for k, v in contact.items()])

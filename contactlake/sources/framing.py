@@ -20,8 +20,12 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
+from functools import lru_cache
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +41,10 @@ _RESULTS = re.compile(r'"results"\s*:\s*\[')
 _TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"|[{}\[\]\x01]')
 _SCALAR = re.compile(r'(?:"(?:[^"\\]|\\.)*"|[^,])+')
 _NOT_BRACKETS = re.compile(r"[^{}\[\]\x01]+")
+#: the next bracket outside of strings, or the end, of a text whose strings are closed and have no escapes
+_BRACKET = re.compile(r'(?:[^"{}\[\]\x01]++|"[^"]*+")*+([{}\[\]\x01]|\Z)')
+#: lines without brackets and escapes whose strings are closed
+_PLAIN = r'^(?:[^"{}\[\]\\\x01]*"[^"{}\[\]\\\x01]*")*[^"{}\[\]\\\x01]*$'
 _OPENERS = "{[\x01"
 
 UNIT = T.StructType([
@@ -73,8 +81,7 @@ class State:
     last: str = ""
 
 
-@dataclass
-class Effect:
+class Effect(NamedTuple):
     """What lines do to a state: ``closes`` brackets, then ``opens`` ones (``kinds`` of the
     first two); ``reset``: the state before is forgotten. ``begins``: the first line may only
     follow a sign after which a value can stand, else it begins a document of its own."""
@@ -88,15 +95,14 @@ class Effect:
 
     def then(self, other: "Effect") -> "Effect":
         if other.reset or (other.begins and not may_follow(self.last) and self.last):
-            out = replace(other, reset=True)
+            out = other._replace(reset=True)
         elif other.closes >= self.opens:
-            out = replace(other, closes=self.closes + other.closes - self.opens, reset=self.reset)
+            out = other._replace(closes=self.closes + other.closes - self.opens, reset=self.reset)
         else:
             left = self.opens - other.closes
             out = Effect(self.closes, left + other.opens, (self.kinds[:left] + other.kinds)[:2], self.reset, last=other.last)
-        out.begins = self.begins if self.last else other.begins
-        out.last, out.lines = other.last or self.last, self.lines + other.lines
-        return out
+        return out._replace(begins=self.begins if self.last else other.begins, last=other.last or self.last,
+                            lines=self.lines + other.lines)
 
     def on(self, state: State) -> State:
         """The state after these lines."""
@@ -106,6 +112,10 @@ class Effect:
         return State(left + self.opens, (state.kinds[:left] + self.kinds)[:2], self.last or state.last)
 
 
+#: of effects without lines: documents of one layout have few of them
+_then = lru_cache(maxsize=1 << 14)(Effect.then)
+
+
 def may_follow(last: str) -> bool:
     """Whether a value may stand after this sign inside a document."""
     return last in (",", "[", ":")
@@ -122,9 +132,19 @@ class Json:
     def brackets(line: str) -> tuple[str, bool]:
         """The line's brackets outside of strings (an array of results has a sign of its own),
         and whether a string is left open."""
-        bare = _STRING.sub("", _RESULTS.sub("\x01", line))
+        marked = _RESULTS.sub("\x01", line)
+        if "\\" not in line:  # quotes pair up
+            parts = marked.split('"')
+            return _NOT_BRACKETS.sub("", "".join(parts[::2])), len(parts) % 2 == 0
+        bare = _STRING.sub("", marked)
         return _NOT_BRACKETS.sub("", bare), '"' in bare
 
+    @staticmethod
+    def plain(lines: pa.Array) -> np.ndarray:
+        """Which lines have only scalars, so that they change nothing but the last sign."""
+        plain = pc.and_(pc.match_substring_regex(lines, _PLAIN), pc.match_substring_regex(lines, "[!-~]"))
+        return plain.to_numpy(zero_copy_only=False).astype(bool)
+
     @staticmethod
     def unmatched(brackets: str) -> tuple[int, str]:
         """Brackets closed that the line did not open, and those opened and not closed."""
@@ -154,6 +174,17 @@ class Json:
         closes, opens = cls.unmatched(brackets)
         return Effect(closes, len(opens), opens[:2], False, begins, text[-1], 1)
 
+    @classmethod
+    def fold(cls, total: Effect, lines: pa.Array) -> Effect:
+        """These lines after others. Of plain lines that follow each other the last one counts."""
+        plain = cls.plain(lines)
+        some = np.flatnonzero(~plain | ~np.append(plain[1:], False))
+        out = total._replace(lines=0)
+        for line, simple in zip(lines.take(pa.array(some)).to_pylist(), plain[some].tolist()):
+            effect = Effect(last=line.strip()[-1]) if simple else _effect(line) if len(line) < 64 else cls.effect(line)
+            out = _then(out, effect._replace(lines=0) if effect.lines else effect)
+        return out._replace(lines=total.lines + len(lines))
+
     @classmethod
     def alone(cls, text: str, brackets: str) -> bool:
         """Whether a text of these brackets is exactly one value in brackets."""
@@ -161,6 +192,12 @@ class Json:
             and cls.unmatched(brackets[1:-1]) == (0, "")
 
 
+@lru_cache(maxsize=1 << 14)
+def _effect(line: str) -> Effect:
+    """Of a short line: documents over many lines repeat those of brackets alone."""
+    return Json.effect(line)._replace(lines=0)
+
+
 class Csv:
     """Lines of CSV: a quote opens a cell only where the cell begins; inside it, two are one."""
 
@@ -197,6 +234,12 @@ class Csv:
             return Effect(reset=True, opens=int(out), lines=1)
         return Effect(closes=-1 if out else 0, lines=1)  # -1: inside and outside change places
 
+    @classmethod
+    def fold(cls, total: Effect, lines: pa.Array) -> Effect:
+        for line in lines.to_pylist():
+            total = Turns.then(total, cls.effect(line))
+        return total
+
 
 class Turns:
     """Effects of CSV lines: the state after them when they begin outside, and inside."""
@@ -204,34 +247,31 @@ class Turns:
     @staticmethod
     def then(a: Effect, b: Effect) -> Effect:
         pair = [Turns.after(b, Turns.after(a, s)) for s in (0, 1)]
-        out = Effect(lines=a.lines + b.lines)
         if pair[0] == pair[1]:
-            out.reset, out.opens = True, pair[0]
-        elif pair[0]:
-            out.closes = -1
-        return out
+            return Effect(opens=pair[0], reset=True, lines=a.lines + b.lines)
+        return Effect(closes=-1 if pair[0] else 0, lines=a.lines + b.lines)
 
     @staticmethod
     def after(e: Effect, state: int) -> int:
         return e.opens if e.reset else 1 - state if e.closes < 0 else state
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, list[str]]]:
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, pa.Array]]:
     """(file, start, lines) of each run of lines of one scan split, in order."""
     for batch in batches:
-        values = batch.column(0).to_pylist()
-        files, starts = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-        first = 0
-        for i in range(1, len(values) + 1):
-            if i == len(values) or starts[i] != starts[first] or files[i] != files[first]:
-                yield files[first], starts[first], values[first:i]
-                first = i
+        if not batch.num_rows:
+            continue
+        values, files, starts = batch.columns[:3]
+        other = pc.or_(pc.not_equal(files[1:], files[:-1]), pc.not_equal(starts[1:], starts[:-1]))
+        cuts = np.flatnonzero(other.to_numpy(zero_copy_only=False)) + 1
+        for first, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(values)]):
+            yield files[first].as_py(), starts[first].as_py(), values[first:end]
 
 
 def summaries(lines: DataFrame, kind: str) -> list:
     """Step 1: one row per scan split."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine, then = (Json, Effect.then) if kind == "json" else (Csv, Turns.then)
+        machine = Json if kind == "json" else Csv
         at, total = None, Effect()
 
         def row() -> pa.RecordBatch:
@@ -243,8 +283,7 @@ def summaries(lines: DataFrame, kind: str) -> list:
                 if at is not None:
                     yield row()
                 at, total = (file, start), Effect()
-            for v in values:
-                total = then(total, machine.effect(v))
+            total = machine.fold(total, values)
         if at is not None:
             yield row()
 
@@ -327,6 +366,10 @@ class Units:
             self.rows.append((self.file, kind, f.line, f.at, f.opens, False, f.size, f.last, "".join(f.texts)))
         self.open[kind] = Fragment(f.last, 1 << 40, False, f.last)
 
+    def lines(self, values: pa.Array) -> None:
+        for line in values.to_pylist():
+            self.line(line)
+
     def finish(self) -> None:
         """The end of the split: what is open goes on in the next one."""
         for kind in self.open:
@@ -344,15 +387,35 @@ class JsonUnits(Units):
             return
         if state.depth and text[0] in "{[" and not may_follow(state.last):
             self._end_document()
-        brackets, torn = Json.brackets(line)
+        paired = "\\" not in line and line.count('"') % 2 == 0
+        brackets, torn = ("", False) if paired and state.depth else Json.brackets(line)
         if not state.depth and not torn and Json.alone(text, brackets):
             self.text(n, line.index(text[0]), text)
         else:
-            self._walk(n, line)
+            self._walk(n, line, paired)
         state.last = text[-1]
         if torn:
             self._end_document()
 
+    def lines(self, values: pa.Array) -> None:
+        """Plain lines inside an element or a shell go to it together."""
+        texts, plain = values.to_pylist(), Json.plain(values)
+        turns = [0, *(np.flatnonzero(plain[1:] != plain[:-1]) + 1).tolist(), len(texts)]
+        for first, end in zip(turns, turns[1:]):
+            run, size = texts[first:end], 0
+            f = self.open.get("shell" if self.state.depth < self._elements_at() else "element")
+            if plain[first] and f and self.state.depth not in (0, self._elements_at()):
+                size = sum(map(len, run))
+            if not size or f.spilled or f.size + size > RECORD_BYTES:
+                for line in run:
+                    self.line(line)
+                continue
+            f.texts.append("\n" * (self.number - f.last) + "\n".join(run))
+            f.size += size
+            self.number += len(run)
+            f.last = self.number - 1
+            self.state.last = run[-1].strip()[-1]
+
     def _end_document(self) -> None:
         for kind in list(self.open):
             self.close(kind)
@@ -373,11 +436,14 @@ class JsonUnits(Units):
         elif text:
             self.add("shell" if self.state.depth < self._elements_at() else "element", n, at, text)
 
-    def _walk(self, n: int, line: str) -> None:
+    def _walk(self, n: int, line: str, paired: bool) -> None:
+        """``paired``: all strings are closed and have no escapes."""
         s, at = self.state, 0
         marked = _RESULTS.sub(lambda m: m.group()[:-1] + "\x01", line)
-        for m in _TOKEN.finditer(marked):
-            sign, here = m.group(), m.start()
+        for m in (_BRACKET if paired else _TOKEN).finditer(marked):
+            sign, here = m.group(paired), m.start(paired)
+            if not sign:
+                break
             if sign[0] == '"' or not s.depth and sign in "}]":
                 continue
             if sign in _OPENERS:
@@ -461,8 +527,7 @@ def _units(lines: DataFrame, kind: str, known: dict, across: set[str] | None = N
                 at = (file, start)
                 number, state = known[at]
                 units = (JsonUnits if kind == "json" else CsvUnits)(file, number, replace(state), start == 0)
-            for v in values:
-                units.line(v)
+            units.lines(values)
             yield ready()
         if units:
             units.finish()
@@ -495,11 +560,15 @@ def _joined(units: DataFrame) -> DataFrame:
         since = F.when(i > 0, p["line"] - F.get("parts", i - 1)["last"]).otherwise(0)
         return F.repeat(F.lit("\n"), since.cast("int"))
 
-    short = part.where(F.col("size") <= RECORD_BYTES).groupBy("file", "kind", "unit") \
-        .agg(F.sort_array(F.collect_list(F.struct("line", "at", "last", "doc"))).alias("parts")) \
-        .select("file", F.col("parts")[0]["line"].alias("line"), F.col("parts")[0]["at"].alias("at"),
-                F.array_join(F.transform("parts", lambda p, i: F.concat(breaks(p, i), p["doc"])), "").alias("doc"))
-    long = part.where(F.col("size") > RECORD_BYTES) \
-        .select("file", "line", F.posexplode(F.split("doc", "\n")).alias("k", "doc")).where(F.trim("doc") != "") \
-        .select("file", (F.col("line") + F.col("k")).alias("line"), F.lit(0).cast("long").alias("at"), "doc")
-    return short.unionByName(long)
+    # the fragments of a unit that is too long stay alone: nothing holds them together
+    alone = F.when(F.col("size") > RECORD_BYTES, F.struct("line", "at")).alias("alone")
+    groups = part.groupBy("file", "kind", "unit", alone) \
+        .agg(F.sort_array(F.collect_list(F.struct("line", "at", "last", "doc"))).alias("parts"))
+    whole = F.struct(F.col("parts")[0]["line"].alias("line"), F.col("parts")[0]["at"].alias("at"),
+                     F.array_join(F.transform("parts", lambda p, i: F.concat(breaks(p, i), p["doc"])), "").alias("doc"))
+    lines = F.flatten(F.transform("parts", lambda p: F.filter(
+        F.transform(F.split(p["doc"], "\n"), lambda x, k: F.struct(
+            (p["line"] + k).alias("line"), F.lit(0).cast("long").alias("at"), x.alias("doc"))),
+        lambda x: F.trim(x["doc"]) != "")))
+    return groups.select("file", F.explode(F.when(F.col("alone").isNull(), F.array(whole)).otherwise(lines)).alias("u")) \
+        .select("file", "u.line", "u.at", "u.doc")

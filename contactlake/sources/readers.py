@@ -46,12 +46,13 @@ def api_records_from_docs(docs: DataFrame) -> DataFrame:
     parts = parsed.select(*keep, *(["line", "at"] if placed else []),
                           F.explode(F.when(F.col("_v").isNotNull(), whole).otherwise(torn)).alias("_part"))
     v = F.col("_part.v")
-    kind = F.schema_of_variant(v)
+    # the first sign tells objects and arrays; the schema of a variant would look at all of it
+    first = F.when(v.isNotNull(), F.substring(F.ltrim("_part.text", F.lit(" \t\r\n")), 1, 1))
     results = F.try_variant_get(v, "$.results", "variant")
-    arr = F.when(kind.startswith("OBJECT") & results.isNotNull(),
+    arr = F.when((first == "{") & results.isNotNull(),
                  F.try_variant_get(v, "$.results", "array<variant>")) \
-        .when(kind.startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>")) \
-        .when(kind.startswith("OBJECT"), F.array(v)) \
+        .when(first == "[", F.try_variant_get(v, "$", "array<variant>")) \
+        .when(first == "{", F.array(v)) \
         .otherwise(F.array(F.col("_part.text").cast("variant")))
     place = [(F.col("line") + F.col("_part.k")).alias("_line"),
              F.when(F.col("_part.k") == 0, F.col("at")).otherwise(0).alias("_at")] if placed else []
