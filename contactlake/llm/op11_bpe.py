@@ -183,11 +183,13 @@ class PairIndex:
             at = at[rank[at] == r]  # positions whose pair has changed are stale
             if not len(at):
                 continue
-            if len(got) > 1:
+            if (at[1:] <= at[:-1]).any():  # several lists, or both neighbours of merges in one
                 at = np.unique(at)
-            if coder.left[r] == coder.right[r]:  # pairs that overlap: from the left
+            later = None
+            if not coder.ascending:  # what overlaps is stale afterwards, or again a pair if a lower rank took its neighbour
+                at, later = self._first_of_each(at)
+            elif coder.left[r] == coder.right[r]:  # pairs that overlap: from the left
                 at = self._apart(at)
-            at, later = self._first_of_each(at) if not coder.ascending else (at, None)
             other = after[at]
             beyond = after[other]
             token[at] = coder.made[r]
